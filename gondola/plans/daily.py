@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from gondola.operators import audit, clean, integrity, silver
 from gondola.operators.freshness import child_dates, package_completeness, package_vote
 from gondola.plans.models import table_path
-from gondola.plans.sinks import append_audit, bronze_path, day_exists, replace_days, write_bronze_day
+from gondola.plans.sinks import bronze_path, day_exists, replace_days, write_bronze_day
 from gondola.schema import AUDIT_BRONZE, DATE, MERCHANT_KEYS, RAW_TABLES, STORE_KEYS
 from gondola.sources import archives
 from gondola.sources.tables import DAY_PARTS, read_bronze
@@ -41,7 +41,7 @@ def ingest_day(
     # Compressed children are kept for the passes below; each pass unpacks one member only.
     children = archives.split_masters(masters, child_glob).persist()
     try:
-        merchant = archives.member_lines(children, ("comercio",))
+        merchant = archives.member_lines(children, ("comercio",), complete_only=False)
         dated = child_dates(archives.child_status(children), merchant).withColumn("target_date", F.lit(day))
         if not package_vote(dated).filter(~F.col("accepted")).isEmpty():
             raise StalePackage(f"{master_path}: stale children outnumber valid ones for {day}")
@@ -57,7 +57,7 @@ def ingest_day(
         bronze = {t: bronze_rows(spark, root, t, day, day).drop(*DAY_PARTS) for t in RAW_TABLES}
         volumes = audit.table_volume(bronze)
         path = f"{root}/audit/bronze"
-        append_audit(audit.bronze_audit(volumes, volumes, packages, now, master_path, f"{root}/bronze"), path)
+        audit.append_audit(audit.bronze_audit(volumes, volumes, packages, now, master_path, f"{root}/bronze"), path)
     finally:
         children.unpersist()
     return audit.audit_latest(spark.read.schema(AUDIT_BRONZE).parquet(path), len(RAW_TABLES), day.isoformat())
@@ -102,7 +102,7 @@ def load_silver(
     replace_days(products, table_path(root, "dim_productos"))
     stats = audit.drop_stats(parts["productos"])
     if audit_rows:
-        append_audit(audit.silver_audit(stats, now), f"{root}/audit/silver")
+        audit.append_audit(audit.silver_audit(stats, now), f"{root}/audit/silver")
     return stats
 
 

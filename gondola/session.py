@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import shutil
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -34,3 +36,16 @@ def scratch_dir(spark: SparkSession, purpose: str) -> str:
     if not base:
         base = tempfile.mkdtemp(prefix="gondola-")
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+
+
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Makes this package importable in Python workers (archive and page readers), once per application."""
+    app = spark.sparkContext.applicationId
+    if app not in _shipped:
+        package = Path(__file__).resolve().parent
+        target = Path(tempfile.mkdtemp(prefix="gondola-package-")) / "gondola"
+        spark.sparkContext.addPyFile(shutil.make_archive(str(target), "zip", package.parent, package.name))
+        _shipped.add(app)

@@ -58,15 +58,19 @@ def split_masters(masters: DataFrame, child_glob: str = "*.zip", spread: int | N
     return children.repartition(spread, *keys) if spread else children.repartition(*keys)
 
 
-def _members(content: bytes) -> tuple[zipfile.ZipFile, dict[str, str]] | None:
-    """The archive and its table members, None when it is broken or lacks a table."""
+def _open_child(content: bytes) -> tuple[zipfile.ZipFile | None, dict[str, str]]:
+    """The archive and the member of each table it has; no archive when it is broken."""
     try:
         archive = zipfile.ZipFile(io.BytesIO(content))
     except zipfile.BadZipFile:
-        return None
-    names = set(archive.namelist())
-    members = {table: f"{table}.csv" for table in RAW_TABLES if f"{table}.csv" in names}
-    return (archive, members) if len(members) == len(RAW_TABLES) else None
+        return None, {}
+    names = archive.namelist()
+    members = {}
+    for table in RAW_TABLES:
+        found = next((n for n in names if n.endswith(f"{table}.csv")), None)
+        if found is not None:
+            members[table] = found
+    return archive, members
 
 
 def child_status(children: DataFrame) -> DataFrame:
@@ -74,29 +78,33 @@ def child_status(children: DataFrame) -> DataFrame:
 
     def status(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            states = [OK if _members(content) else MALFORMED for content in batch["content"]]
+            found = [len(_open_child(content)[1]) for content in batch["content"]]
+            states = [OK if n == len(RAW_TABLES) else MALFORMED for n in found]
             yield batch[["package", "child", "ordinal"]].assign(status=states)
 
     return children.mapInPandas(status, _STATUS)
 
 
-def member_lines(children: DataFrame, tables: tuple[str, ...] = RAW_TABLES) -> DataFrame:
-    """Data lines of complete children with the header line of their file.
+def member_lines(
+    children: DataFrame, tables: tuple[str, ...] = RAW_TABLES, complete_only: bool = True
+) -> DataFrame:
+    """Data lines of the children with the header line of their file.
 
-    Members are decoded as a stream, so memory is one batch of lines, not one file.
+    Children that lack a table are left out unless ``complete_only`` is off. Members are
+    decoded as a stream, so memory is one batch of lines, not one file.
     """
 
     def lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for package, child, content in zip(batch["package"], batch["child"], batch["content"]):
-                opened = _members(content)
-                if opened is None:
+                archive, members = _open_child(content)
+                if archive is None or (complete_only and len(members) < len(RAW_TABLES)):
                     continue
-                archive, members = opened
                 with archive:
                     for table in tables:
-                        with archive.open(members[table]) as raw:
-                            yield from _batches(package, child, table, raw)
+                        if table in members:
+                            with archive.open(members[table]) as raw:
+                                yield from _batches(package, child, table, raw)
 
     return children.select("package", "child", "content").mapInPandas(lines, _LINES)
 
