@@ -42,12 +42,39 @@ def registered(fn: Query) -> Query:
     return fn
 
 
+_written: dict[tuple[str, str, str], DataFrame] = {}
+
+
+def _table(spark: SparkSession, sf: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+    """A current dimension as the models read it: a written table, built once per application.
+
+    A written table has a size Spark knows, so it is broadcast only when that is small.
+    """
+    key = (spark.sparkContext.applicationId, sf, name)
+    if key not in _written:
+        path = scratch_dir(spark, name)
+        df = build()
+        df.write.parquet(path)
+        _written[key] = spark.read.schema(df.schema).parquet(path)
+    return _written[key]
+
+
 def _current(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
-    return {
-        "productos": dims.productos_current(bind(spark, sf, "dim_productos")),
-        "sucursales": dims.sucursales_current(bind(spark, sf, "dim_sucursales")),
-        "comercios": dims.comercios_current(bind(spark, sf, "dim_comercios")),
+    built = {
+        "productos": lambda: dims.productos_current(bind(spark, sf, "dim_productos")),
+        "sucursales": lambda: dims.sucursales_current(bind(spark, sf, "dim_sucursales")),
+        "comercios": lambda: dims.comercios_current(bind(spark, sf, "dim_comercios")),
     }
+    return {name: _table(spark, sf, f"{name}_current", build) for name, build in built.items()}
+
+
+def _stores_by_banner(spark: SparkSession, sf: str) -> DataFrame:
+    return _table(
+        spark,
+        sf,
+        "sucursales_by_banner",
+        lambda: dims.sucursales_current(bind(spark, sf, "dim_sucursales"), STORE_KEYS),
+    )
 
 
 def _precios(spark: SparkSession, sf: str) -> DataFrame:
@@ -84,14 +111,14 @@ def fct_price_quotes(spark, sf):
 
 @registered
 def latest_prices(spark, sf):
-    stores = dims.sucursales_current(bind(spark, sf, "dim_sucursales"), STORE_KEYS)
+    stores = _stores_by_banner(spark, sf)
     return facts.latest_prices(_precios(spark, sf), stores, _current(spark, sf)["comercios"])
 
 
 @registered
 def price_comparison(spark, sf):
     c = _current(spark, sf)
-    stores = dims.sucursales_current(bind(spark, sf, "dim_sucursales"), STORE_KEYS)
+    stores = _stores_by_banner(spark, sf)
     return facts.price_comparison(
         _precios(spark, sf), c["productos"], stores, c["comercios"], AS_OF, days_back=1500
     )
@@ -125,7 +152,8 @@ def chain_avg_prices(spark, sf):
 
 @registered
 def gold_cross_price_elasticity(spark, sf):
-    pairs = marts.cross_price_pairs(chain_avg_prices(spark, sf))
+    c = _current(spark, sf)
+    pairs = marts.cross_price_pairs(_precios(spark, sf), c["productos"], c["comercios"])
     return pairs.withColumns({c: F.round(c, 6) for c in ("ln_precio_a", "ln_precio_b")})
 
 

@@ -7,7 +7,7 @@ joined to the much smaller result.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gondola.functions import (
@@ -15,9 +15,7 @@ from gondola.functions import (
     categorize_product,
     clean_description,
     exact_avg,
-    from_units,
     percent_change,
-    price_units,
 )
 from gondola.schema import DATE, MERCHANT_KEYS, STORE_CURRENT_KEYS
 
@@ -115,69 +113,102 @@ def price_timeseries(quotes: DataFrame, sucursales: DataFrame, approx_median: bo
     )
 
 
-def chain_avg_prices(precios: DataFrame, productos: DataFrame, comercios: DataFrame) -> DataFrame:
-    """Average price per date, product and chain with at least three observations.
+def _chain_prices(precios: DataFrame, comercios: DataFrame) -> DataFrame:
+    """Average price per date, product and chain name with at least three observations.
 
-    First summed per banner id, which shrinks a day to products x banners; only that
-    is joined to banner and product names.
+    The merchant table is a few rows per company, so it is joined before the sums: one
+    partial aggregate and one shuffle of products x chains per day.
     """
-    per_banner = (
-        precios.filter(F.col("precio_lista") >= GOLD_MIN_PRICE)
-        .groupBy(DATE, "id_producto", *MERCHANT_KEYS)
-        .agg(F.sum(price_units(F.col("precio_lista"))).alias("_units"), F.count("*").alias("_n"))
-    )
     chains = comercios.select(*MERCHANT_KEYS, F.col("bandera_nombre").alias("cadena")).filter(
         F.col("cadena").isNotNull()
     )
-    per_chain = (
-        per_banner.join(chains, list(MERCHANT_KEYS))
+    return (
+        precios.filter(F.col("precio_lista") >= GOLD_MIN_PRICE)
+        .select(DATE, "id_producto", *MERCHANT_KEYS, "precio_lista")
+        .join(chains, list(MERCHANT_KEYS))
         .groupBy(DATE, "id_producto", "cadena")
-        .agg(F.sum("_units").alias("_units"), F.sum("_n").alias("num_observaciones"))
+        .agg(
+            exact_avg(F.col("precio_lista")).alias("precio_promedio"),
+            F.count("*").alias("num_observaciones"),
+        )
         .filter(F.col("num_observaciones") >= MIN_CHAIN_OBSERVATIONS)
     )
-    names = productos.select(
-        "id_producto", clean_description(F.col("descripcion")).alias("descripcion_clean"), "marca"
-    )
-    return per_chain.join(names, "id_producto", "left").select(
-        DATE,
+
+
+def _product_names(productos: DataFrame) -> DataFrame:
+    """Cleaned description, brand and category, worked out once per product."""
+    description = clean_description(F.col("descripcion"))
+    return productos.select(
         "id_producto",
-        "descripcion_clean",
+        description.alias("descripcion_clean"),
         "marca",
-        "cadena",
-        (from_units(F.col("_units")) / F.col("num_observaciones")).alias("precio_promedio"),
-        "num_observaciones",
+        categorize_product(description).alias("categoria_inferida"),
     )
 
 
-def cross_price_pairs(chain_prices: DataFrame) -> DataFrame:
+def _category() -> Column:
+    """Category after a left join: no product row means no description that could match a rule."""
+    return F.coalesce("categoria_inferida", F.lit(OTHER_CATEGORY)).alias("categoria_inferida")
+
+
+def chain_avg_prices(precios: DataFrame, productos: DataFrame, comercios: DataFrame) -> DataFrame:
+    """Average price per date, product and chain, with the product's description and brand."""
+    names = _product_names(productos).drop("categoria_inferida")
+    return (
+        _chain_prices(precios, comercios)
+        .join(names, "id_producto", "left")
+        .select(
+            DATE,
+            "id_producto",
+            "descripcion_clean",
+            "marca",
+            "cadena",
+            "precio_promedio",
+            "num_observaciones",
+        )
+    )
+
+
+def cross_price_pairs(precios: DataFrame, productos: DataFrame, comercios: DataFrame) -> DataFrame:
     """Chain pairs (a < b) with a price for the same product and date.
 
-    Both sides are the same aggregate, so Spark shuffles it once and reads the
-    exchange twice. A product has at most one row per chain and date, and the pairs
-    are the dataset itself.
+    Both sides are the same aggregate with the same columns, so Spark shuffles it once
+    and reads the exchange twice; product names are joined to the pairs. A product has
+    at most one row per chain and date, and the pairs are the dataset itself.
     """
-    a, b = chain_prices.alias("a"), chain_prices.alias("b")
-    pairs = a.join(
-        b,
-        (F.col(f"a.{DATE}") == F.col(f"b.{DATE}"))
-        & (F.col("a.id_producto") == F.col("b.id_producto"))
-        & (F.col("a.cadena") < F.col("b.cadena")),
+    side = _chain_prices(precios, comercios)
+
+    def named(suffix: str) -> DataFrame:
+        return side.select(
+            F.col(DATE).alias(f"_date_{suffix}"),
+            F.col("id_producto").alias(f"_product_{suffix}"),
+            F.col("cadena").alias(f"cadena_{suffix}"),
+            F.col("precio_promedio").alias(f"precio_promedio_{suffix}"),
+            F.col("num_observaciones").alias(f"num_obs_{suffix}"),
+        )
+
+    pairs = named("a").join(
+        named("b"),
+        (F.col("_date_a") == F.col("_date_b"))
+        & (F.col("_product_a") == F.col("_product_b"))
+        & (F.col("cadena_a") < F.col("cadena_b")),
     )
-    price_a, price_b = F.col("a.precio_promedio"), F.col("b.precio_promedio")
-    return pairs.select(
-        F.col(f"a.{DATE}"),
-        F.col("a.id_producto"),
-        F.col("a.descripcion_clean"),
-        F.col("a.marca"),
-        categorize_product(F.col("a.descripcion_clean")).alias("categoria_inferida"),
-        F.col("a.cadena").alias("cadena_a"),
-        F.col("b.cadena").alias("cadena_b"),
-        price_a.alias("precio_promedio_a"),
-        price_b.alias("precio_promedio_b"),
+    pairs = pairs.withColumnsRenamed({"_date_a": DATE, "_product_a": "id_producto"})
+    price_a, price_b = F.col("precio_promedio_a"), F.col("precio_promedio_b")
+    return pairs.join(_product_names(productos), "id_producto", "left").select(
+        DATE,
+        "id_producto",
+        "descripcion_clean",
+        "marca",
+        _category(),
+        "cadena_a",
+        "cadena_b",
+        price_a,
+        price_b,
         F.ln(price_a).alias("ln_precio_a"),
         F.ln(price_b).alias("ln_precio_b"),
-        F.col("a.num_observaciones").alias("num_obs_a"),
-        F.col("b.num_observaciones").alias("num_obs_b"),
+        "num_obs_a",
+        "num_obs_b",
         percent_change(price_a, price_b).alias("diferencia_pct"),
     )
 
@@ -185,17 +216,7 @@ def cross_price_pairs(chain_prices: DataFrame) -> DataFrame:
 def price_hypothesis(
     precios: DataFrame, productos: DataFrame, sucursales: DataFrame, comercios: DataFrame
 ) -> DataFrame:
-    """One flat row per store price with product, chain and place.
-
-    Descriptions are cleaned and categorised once per product, before the join.
-    """
-    description = clean_description(F.col("descripcion"))
-    products = productos.select(
-        "id_producto",
-        description.alias("descripcion_clean"),
-        F.col("marca").alias("_marca"),
-        categorize_product(description).alias("categoria_inferida"),
-    )
+    """One flat row per store price with product, chain and place."""
     stores = sucursales.select(*STORE_CURRENT_KEYS, "provincia", "localidad").filter(
         F.col("provincia").isNotNull()
     )
@@ -204,7 +225,7 @@ def price_hypothesis(
         precios.filter(F.col("precio_lista") >= GOLD_MIN_PRICE)
         .select(DATE, "id_producto", "id_sucursal", *MERCHANT_KEYS, "precio_lista", "precio_promo1")
         .join(stores, list(STORE_CURRENT_KEYS))
-        .join(products, "id_producto", "left")
+        .join(_product_names(productos), "id_producto", "left")
         .join(banners, list(MERCHANT_KEYS), "left")
         .select(
             DATE,
@@ -212,9 +233,8 @@ def price_hypothesis(
             "id_comercio",
             "id_sucursal",
             "descripcion_clean",
-            F.col("_marca").alias("marca"),
-            # No product row means no description that could match a rule.
-            F.coalesce("categoria_inferida", F.lit(OTHER_CATEGORY)).alias("categoria_inferida"),
+            "marca",
+            _category(),
             "bandera_nombre",
             "provincia",
             "localidad",

@@ -61,7 +61,7 @@ MODELS = (
         "precios",
         (DATE, "id_producto", "cadena_a", "cadena_b"),
         lambda i: marts.cross_price_pairs(
-            marts.chain_avg_prices(i["precios"], i["dim_productos_current"], i["dim_comercios_current"])
+            i["precios"], i["dim_productos_current"], i["dim_comercios_current"]
         ),
     ),
     # A store id is only unique within its merchant, so the key carries id_comercio.
