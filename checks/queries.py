@@ -24,7 +24,7 @@ from gondola.functions import (
 )
 from gondola.operators import adhoc, audit, clean, dims, facts, freshness, integrity, marts, quality, silver
 from gondola.plans import daily, models, query, sinks
-from gondola.schema import DATE, MERCHANT_KEYS, RAW_TABLES, STORE_KEYS, raw_columns
+from gondola.schema import DATE, MERCHANT_KEYS, RAW_TABLES, STORE_KEYS, raw_columns, silver_schema
 from gondola.session import scratch_dir
 from gondola.sources import archives, pages, raw_csv, tables
 from gondola.streaming.ingest import stream_ingest
@@ -45,27 +45,55 @@ def registered(fn: Query) -> Query:
 _written: dict[tuple[str, str, str], DataFrame] = {}
 
 
-def _table(spark: SparkSession, sf: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
-    """A current dimension as the models read it: a written table, built once per application.
+def _once(spark: SparkSession, sf: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+    """A table the queries share, written once per application and read back.
 
-    A written table has a size Spark knows, so it is broadcast only when that is small.
+    Written tables have a size Spark knows, so a side is broadcast only when it is small.
     """
     key = (spark.sparkContext.applicationId, sf, name)
     if key not in _written:
-        path = scratch_dir(spark, name)
-        df = build()
-        df.write.parquet(path)
-        _written[key] = spark.read.schema(df.schema).parquet(path)
+        _written[key] = build()
     return _written[key]
 
 
+def _precios(spark: SparkSession, sf: str) -> DataFrame:
+    """The silver fact in the layout the daily load writes."""
+
+    def build() -> DataFrame:
+        path = scratch_dir(spark, "precios")
+        sinks.replace_days(bind(spark, sf, "precios"), path, "precios")
+        return tables.scan(spark, path, silver_schema("precios"))
+
+    return _once(spark, sf, "precios", build)
+
+
+def _raw(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
+    """The bronze tables in the layout the daily load writes."""
+
+    def build(path: str, table: str) -> DataFrame:
+        sinks.write_bronze_range({table: bind(spark, sf, f"raw_{table}")}, path)
+        return tables.read_bronze(spark, sinks.bronze_path(path, table), table).drop(*tables.DAY_PARTS)
+
+    return {t: _once(spark, sf, f"raw_{t}", lambda t=t: build(scratch_dir(spark, "bronze"), t)) for t in RAW_TABLES}
+
+
+def _table(spark: SparkSession, sf: str, name: str, rows: Callable[[], DataFrame]) -> DataFrame:
+    def build() -> DataFrame:
+        path, df = scratch_dir(spark, name), rows()
+        df.write.parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
+
+    return _once(spark, sf, name, build)
+
+
 def _current(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
+    """The current dimensions as the models read them: written tables."""
     built = {
-        "productos": lambda: dims.productos_current(bind(spark, sf, "dim_productos")),
-        "sucursales": lambda: dims.sucursales_current(bind(spark, sf, "dim_sucursales")),
-        "comercios": lambda: dims.comercios_current(bind(spark, sf, "dim_comercios")),
+        "productos": dim_productos_current,
+        "sucursales": dim_sucursales_current,
+        "comercios": dim_comercios_current,
     }
-    return {name: _table(spark, sf, f"{name}_current", build) for name, build in built.items()}
+    return {name: _table(spark, sf, f"{name}_current", lambda q=q: q(spark, sf)) for name, q in built.items()}
 
 
 def _stores_by_banner(spark: SparkSession, sf: str) -> DataFrame:
@@ -77,26 +105,22 @@ def _stores_by_banner(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def _precios(spark: SparkSession, sf: str) -> DataFrame:
-    return bind(spark, sf, "precios")
-
-
 # --- dimensions and facts -----------------------------------------------------
 
 
 @registered
 def dim_comercios_current(spark, sf):
-    return _current(spark, sf)["comercios"]
+    return dims.comercios_current(bind(spark, sf, "dim_comercios"))
 
 
 @registered
 def dim_sucursales_current(spark, sf):
-    return _current(spark, sf)["sucursales"]
+    return dims.sucursales_current(bind(spark, sf, "dim_sucursales"))
 
 
 @registered
 def dim_productos_current(spark, sf):
-    return _current(spark, sf)["productos"]
+    return dims.productos_current(bind(spark, sf, "dim_productos"))
 
 
 @registered
@@ -194,7 +218,7 @@ QUERIES["categorize_product"] = QUERIES.pop("categorize_product_query")
 
 @registered
 def soft_cast(spark, sf):
-    raw = bind(spark, sf, "raw_productos")
+    raw = _raw(spark, sf)["productos"]
     return raw.select(
         DATE,
         "id_producto",
@@ -220,7 +244,7 @@ QUERIES["business_date"] = QUERIES.pop("business_date_query")
 def date_window_scan(spark, sf):
     path = scratch_dir(spark, "window")
     sinks.replace_days(_precios(spark, sf), path, "precios")
-    rows = facts.date_window(tables.scan(spark, path, silver.silver_schema("precios")), date(2000, 1, 3))
+    rows = facts.date_window(tables.scan(spark, path, silver_schema("precios")), date(2000, 1, 3))
     return rows.groupBy(DATE, "id_producto").agg(F.count("*").alias("filas"), F.max("precio_lista").alias("maximo"))
 
 
@@ -229,50 +253,50 @@ def date_window_scan(spark, sf):
 
 @registered
 def footer_filter(spark, sf):
-    rows = clean.drop_footer(bind(spark, sf, "raw_productos"), "id_producto")
+    rows = clean.drop_footer(_raw(spark, sf)["productos"], "id_producto")
     return rows.groupBy(DATE).agg(F.count("*").alias("filas"), F.count("id_producto").alias("con_producto"))
 
 
 @registered
 def clean_comercio(spark, sf):
-    return clean.clean_comercio(bind(spark, sf, "raw_comercio"))
+    return clean.clean_comercio(_raw(spark, sf)["comercio"])
 
 
 @registered
 def clean_sucursales(spark, sf):
-    return clean.clean_sucursales(bind(spark, sf, "raw_sucursales"))
+    return clean.clean_sucursales(_raw(spark, sf)["sucursales"])
 
 
 @registered
 def clean_productos(spark, sf):
-    return clean.clean_productos(bind(spark, sf, "raw_productos"))
+    return clean.clean_productos(_raw(spark, sf)["productos"])
 
 
 @registered
 def store_type_unknown(spark, sf):
-    return clean.unknown_store_types(clean.clean_sucursales(bind(spark, sf, "raw_sucursales")))
+    return clean.unknown_store_types(clean.clean_sucursales(_raw(spark, sf)["sucursales"]))
 
 
 @registered
 def merged_dimensions(spark, sf):
     """Every package repeats its merchant's row; two frames with other column orders repeat all."""
-    raw = bind(spark, sf, "raw_comercio")
+    raw = _raw(spark, sf)["comercio"]
     return clean.merge_dimension([raw, raw.select(*reversed(raw.columns))], clean.clean_comercio)
 
 
 @registered
 def to_silver_precios(spark, sf):
-    return silver.to_silver_precios(clean.clean_productos(bind(spark, sf, "raw_productos")))
+    return silver.to_silver_precios(clean.clean_productos(_raw(spark, sf)["productos"]))
 
 
 @registered
 def to_silver_sucursales(spark, sf):
-    return silver.to_silver_sucursales(clean.clean_sucursales(bind(spark, sf, "raw_sucursales")))
+    return silver.to_silver_sucursales(clean.clean_sucursales(_raw(spark, sf)["sucursales"]))
 
 
 @registered
 def to_silver_comercios(spark, sf):
-    return silver.to_silver_comercios(clean.clean_comercio(bind(spark, sf, "raw_comercio")))
+    return silver.to_silver_comercios(clean.clean_comercio(_raw(spark, sf)["comercio"]))
 
 
 @registered
@@ -282,11 +306,7 @@ def distinct_products(spark, sf):
 
 @registered
 def to_silver_productos(spark, sf):
-    return silver.to_silver_productos(clean.clean_productos(bind(spark, sf, "raw_productos")))
-
-
-def _raw(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
-    return {t: bind(spark, sf, f"raw_{t}") for t in RAW_TABLES}
+    return silver.to_silver_productos(clean.clean_productos(_raw(spark, sf)["productos"]))
 
 
 @registered
@@ -391,7 +411,7 @@ def dq_duplicate_products(spark, sf):
 def dq_province(spark, sf):
     """Provinces as declared, before cleaning: names and footers included."""
     return quality.province_domain(
-        bind(spark, sf, "raw_sucursales").withColumnRenamed("sucursales_provincia", "provincia"), by=[DATE]
+        _raw(spark, sf)["sucursales"].withColumnRenamed("sucursales_provincia", "provincia"), by=[DATE]
     )
 
 
@@ -441,8 +461,7 @@ def dq_grain(spark, sf):
 
 @registered
 def silver_health(spark, sf):
-    names = ("precios", "dim_sucursales", "dim_comercios", "dim_productos")
-    return quality.silver_health({n: bind(spark, sf, n) for n in names})
+    return quality.silver_health(_lake(spark, sf))
 
 
 # --- files: raw text, tables, commits ------------------------------------------------
@@ -466,7 +485,7 @@ def _write_lines(df: DataFrame, columns: list[str], path: str, header: str | Non
 @registered
 def raw_csv_clean(spark, sf):
     path = scratch_dir(spark, "raw")
-    _write_lines(bind(spark, sf, "raw_productos"), list(raw_columns("productos")), path)
+    _write_lines(_raw(spark, sf)["productos"], list(raw_columns("productos")), path)
     return raw_csv.read_raw_csv(spark, path)
 
 
@@ -474,7 +493,7 @@ def raw_csv_clean(spark, sf):
 def align_by_name(spark, sf):
     """Three headers: file order with a byte order mark, reversed with blanks, promotions left out."""
     path = scratch_dir(spark, "mixed")
-    raw = bind(spark, sf, "raw_productos")
+    raw = _raw(spark, sf)["productos"]
     names = list(raw_columns("productos"))
     code = F.coalesce("productos_ean", F.lit(""))
     few = [c for c in names if "promo" not in c]
@@ -505,7 +524,7 @@ def silver_day_replace(spark, sf):
     again = rows.filter(F.col(DATE) == "1999-01-01").withColumn("precio_lista", F.col("precio_lista") + 1)
     for _ in range(2):
         sinks.replace_days(again, path, "precios")
-    return tables.scan(spark, path, silver.silver_schema("precios"))
+    return tables.scan(spark, path, silver_schema("precios"))
 
 
 @registered
@@ -515,7 +534,7 @@ def dim_snapshot_replace(spark, sf):
     sinks.replace_days(rows, path)
     again = rows.filter(F.col(DATE) == "1999-01-01").withColumn("nombre", F.upper("nombre"))
     sinks.replace_days(again, path)
-    return tables.scan(spark, path, silver.silver_schema("dim_sucursales"))
+    return tables.scan(spark, path, silver_schema("dim_sucursales"))
 
 
 @registered
@@ -550,7 +569,7 @@ def retention_plan(spark, sf):
 def partition_pruning(spark, sf):
     path = scratch_dir(spark, "pruning")
     sinks.replace_days(_precios(spark, sf), path, "precios")
-    return quality.pruning_effect(tables.scan(spark, path, silver.silver_schema("precios")), "1999-01-01")
+    return quality.pruning_effect(tables.scan(spark, path, silver_schema("precios")), "1999-01-01")
 
 
 # --- incremental ----------------------------------------------------------------------
@@ -584,11 +603,11 @@ def backfill_range(spark, sf):
     sinks.write_bronze_range(_raw(spark, sf), path)
     daily.load_days(spark, path, date(1996, 1, 1), date(2000, 12, 31), RUN_TIME)
     rows = spark.read.schema(audit.AUDIT_SILVER).parquet(f"{path}/audit/silver")
-    fact = tables.scan(spark, models.table_path(path, "precios"), silver.silver_schema("precios"))
+    fact = tables.scan(spark, models.table_path(path, "precios"), silver_schema("precios"))
     loaded = fact.groupBy(DATE).agg(
         F.count("*").alias("filas"), F.count_distinct("id_producto").alias("productos")
     )
-    products = tables.scan(spark, models.table_path(path, "dim_productos"), silver.silver_schema("dim_productos"))
+    products = tables.scan(spark, models.table_path(path, "dim_productos"), silver_schema("dim_productos"))
     dim = products.groupBy(DATE).agg(F.count("*").alias("dim_productos"))
     return rows.drop("ingested_at", "table_type").join(loaded, DATE).join(dim, DATE)
 
@@ -605,7 +624,7 @@ def stream_ingest_query(spark, sf):
         arrived = tables.with_day_parts(raw["productos"].filter(wave)).drop(DATE)
         arrived.write.mode("append").partitionBy(*tables.DAY_PARTS).parquet(f"{path}/arrivals")
         stream_ingest(spark, f"{path}/arrivals", path, f"{path}/progress").awaitTermination()
-    fact = tables.scan(spark, models.table_path(path, "precios"), silver.silver_schema("precios"))
+    fact = tables.scan(spark, models.table_path(path, "precios"), silver_schema("precios"))
     return fact.groupBy(DATE).agg(F.count("*").alias("filas"), F.count_distinct("id_producto").alias("productos"))
 
 
@@ -624,7 +643,7 @@ def master_archives(spark: SparkSession, sf: str) -> DataFrame:
     a few hundred at any scale factor.
     """
     products = list(raw_columns("productos"))
-    lines = bind(spark, sf, "raw_productos").filter(F.col("id_sucursal").isNotNull()).select(
+    lines = _raw(spark, sf)["productos"].filter(F.col("id_sucursal").isNotNull()).select(
         F.col("id_sucursal").cast("bigint").alias("s_suppkey"),
         F.year(DATE).alias("y"),
         F.array_join(F.array(*[F.col(c) for c in products]), "|", "").alias("line"),
@@ -762,7 +781,8 @@ def package_links(spark, sf):
 
 
 def _lake(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
-    return {n: bind(spark, sf, n) for n in ("precios", "dim_comercios", "dim_sucursales", "dim_productos")}
+    names = ("dim_comercios", "dim_sucursales", "dim_productos")
+    return {"precios": _precios(spark, sf)} | {n: bind(spark, sf, n) for n in names}
 
 
 @registered

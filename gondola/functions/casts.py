@@ -18,8 +18,8 @@ def strip(c: Column) -> Column:
 
 
 def _decimal_text(c: Column) -> Column:
-    # Spark also parses Java literals such as "1.0d"; a trailing type letter is text here.
-    return F.when(~F.upper(F.right(strip(c), F.lit(1))).isin("D", "F"), c)
+    # Spark also parses Java literals such as "1.0d"; a closing type letter is text here.
+    return F.when(~(c.endswith("d") | c.endswith("D") | c.endswith("f") | c.endswith("F")), c)
 
 
 def soft_double(c: Column) -> Column:

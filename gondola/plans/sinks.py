@@ -100,6 +100,16 @@ def _day_folder(day: date) -> list[str]:
     return [f"year={day:%Y}", f"month={day:%m}", f"day={day:%d}"]
 
 
+def _day_names(table: Folder) -> list[tuple[str, str, str]]:
+    return [
+        (y, m, d)
+        for y in table.children()
+        if y.startswith("year=")
+        for m in table.child(y).children()
+        for d in table.child(y, m).children()
+    ]
+
+
 def _marker(spark: SparkSession, root: str, day: date) -> Folder:
     return Folder(spark, f"{root}/bronze/_committed").child(*_day_folder(day), SUCCESS)
 
@@ -141,9 +151,9 @@ def write_bronze_day(frames: dict[str, DataFrame], root: str, day: date) -> dict
 
 
 def write_bronze_range(frames: dict[str, DataFrame], root: str) -> None:
-    """Many days at once: frames carry the date; each date in them is replaced and marked.
+    """Many days at once: frames carry the date; each date in them is replaced.
 
-    The date list is read from the written merchant table's folders, one row per day.
+    A date whose three tables are present is marked as committed.
     """
     spark = next(iter(frames.values())).sparkSession
     for table, df in frames.items():
@@ -157,10 +167,11 @@ def write_bronze_range(frames: dict[str, DataFrame], root: str) -> None:
             .partitionBy(*DAY_PARTS)
             .parquet(bronze_path(root, table))
         )
-    days = frames[RAW_TABLES[0]].select(DATE).distinct().collect()
-    for row in days:
-        if all(Folder(spark, bronze_path(root, t)).child(*_day_folder(row[0])).exists() for t in RAW_TABLES):
-            _marker(spark, root, row[0]).touch()
+    # Folder names, one per day: no rows are read.
+    for year, month, day in _day_names(Folder(spark, bronze_path(root, RAW_TABLES[0]))):
+        folder = [year, month, day]
+        if all(Folder(spark, bronze_path(root, t)).child(*folder).exists() for t in RAW_TABLES):
+            Folder(spark, f"{root}/bronze/_committed").child(*folder, SUCCESS).touch()
 
 
 # --- upsert -----------------------------------------------------------------
