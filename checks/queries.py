@@ -7,6 +7,7 @@ import zipfile
 from collections.abc import Callable, Iterator
 from datetime import date, datetime
 from functools import reduce
+from typing import TypeVar
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -42,11 +43,12 @@ def registered(fn: Query) -> Query:
     return fn
 
 
-_written: dict[tuple[str, str, str], DataFrame] = {}
+_written: dict = {}
+T = TypeVar("T")
 
 
-def _once(spark: SparkSession, sf: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
-    """A table the queries share, written once per application and read back.
+def _once(spark: SparkSession, sf: str, name: str, build: Callable[[], T]) -> T:
+    """Tables the queries share, written once per application and read back.
 
     Written tables have a size Spark knows, so a side is broadcast only when it is small.
     """
@@ -67,14 +69,20 @@ def _precios(spark: SparkSession, sf: str) -> DataFrame:
     return _once(spark, sf, "precios", build)
 
 
-def _raw(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
-    """The bronze tables in the layout the daily load writes."""
+def _bronze_root(spark: SparkSession, sf: str) -> str:
+    """Bronze tables of all days in the layout the daily load writes."""
+
+    def build() -> str:
+        path = scratch_dir(spark, "bronze")
+        sinks.write_bronze_range({t: bind(spark, sf, f"raw_{t}") for t in RAW_TABLES}, path)
+        return path
 
-    def build(path: str, table: str) -> DataFrame:
-        sinks.write_bronze_range({table: bind(spark, sf, f"raw_{table}")}, path)
-        return tables.read_bronze(spark, sinks.bronze_path(path, table), table).drop(*tables.DAY_PARTS)
+    return _once(spark, sf, "bronze", build)
 
-    return {t: _once(spark, sf, f"raw_{t}", lambda t=t: build(scratch_dir(spark, "bronze"), t)) for t in RAW_TABLES}
+
+def _raw(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
+    root = _bronze_root(spark, sf)
+    return {t: tables.read_bronze(spark, sinks.bronze_path(root, t), t).drop(*tables.DAY_PARTS) for t in RAW_TABLES}
 
 
 def _table(spark: SparkSession, sf: str, name: str, rows: Callable[[], DataFrame]) -> DataFrame:
@@ -539,9 +547,7 @@ def dim_snapshot_replace(spark, sf):
 
 @registered
 def bronze_partition_scan(spark, sf):
-    path = scratch_dir(spark, "bronze")
-    sinks.write_bronze_range(_raw(spark, sf), path)
-    rows = daily.bronze_rows(spark, path, "productos", date(1997, 1, 1), date(1999, 12, 31))
+    rows = daily.bronze_rows(spark, _bronze_root(spark, sf), "productos", date(1997, 1, 1), date(1999, 12, 31))
     return rows.groupBy("year", "month", "day").agg(
         F.count("*").alias("filas"), F.count("productos_precio_lista").alias("con_precio")
     )
@@ -598,10 +604,10 @@ def incremental_upsert(spark, sf):
 
 @registered
 def backfill_range(spark, sf):
-    """Bronze of all days, a range of them loaded to silver in one run; counters per day."""
+    """A range of bronze days loaded to silver in one run; counters per day."""
     path = scratch_dir(spark, "backfill")
-    sinks.write_bronze_range(_raw(spark, sf), path)
-    daily.load_days(spark, path, date(1996, 1, 1), date(2000, 12, 31), RUN_TIME)
+    days = (date(1996, 1, 1), date(2000, 12, 31))
+    daily.load_days(spark, path, *days, scraped_at=RUN_TIME, bronze_root=_bronze_root(spark, sf))
     rows = spark.read.schema(audit.AUDIT_SILVER).parquet(f"{path}/audit/silver")
     fact = tables.scan(spark, models.table_path(path, "precios"), silver_schema("precios"))
     loaded = fact.groupBy(DATE).agg(
@@ -684,7 +690,8 @@ def _child(header: str, lines: list[str], year: int, nation: int, balance: float
 
 
 def _children(spark: SparkSession, sf: str) -> DataFrame:
-    return archives.split_masters(master_archives(spark, sf), "child_*.zip")
+    masters = _table(spark, sf, "masters", lambda: master_archives(spark, sf))
+    return archives.split_masters(masters, "child_*.zip")
 
 
 def _dated(children: DataFrame) -> DataFrame:
@@ -723,17 +730,14 @@ def bronze_build(spark, sf):
 @registered
 def audit_bronze(spark, sf):
     """Audit rows of all days: what was read, what was written, and the package counters."""
-    path = scratch_dir(spark, "audit")
-    raw = _raw(spark, sf)
-    sinks.write_bronze_range(raw, path)
-    written = {t: daily.bronze_rows(spark, path, t, FIRST_DAY, LAST_DAY).drop(*tables.DAY_PARTS) for t in RAW_TABLES}
+    given = {t: bind(spark, sf, f"raw_{t}") for t in RAW_TABLES}
     dated = _dated(_children(spark, sf)).withColumn(
         DATE, F.make_date(F.regexp_extract("child", r"(\d{4})", 1).cast("int"), F.lit(1), F.lit(1))
     )
     per_day = freshness.package_completeness(dated.drop("package").withColumnRenamed(DATE, "package"))
     packages = per_day.select(F.col("package").alias(DATE), "malformed", "stale", "unknown")
     return audit.bronze_audit(
-        audit.table_volume(raw), audit.table_volume(written), packages, RUN_TIME, "masters", "bronze"
+        audit.table_volume(given), audit.table_volume(_raw(spark, sf)), packages, RUN_TIME, "masters", "bronze"
     )
 
 

@@ -106,7 +106,15 @@ def load_silver(
     return stats
 
 
-def load_days(spark: SparkSession, root: str, first: date, last: date, scraped_at: datetime | None = None) -> DataFrame:
-    """Backfill of an inclusive date range from bronze."""
+def load_days(
+    spark: SparkSession,
+    root: str,
+    first: date,
+    last: date,
+    scraped_at: datetime | None = None,
+    bronze_root: str | None = None,
+) -> DataFrame:
+    """Backfill of an inclusive date range from bronze (under ``root`` unless given)."""
     check_range(first, last)
-    return load_silver({t: bronze_rows(spark, root, t, first, last) for t in RAW_TABLES}, root, scraped_at)
+    bronze = {t: bronze_rows(spark, bronze_root or root, t, first, last) for t in RAW_TABLES}
+    return load_silver(bronze, root, scraped_at)

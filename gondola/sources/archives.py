@@ -16,8 +16,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gondola.schema import RAW_TABLES, raw_columns
-from gondola.sources.raw_csv import header_fields, parse_lines
+from gondola.schema import RAW_TABLES
+from gondola.sources.raw_csv import layout, parse_lines
 
 OK, MALFORMED = "ok", "malformed"
 LINES_PER_BATCH = 20_000
@@ -25,7 +25,7 @@ _EMPTY_MASTER = "master"
 
 _CHILDREN = "package string, child string, ordinal int, content binary"
 _STATUS = "package string, child string, ordinal int, status string"
-_LINES = "package string, child string, table string, header string, line_no bigint, line string"
+_LINES = "package string, child string, table string, layout array<int>, line_no bigint, line string"
 
 
 def read_masters(spark: SparkSession, paths: str | list[str], glob: str = "*.zip") -> DataFrame:
@@ -88,7 +88,7 @@ def child_status(children: DataFrame) -> DataFrame:
 def member_lines(
     children: DataFrame, tables: tuple[str, ...] = RAW_TABLES, complete_only: bool = True
 ) -> DataFrame:
-    """Data lines of the children with the header line of their file.
+    """Data lines of the children with the column layout of their file.
 
     Children that lack a table are left out unless ``complete_only`` is off. Members are
     decoded as a stream, so memory is one batch of lines, not one file.
@@ -111,13 +111,12 @@ def member_lines(
 
 def _batches(package: str, child: str, table: str, raw) -> Iterator[pd.DataFrame]:
     text = io.TextIOWrapper(raw, encoding="utf-8-sig", errors="replace")
-    header = text.readline().rstrip("\n")
+    columns = layout(text.readline().rstrip("\n"), table)
 
     def batch(numbered: list[tuple[int, str]]) -> pd.DataFrame:
         frame = pd.DataFrame(numbered, columns=["line_no", "line"])
-        return frame.assign(package=package, child=child, table=table, header=header)[
-            ["package", "child", "table", "header", "line_no", "line"]
-        ]
+        frame = frame.assign(package=package, child=child, table=table, layout=[columns] * len(frame))
+        return frame[["package", "child", "table", "layout", "line_no", "line"]]
 
     pending = []
     for number, line in enumerate(text, start=1):
@@ -132,6 +131,4 @@ def _batches(package: str, child: str, table: str, raw) -> Iterator[pd.DataFrame
 
 def table_rows(lines: DataFrame, table: str, keep: tuple[str, ...] = ("package", "child")) -> DataFrame:
     """Lines of one table as its raw columns, whatever the header of each child."""
-    raw_columns(table)
-    own = lines.filter(F.col("table") == table).withColumn("header", header_fields(F.col("header")))
-    return parse_lines(own, table, keep)
+    return parse_lines(lines.filter(F.col("table") == table), table, keep)

@@ -42,25 +42,33 @@ def _split(line: Column) -> Column:
     return F.split(line, r"\|", -1)
 
 
-def header_fields(header: Column) -> Column:
-    """Header line to an array of trimmed names, without a byte order mark."""
-    return F.transform(_split(F.ltrim(header, F.lit(BOM))), lambda name: F.btrim(name, F.lit(" \t\r\n")))
+def layout(header: str, table: str) -> list[int]:
+    """Field index of each table column in a file with this header line, -1 when absent."""
+    names = [clean_header(name) for name in header.split(SEPARATOR)]
+    return [names.index(c) if c in names else -1 for c in raw_columns(table)]
+
+
+def layout_column(header: Column, table: str) -> Column:
+    """The same for a column of header lines."""
+    blanks = F.lit(" \t\r\n")
+    names = F.transform(_split(F.ltrim(header, F.lit(BOM))), lambda name: F.btrim(name, blanks))
+    return F.array(*[F.array_position(names, c).cast("int") - 1 for c in raw_columns(table)])
 
 
 def parse_lines(lines: DataFrame, table: str, keep: tuple[str, ...] = ()) -> DataFrame:
-    """Data lines to the table's columns, matched by name with the header of their file.
+    """Data lines to the table's columns, matched by name through the layout of their file.
 
-    ``lines``: header (array of names), line. Absent columns become null, columns outside
-    the contract are dropped. Files may order and omit columns as they like, all in one
-    pass and without a read per header variant.
+    ``lines``: layout (field index per table column), line. Absent columns become null,
+    columns outside the contract are dropped. Files may order and omit columns as they
+    like, all in one pass and without a read per header variant.
     """
     fields = lines.withColumn("_fields", _split(F.col("line")))
 
-    def value(name: str) -> Column:
-        position = F.array_position("header", name).cast("int")
-        return blank_to_null(F.get(F.col("_fields"), position - 1)).alias(name)
+    def value(position: int, name: str) -> Column:
+        text = F.get(F.col("_fields"), F.get(F.col("layout"), F.lit(position)))
+        return blank_to_null(text).alias(name)
 
-    return fields.select(*keep, *[value(name) for name in raw_columns(table)])
+    return fields.select(*keep, *[value(i, name) for i, name in enumerate(raw_columns(table))])
 
 
 def _is_header(line: Column, table: str) -> Column:
@@ -82,6 +90,6 @@ def read_by_name(spark: SparkSession, paths: str | list[str], table: str, keep_p
     )
     header = _is_header(F.col("line"), table)
     headers = text.filter(header).groupBy("path").agg(F.min("line").alias("_header"))
-    headers = headers.select("path", header_fields(F.col("_header")).alias("header"))
+    headers = headers.select("path", layout_column(F.col("_header"), table).alias("layout"))
     data = text.filter(~header).join(headers, "path")
     return parse_lines(data, table, keep=("path",) if keep_path else ())
