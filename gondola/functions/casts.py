@@ -19,7 +19,7 @@ def strip(c: Column) -> Column:
 
 def _decimal_text(c: Column) -> Column:
     # Spark also parses Java literals such as "1.0d"; a closing type letter is text here.
-    return F.when(~(c.endswith("d") | c.endswith("D") | c.endswith("f") | c.endswith("F")), c)
+    return F.when(~F.substring(c, -1, 1).isin("d", "D", "f", "F"), c)
 
 
 def soft_double(c: Column) -> Column:

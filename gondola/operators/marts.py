@@ -68,7 +68,13 @@ def store_coverage(precios: DataFrame, sucursales: DataFrame) -> DataFrame:
 
 
 def price_timeseries(quotes: DataFrame, sucursales: DataFrame, approx_median: bool = False) -> DataFrame:
-    """Price series per date, product and province from the deduplicated quotes."""
+    """Price series per date, product and province from the deduplicated quotes.
+
+    Stores are counted in a narrow aggregate of their own: counting them together with
+    the rest would shuffle every measure once per store first. Both aggregates are
+    partitioned by the series key, so joining them moves nothing.
+    """
+    key = [DATE, "id_producto", "provincia"]
     price = F.col("precio_lista")
     stores = sucursales.select(*STORE_CURRENT_KEYS, "provincia").filter(F.col("provincia").isNotNull())
     priced = (
@@ -85,7 +91,10 @@ def price_timeseries(quotes: DataFrame, sucursales: DataFrame, approx_median: bo
         )
     )
     median = F.percentile_approx(price, 0.5) if approx_median else F.median(price)
-    series = priced.groupBy(DATE, "id_producto", "provincia").agg(
+    stores_per_key = (
+        priced.select(*key, "id_sucursal").distinct().groupBy(*key).agg(F.count("id_sucursal").alias("num_sucursales"))
+    )
+    series = priced.groupBy(*key).agg(
         F.min("descripcion_clean").alias("descripcion_clean"),
         F.min("marca").alias("marca"),
         exact_avg(price).alias("precio_promedio"),
@@ -94,9 +103,8 @@ def price_timeseries(quotes: DataFrame, sucursales: DataFrame, approx_median: bo
         F.max(price).alias("precio_max"),
         F.stddev_samp(price).alias("precio_desvio"),
         F.count("*").alias("num_observaciones"),
-        F.count_distinct("id_sucursal").alias("num_sucursales"),
     )
-    return series.select(
+    return series.join(stores_per_key, key, "left").select(
         DATE,
         "id_producto",
         "descripcion_clean",

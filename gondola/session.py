@@ -18,6 +18,9 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.sql.parquet.compression.codec": "zstd",
+    # HotSpot does not compile methods over 8000 bytes. The wide cleaning projections would
+    # pass that as one generated method; above the limit Spark splits them instead.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     "spark.sql.execution.arrow.maxBytesPerBatch": "64m",
 }
 

@@ -12,9 +12,10 @@ import zipfile
 from collections.abc import Iterator
 from fnmatch import fnmatch
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import from_arrow_schema
 
 from gondola.schema import RAW_TABLES
 from gondola.sources.raw_csv import layout, parse_lines
@@ -23,9 +24,22 @@ OK, MALFORMED = "ok", "malformed"
 LINES_PER_BATCH = 20_000
 _EMPTY_MASTER = "master"
 
-_CHILDREN = "package string, child string, ordinal int, content binary"
-_STATUS = "package string, child string, ordinal int, status string"
-_LINES = "package string, child string, table string, layout array<int>, line_no bigint, line string"
+_CHILDREN = pa.schema(
+    [("package", pa.string()), ("child", pa.string()), ("ordinal", pa.int32()), ("content", pa.binary())]
+)
+_STATUS = pa.schema(
+    [("package", pa.string()), ("child", pa.string()), ("ordinal", pa.int32()), ("status", pa.string())]
+)
+_LINES = pa.schema(
+    [
+        ("package", pa.string()),
+        ("child", pa.string()),
+        ("table", pa.string()),
+        ("layout", pa.list_(pa.int32())),
+        ("line_no", pa.int64()),
+        ("line", pa.string()),
+    ]
+)
 
 
 def read_masters(spark: SparkSession, paths: str | list[str], glob: str = "*.zip") -> DataFrame:
@@ -35,27 +49,35 @@ def read_masters(spark: SparkSession, paths: str | list[str], glob: str = "*.zip
 def split_masters(masters: DataFrame, child_glob: str = "*.zip", spread: int | None = None) -> DataFrame:
     """One row per child ZIP, found at any depth of the master, spread by its name.
 
-    A master that cannot be opened gives one child without content.
+    A master that cannot be opened gives one child without content. ``spread`` is the
+    number of tasks children go to, the session's shuffle partitions by default; given
+    as a number it is kept, since small archives unpack to much larger text.
     """
 
-    def split(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for path, content in zip(batch["path"], batch["content"]):
-                try:
-                    with zipfile.ZipFile(io.BytesIO(content)) as master:
-                        names = [n for n in master.namelist() if fnmatch(n.rsplit("/", 1)[-1], child_glob)]
-                        for ordinal, name in enumerate(names):
-                            yield pd.DataFrame(
-                                {"package": [path], "child": [name], "ordinal": [ordinal], "content": [master.read(name)]}
-                            )
-                except zipfile.BadZipFile:
-                    yield pd.DataFrame(
-                        {"package": [path], "child": [_EMPTY_MASTER], "ordinal": [0], "content": [b""]}
-                    )
-
-    children = masters.select("path", "content").mapInPandas(split, _CHILDREN)
-    keys = [F.col("package"), F.col("child")]
-    return children.repartition(spread, *keys) if spread else children.repartition(*keys)
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for path, content in _pairs(batches, "path", "content"):
+            try:
+                with zipfile.ZipFile(io.BytesIO(content)) as master:
+                    names = [n for n in master.namelist() if fnmatch(n.rsplit("/", 1)[-1], child_glob)]
+                    for ordinal, name in enumerate(names):
+                        yield _batch(_CHILDREN, [path], [name], [ordinal], [master.read(name)])
+            except zipfile.BadZipFile:
+                yield _batch(_CHILDREN, [path], [_EMPTY_MASTER], [0], [b""])
+
+    children = masters.select("path", "content").mapInArrow(split, from_arrow_schema(_CHILDREN))
+    tasks = spread or int(masters.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return children.repartition(tasks, "package", "child")
+
+
+def _pairs(batches: Iterator[pa.RecordBatch], *names: str) -> Iterator[tuple]:
+    for batch in batches:
+        columns = [batch.column(n) for n in names]
+        for i in range(batch.num_rows):
+            yield tuple(c[i].as_py() for c in columns)
+
+
+def _batch(schema: pa.Schema, *columns: list) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
 
 
 def _open_child(content: bytes) -> tuple[zipfile.ZipFile | None, dict[str, str]]:
@@ -76,13 +98,12 @@ def _open_child(content: bytes) -> tuple[zipfile.ZipFile | None, dict[str, str]]
 def child_status(children: DataFrame) -> DataFrame:
     """Whether each child opens and has all three tables."""
 
-    def status(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            found = [len(_open_child(content)[1]) for content in batch["content"]]
-            states = [OK if n == len(RAW_TABLES) else MALFORMED for n in found]
-            yield batch[["package", "child", "ordinal"]].assign(status=states)
+    def status(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for package, child, ordinal, content in _pairs(batches, "package", "child", "ordinal", "content"):
+            complete = len(_open_child(content)[1]) == len(RAW_TABLES)
+            yield _batch(_STATUS, [package], [child], [ordinal], [OK if complete else MALFORMED])
 
-    return children.mapInPandas(status, _STATUS)
+    return children.mapInArrow(status, from_arrow_schema(_STATUS))
 
 
 def member_lines(
@@ -91,42 +112,37 @@ def member_lines(
     """Data lines of the children with the column layout of their file.
 
     Children that lack a table are left out unless ``complete_only`` is off. Members are
-    decoded as a stream, so memory is one batch of lines, not one file.
+    decoded as a stream and handed on in batches that may span children, so memory is
+    one batch of lines.
     """
 
-    def lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for package, child, content in zip(batch["package"], batch["child"], batch["content"]):
-                archive, members = _open_child(content)
-                if archive is None or (complete_only and len(members) < len(RAW_TABLES)):
-                    continue
-                with archive:
-                    for table in tables:
-                        if table in members:
-                            with archive.open(members[table]) as raw:
-                                yield from _batches(package, child, table, raw)
-
-    return children.select("package", "child", "content").mapInPandas(lines, _LINES)
-
-
-def _batches(package: str, child: str, table: str, raw) -> Iterator[pd.DataFrame]:
+    def lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pending: list[tuple] = []
+        for package, child, content in _pairs(batches, "package", "child", "content"):
+            archive, members = _open_child(content)
+            if archive is None or (complete_only and len(members) < len(RAW_TABLES)):
+                continue
+            with archive:
+                for table in [t for t in tables if t in members]:
+                    with archive.open(members[table]) as raw:
+                        for numbered in _data_lines(raw, table):
+                            pending.append((package, child, table, *numbered))
+                            if len(pending) >= LINES_PER_BATCH:
+                                yield _batch(_LINES, *zip(*pending))
+                                pending = []
+        if pending:
+            yield _batch(_LINES, *zip(*pending))
+
+    return children.select("package", "child", "content").mapInArrow(lines, from_arrow_schema(_LINES))
+
+
+def _data_lines(raw, table: str) -> Iterator[tuple[list[int], int, str]]:
+    """(layout, line number, line) of each data line of one member."""
     text = io.TextIOWrapper(raw, encoding="utf-8-sig", errors="replace")
     columns = layout(text.readline().rstrip("\n"), table)
-
-    def batch(numbered: list[tuple[int, str]]) -> pd.DataFrame:
-        frame = pd.DataFrame(numbered, columns=["line_no", "line"])
-        frame = frame.assign(package=package, child=child, table=table, layout=[columns] * len(frame))
-        return frame[["package", "child", "table", "layout", "line_no", "line"]]
-
-    pending = []
     for number, line in enumerate(text, start=1):
         if line.strip():
-            pending.append((number, line.rstrip("\n")))
-        if len(pending) >= LINES_PER_BATCH:
-            yield batch(pending)
-            pending = []
-    if pending:
-        yield batch(pending)
+            yield columns, number, line.rstrip("\n")
 
 
 def table_rows(lines: DataFrame, table: str, keep: tuple[str, ...] = ("package", "child")) -> DataFrame:
