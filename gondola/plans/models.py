@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from gondola.operators import dims, facts, marts
 from gondola.operators.quality import GRAIN, assert_grain
-from gondola.plans.sinks import Folder, replace_days, upsert
+from gondola.plans.sinks import Folder, date_folders, replace_days, upsert
 from gondola.schema import DATE, QUOTE_KEYS, SILVER
 
 # Days recomputed for late data, high-water mark of an empty target.
@@ -77,10 +77,15 @@ MODELS = (
 
 
 def high_water_mark(target: DataFrame) -> date:
-    """Newest date of a target; one value, read from partition folders."""
+    """Newest date of a target frame, one value."""
     return target.agg(F.max(DATE)).head()[0] or EMPTY_MARK
 
 
+def written_mark(spark: SparkSession, path: str) -> date:
+    """Newest date of a written table, from its partition folders; no file is opened."""
+    return max(map(date.fromisoformat, date_folders(Folder(spark, path))), default=EMPTY_MARK)
+
+
 def incremental_rows(source: DataFrame, mark: date, lookback: timedelta = LOOKBACK) -> DataFrame:
     """Source rows a run recomputes. The bound is a literal, so date partitions prune."""
     return source.filter(F.col(DATE) >= F.lit((mark - lookback).isoformat()).cast("date"))
@@ -90,38 +95,36 @@ def table_path(root: str, name: str) -> str:
     return f"{root}/silver/{name}" if name in SILVER else f"{root}/gold/{name}"
 
 
-def run_model(spark: SparkSession, model: Model, inputs: Inputs, path: str, full: bool = False) -> None:
-    """First run builds all dates; later runs upsert from the high-water mark on."""
+def run_model(spark: SparkSession, model: Model, inputs: Inputs, path: str, full: bool = False) -> DataFrame:
+    """First run builds all dates; later runs upsert from the high-water mark on.
+
+    Returns the table as written, also when it has no rows yet.
+    """
     fact = inputs[model.fact]
     incremental = not full and Folder(spark, path).exists()
     if incremental:
-        fact = incremental_rows(fact, high_water_mark(spark.read.parquet(path)))
+        fact = incremental_rows(fact, written_mark(spark, path))
     rows = model.build(inputs | {model.fact: fact})
     if incremental:
         upsert(rows, path, model.keys, model.name)
     else:
         replace_days(rows, path, model.name)
+    return spark.read.schema(rows.schema).parquet(path)
 
 
-def build_all(spark: SparkSession, root: str, full: bool = False, start: str | None = None) -> list[str]:
+def build_all(spark: SparkSession, root: str, full: bool = False, start: str | None = None) -> dict[str, DataFrame]:
     """Current dimensions, then every model in order; each table is read back for the next.
 
-    The declared grains are asserted on what was written. Returns the table names built.
+    The declared grains are asserted on what was written. Returns the tables built.
     """
-    inputs: Inputs = {}
-    for name in SILVER:
-        inputs[name] = spark.read.schema(SILVER[name]).parquet(table_path(root, name))
+    inputs: Inputs = {n: spark.read.schema(SILVER[n]).parquet(table_path(root, n)) for n in SILVER}
     inputs["precios"] = facts.stage_precios(inputs["precios"], start)
     for name, (snapshots, pick) in DIMENSIONS.items():
-        path = table_path(root, name)
-        pick(inputs[snapshots]).write.mode("overwrite").option("compression", "zstd").parquet(path)
-        inputs[name] = spark.read.parquet(path)
-        if name in GRAIN:
-            assert_grain(inputs[name], GRAIN[name], name)
+        path, rows = table_path(root, name), pick(inputs[snapshots])
+        rows.write.mode("overwrite").option("compression", "zstd").parquet(path)
+        inputs[name] = spark.read.schema(rows.schema).parquet(path)
     for model in MODELS:
-        path = table_path(root, model.name)
-        run_model(spark, model, inputs, path, full)
-        inputs[model.name] = spark.read.parquet(path)
-        if model.name in GRAIN:
-            assert_grain(inputs[model.name], GRAIN[model.name], model.name)
-    return [*DIMENSIONS, *[m.name for m in MODELS]]
+        inputs[model.name] = run_model(spark, model, inputs, table_path(root, model.name), full)
+    for name, keys in GRAIN.items():
+        assert_grain(inputs[name], keys, name)
+    return {name: df for name, df in inputs.items() if name not in SILVER}

@@ -56,6 +56,12 @@ class Folder:
         return sorted(s.getPath().getName() for s in self._fs.listStatus(self._path)) if self.exists() else []
 
 
+def date_folders(table: Folder) -> list[str]:
+    """Dates of a partitioned table as text, from folder names."""
+    prefix = f"{DATE}="
+    return [name[len(prefix) :] for name in table.children() if name.startswith(prefix)]
+
+
 def _sized(df: DataFrame, partition: str, cluster: Sequence[str]) -> DataFrame:
     """Rows gathered per partition value and sorted for file skipping.
 
@@ -204,9 +210,8 @@ def upsert(batch: DataFrame, path: str, keys: Sequence[str], table: str = "") ->
         batch.write.partitionBy(DATE).parquet(staging.path)
         staged = spark.read.schema(batch.schema).parquet(staging.path)
         # One value per date of the batch, read from folder names: literals prune the target.
-        days = [name.split("=", 1)[1] for name in staging.children() if name.startswith(f"{DATE}=")]
-        target = spark.read.schema(batch.schema).parquet(path)
-        touched = target.filter(F.col(DATE).isin([date.fromisoformat(d) for d in days]))
+        days = [date.fromisoformat(d) for d in date_folders(staging)]
+        touched = spark.read.schema(batch.schema).parquet(path).filter(F.col(DATE).isin(days))
         replace_days(upsert_frames(touched, staged, keys), path, table)
     finally:
         staging.delete()
@@ -226,9 +231,7 @@ def drop_old_days(spark: SparkSession, path: str, as_of: date, keep_days: int) -
     """Removes date folders older than the retention; returns the dates removed."""
     cutoff = as_of - timedelta(days=keep_days)
     table = Folder(spark, path)
-    dropped = []
-    for name in table.children():
-        if name.startswith(f"{DATE}=") and date.fromisoformat(name.split("=", 1)[1]) < cutoff:
-            table.child(name).delete()
-            dropped.append(name.split("=", 1)[1])
+    dropped = [d for d in date_folders(table) if date.fromisoformat(d) < cutoff]
+    for day in dropped:
+        table.child(f"{DATE}={day}").delete()
     return dropped
