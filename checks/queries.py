@@ -104,6 +104,17 @@ def _current(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
     return {name: _table(spark, sf, f"{name}_current", lambda q=q: q(spark, sf)) for name, q in built.items()}
 
 
+def _quotes(spark: SparkSession, sf: str) -> DataFrame:
+    """The deduplicated fact as the time series model reads it: a table partitioned by date."""
+
+    def build() -> DataFrame:
+        path, rows = scratch_dir(spark, "quotes"), fct_price_quotes(spark, sf)
+        sinks.replace_days(rows, path, "fct_price_quotes")
+        return tables.scan(spark, path, rows.schema)
+
+    return _once(spark, sf, "quotes", build)
+
+
 def _stores_by_banner(spark: SparkSession, sf: str) -> DataFrame:
     return _table(
         spark,
@@ -171,7 +182,7 @@ def mart_store_coverage(spark, sf):
 
 @registered
 def gold_price_timeseries(spark, sf):
-    series = marts.price_timeseries(fct_price_quotes(spark, sf), _current(spark, sf)["sucursales"])
+    series = marts.price_timeseries(_quotes(spark, sf), _current(spark, sf)["sucursales"])
     # The sample deviation is the one measure whose last bits differ between engines.
     return series.withColumn("precio_desvio", F.round("precio_desvio", 4))
 
@@ -199,7 +210,7 @@ def gold_price_hypothesis(spark, sf):
 def approx_median(spark, sf):
     """Series with approximate medians, next to the range they must lie in."""
     c = _current(spark, sf)["sucursales"]
-    series = marts.price_timeseries(fct_price_quotes(spark, sf), c, approx_median=True)
+    series = marts.price_timeseries(_quotes(spark, sf), c, approx_median=True)
     return series.select(DATE, "id_producto", "provincia", "precio_mediana", "precio_min", "precio_max")
 
 
@@ -435,7 +446,7 @@ def _models(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
         "stg_dim_comercios": bind(spark, sf, "dim_comercios"),
         "stg_dim_productos": bind(spark, sf, "dim_productos"),
         "stg_dim_sucursales": bind(spark, sf, "dim_sucursales"),
-        "fct_price_quotes": fct_price_quotes(spark, sf),
+        "fct_price_quotes": _quotes(spark, sf),
         "dim_productos_current": c["productos"],
         "dim_sucursales_current": c["sucursales"],
         "dim_comercios_current": c["comercios"],

@@ -23,7 +23,7 @@ def spark():
         "spark.driver.memory": "6g",
         "spark.ui.showConsoleProgress": "false",
     }
-    session = builder("tests").master("local[4]").config(map=local).getOrCreate()
+    session = builder("tests").master("local[8]").config(map=local).getOrCreate()
     session.sparkContext.setLogLevel("ERROR")
     ship_package(session)
     yield session
