@@ -303,6 +303,10 @@ WINDOW w AS (PARTITION BY p.id_producto, p.{DATE})""",
     "mart_daily_price_summary": "SELECT * FROM summary",
     "mart_store_coverage": "SELECT * FROM coverage",
     "gold_price_timeseries": "SELECT * FROM series",
+    # Up to its accuracy in rows an approximate percentile is the discrete one.
+    "approx_median": f"""
+SELECT {DATE}, id_producto, provincia, quantile_disc(precio_lista, 0.5) AS precio_mediana,
+       MIN(precio_lista) AS precio_min, MAX(precio_lista) AS precio_max FROM priced GROUP BY 1, 2, 3""",
     "chain_avg_prices": "SELECT * FROM chains",
     "gold_cross_price_elasticity": "SELECT * FROM pairs",
     "gold_price_hypothesis": "SELECT * FROM hypothesis",

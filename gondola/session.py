@@ -41,14 +41,17 @@ def scratch_dir(spark: SparkSession, purpose: str) -> str:
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
-_shipped: set[str] = set()
+_shipped: set[tuple[str, str]] = set()
 
 
-def ship_package(spark: SparkSession) -> None:
-    """Makes this package importable in Python workers (archive and page readers), once per application."""
+def ship_package(spark: SparkSession, *folders: str) -> None:
+    """Makes this package, and other package folders given, importable in Python workers.
+
+    The archive and page readers need it. Each folder is shipped once per application.
+    """
     app = spark.sparkContext.applicationId
-    if app not in _shipped:
-        package = Path(__file__).resolve().parent
-        target = Path(tempfile.mkdtemp(prefix="gondola-package-")) / "gondola"
-        spark.sparkContext.addPyFile(shutil.make_archive(str(target), "zip", package.parent, package.name))
-        _shipped.add(app)
+    for package in [Path(__file__).resolve().parent, *map(Path, folders)]:
+        if (app, str(package)) not in _shipped:
+            target = Path(tempfile.mkdtemp(prefix="gondola-package-")) / package.name
+            spark.sparkContext.addPyFile(shutil.make_archive(str(target), "zip", package.parent, package.name))
+            _shipped.add((app, str(package)))
