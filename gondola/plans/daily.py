@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from gondola.operators import audit, clean, integrity, silver
 from gondola.operators.freshness import child_dates, package_completeness, package_vote
 from gondola.plans.models import table_path
-from gondola.plans.sinks import bronze_path, day_exists, replace_days, write_bronze_day
+from gondola.plans.sinks import bronze_path, day_exists, drop_days, replace_days, write_bronze_day
 from gondola.schema import AUDIT_BRONZE, DATE, MERCHANT_KEYS, RAW_TABLES, STORE_KEYS
 from gondola.sources import archives
 from gondola.sources.tables import DAY_PARTS, read_bronze
@@ -95,12 +95,18 @@ def load_silver(
     prices = silver.to_silver_precios(silver.stamp(clean.kept(parts["productos"]), scraped_at=now))
     replace_days(prices, table_path(root, "precios"), "precios")
 
-    # The dates of this load, one value per day: literals prune the fact just written.
-    days = [row[0] for row in bronze["comercio"].select(DATE).distinct().collect()]
+    # Counters are one row per date; they also tell which dates ended up without prices.
+    counted = audit.drop_stats(parts["productos"])
+    per_day = counted.collect()
+    stats = spark.createDataFrame(per_day, counted.schema)
+    empty = [row[DATE] for row in per_day if row["silver_loaded"] == 0]
+    for table in ("precios", "dim_productos"):
+        drop_days(spark, table_path(root, table), empty)
+
+    days = [row[DATE] for row in per_day]  # literals prune the fact just written
     written = spark.read.schema(prices.schema).parquet(table_path(root, "precios")).filter(F.col(DATE).isin(days))
     products = integrity.distinct_products(silver.to_silver_productos(written))
     replace_days(products, table_path(root, "dim_productos"))
-    stats = audit.drop_stats(parts["productos"])
     if audit_rows:
         audit.append_audit(audit.silver_audit(stats, now), f"{root}/audit/silver")
     return stats

@@ -108,7 +108,7 @@ def run_model(spark: SparkSession, model: Model, inputs: Inputs, path: str, full
     if incremental:
         upsert(rows, path, model.keys, model.name)
     else:
-        replace_days(rows, path, model.name)
+        replace_days(rows, path, model.name, whole=True)
     return spark.read.schema(rows.schema).parquet(path)
 
 

@@ -72,12 +72,15 @@ def _sized(df: DataFrame, partition: str, cluster: Sequence[str]) -> DataFrame:
     return df.hint("rebalance", F.col(partition)).sortWithinPartitions(partition, *present)
 
 
-def replace_days(df: DataFrame, path: str, table: str = "") -> None:
-    """Replaces exactly the dates in ``df``; running it twice leaves the same rows."""
+def replace_days(df: DataFrame, path: str, table: str = "", whole: bool = False) -> None:
+    """Replaces exactly the dates in ``df``; running it twice leaves the same rows.
+
+    ``whole`` replaces the table, so dates that vanished upstream go too.
+    """
     (
         _sized(df, DATE, CLUSTER_BY.get(table, ()))
         .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
+        .option("partitionOverwriteMode", "static" if whole else "dynamic")
         .option("maxRecordsPerFile", ROWS_PER_FILE)
         .option("compression", "zstd")
         .partitionBy(DATE)
@@ -180,6 +183,12 @@ def write_bronze_range(frames: dict[str, DataFrame], root: str) -> None:
             Folder(spark, f"{root}/bronze/_committed").child(*folder, SUCCESS).touch()
 
 
+def drop_days(spark: SparkSession, path: str, days: Sequence[date]) -> None:
+    """Empties dates of a table."""
+    for day in days:
+        Folder(spark, path).child(f"{DATE}={day.isoformat()}").delete()
+
+
 # --- upsert -----------------------------------------------------------------
 
 
@@ -230,8 +239,6 @@ def retention_plan(table: DataFrame, as_of: date, keep_days: int) -> DataFrame:
 def drop_old_days(spark: SparkSession, path: str, as_of: date, keep_days: int) -> list[str]:
     """Removes date folders older than the retention; returns the dates removed."""
     cutoff = as_of - timedelta(days=keep_days)
-    table = Folder(spark, path)
-    dropped = [d for d in date_folders(table) if date.fromisoformat(d) < cutoff]
-    for day in dropped:
-        table.child(f"{DATE}={day}").delete()
+    dropped = [d for d in date_folders(Folder(spark, path)) if date.fromisoformat(d) < cutoff]
+    drop_days(spark, path, [date.fromisoformat(d) for d in dropped])
     return dropped

@@ -124,6 +124,28 @@ def test_replacing_a_day_leaves_the_others(spark, raw, tmp_path):
     assert {r[0]: r[1] for r in rows.groupBy("fecha_vigencia").count().collect()} == {D15: 1, D16: 2}
 
 
+def test_a_reload_without_good_rows_empties_its_day(spark, raw, tmp_path):
+    root = str(tmp_path)
+    both = [day_frames(raw, [product()], fecha_vigencia=d) for d in (D15, D16)]
+    daily.load_silver({t: both[0][t].unionByName(both[1][t]) for t in RAW_TABLES}, root, NOW)
+    bad = day_frames(raw, [product(productos_precio_lista="-1")], fecha_vigencia=D16)
+    stats = daily.load_silver(bad, root, NOW).collect()
+    assert [(r.negative_price_count, r.silver_loaded) for r in stats] == [(1, 0)]
+    for name in ("precios", "dim_productos"):
+        rows = tables.scan(spark, models.table_path(root, name), SILVER[name]).collect()
+        assert [r.fecha_vigencia for r in rows] == [D15]
+
+
+def test_a_full_build_drops_vanished_dates(spark, raw, tmp_path):
+    path = str(tmp_path / "quotes")
+    model = models.MODELS[0]
+    rows = silver_rows(raw, D15, product()).unionByName(silver_rows(raw, D16, product()))
+    models.run_model(spark, model, {"precios": rows}, path)
+    kept = models.run_model(spark, model, {"precios": rows.filter(F.col("fecha_vigencia") == D15)}, path)
+    assert kept.count() == 2
+    assert models.run_model(spark, model, {"precios": silver_rows(raw, D15, product())}, path, full=True).count() == 1
+
+
 def test_fan_out_writes_every_target(raw, spark, tmp_path):
     rows = silver_rows(raw, D15, product())
     paths = [str(tmp_path / n) for n in "ab"]
