@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import shutil
 import tempfile
 import uuid
@@ -34,9 +35,11 @@ def builder(app: str = "gondola") -> SparkSession.Builder:
 
 def scratch_dir(spark: SparkSession, purpose: str) -> str:
     """A new folder for this run's intermediate tables, on the shared storage the cluster
-    names in ``spark.checkpoint.dir``; a local temporary folder only where that is unset."""
+    names in ``spark.checkpoint.dir``. Unset, it is an error except on one machine."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         base = tempfile.mkdtemp(prefix="gondola-")
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
