@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from pathlib import Path
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gondola.llm import mixing, secrets
+from gondola.llm import language, mixing, quality, secrets, tokens
+from gondola.llm.common import crc_mod
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -22,6 +25,19 @@ def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+@registered
+def op2_token_counts(spark: SparkSession, sf: str) -> DataFrame:
+    model = Path(public_tokenizers.path("piece_bpe_32k.model")).read_bytes()
+    return tokens.count_tokens(_table(spark, sf, "documents"), model)
+
+
+@registered
+def op3_language(spark: SparkSession, sf: str) -> DataFrame:
+    docs, remainder = _table(spark, sf, "documents"), crc_mod("doc_id", 4)
+    found = language.predict(docs, language.fit(docs, remainder != 2))
+    return found.withColumn("held_out", remainder == 2)
+
+
 @registered
 def op5_secret_scan(spark: SparkSession, sf: str) -> DataFrame:
     spans = secrets.scan(_table(spark, sf, "documents"))
@@ -40,3 +56,10 @@ def op5_secret_scan(spark: SparkSession, sf: str) -> DataFrame:
 @registered
 def op6_mixing(spark: SparkSession, sf: str) -> DataFrame:
     return mixing.mix(_table(spark, sf, "documents")).select("doc_id", "size", "source_size", "target", "taken", "copies", "rate")
+
+
+@registered
+def op9_quality(spark: SparkSession, sf: str) -> DataFrame:
+    docs, remainder = _table(spark, sf, "documents"), crc_mod("doc_id", 5)
+    model = quality.fit(docs, _table(spark, sf, "labels"), remainder != 0)
+    return quality.score(docs, model).withColumn("held_out", remainder == 0)
