@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gondola.llm import language, mixing, quality, secrets, tokens
+from gondola.llm import decontaminate, language, mixing, neighbours, quality, secrets, tokens
 from gondola.llm.common import crc_mod
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -58,8 +58,19 @@ def op6_mixing(spark: SparkSession, sf: str) -> DataFrame:
     return mixing.mix(_table(spark, sf, "documents")).select("doc_id", "size", "source_size", "target", "taken", "copies", "rate")
 
 
+@registered
+def op7_decontamination(spark: SparkSession, sf: str) -> DataFrame:
+    return decontaminate.matches(_table(spark, sf, "documents"), _table(spark, sf, "benchmark")).distinct()
+
+
 @registered
 def op9_quality(spark: SparkSession, sf: str) -> DataFrame:
     docs, remainder = _table(spark, sf, "documents"), crc_mod("doc_id", 5)
     model = quality.fit(docs, _table(spark, sf, "labels"), remainder != 0)
     return quality.score(docs, model).withColumn("held_out", remainder == 0)
+
+
+@registered
+def op10_neighbours(spark: SparkSession, sf: str) -> DataFrame:
+    vectors = _table(spark, sf, "embeddings")
+    return neighbours.search(vectors.where("vec_id % 50 = 0"), vectors, k=5, factor=1.0)
