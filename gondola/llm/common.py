@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -26,6 +28,44 @@ def shipped(df: DataFrame) -> DataFrame:
     return df
 
 
+SMALL = 1 << 20
+
+
+def only(df: DataFrame, ids: DataFrame, key: str) -> DataFrame:
+    """The rows of ``df`` whose key is in ``ids`` (distinct, one column). The ids are counted: up to SMALL of
+    them are broadcast, so the wide rows stay where they are; more are joined by a shuffle."""
+    ids = written(ids, "ids")
+    return df.join(F.broadcast(ids) if ids.count() <= SMALL else ids, key, "left_semi")
+
+
+def whole_runs(batches: Iterator[pa.RecordBatch], names: tuple[str, ...]) -> Iterator[tuple[np.ndarray, ...]]:
+    """Columns of rows sorted by the first, cut between its values only, and the start of each run.
+
+    Holds the rows of one run at a time besides a batch.
+    """
+    held: list[list[np.ndarray]] = []
+    last = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        columns = [batch.column(x).to_numpy(zero_copy_only=False) for x in names]
+        key = columns[0]
+        if last is not None and key[-1] == last:
+            held.append(columns)
+            continue
+        cut = int(np.searchsorted(key, key[-1]))
+        held.append([c[:cut] for c in columns])
+        yield from _with_starts(held)
+        held, last = [[c[cut:] for c in columns]], key[-1]
+    yield from _with_starts(held)
+
+
+def _with_starts(held: list[list[np.ndarray]]) -> Iterator[tuple[np.ndarray, ...]]:
+    columns = [np.concatenate(c) for c in zip(*held)]
+    if columns and len(key := columns[0]):
+        yield (*columns, np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1]))))
+
+
 def crc_mod(doc_id: str, n: int) -> Column:
     """crc32 of the id as text, modulo n; null ids count as empty text."""
     return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary")) % n

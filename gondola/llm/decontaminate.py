@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from gondola.llm.common import shipped
 
-ERROR_RATE = 0.1
+ERROR_RATE = 0.08
 LEAST_PIECE = 8
 BLOCK_BYTES = 1 << 20
 

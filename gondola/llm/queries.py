@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gondola.llm import decontaminate, language, mixing, neighbours, quality, secrets, tokens
+from gondola.llm import decontaminate, jaccard, language, mixing, neighbours, quality, secrets, tokens
 from gondola.llm.common import crc_mod
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -25,6 +25,11 @@ def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+@registered
+def op1_jaccard_join(spark: SparkSession, sf: str) -> DataFrame:
+    return jaccard.near_duplicates(_table(spark, sf, "documents"))
+
+
 @registered
 def op2_token_counts(spark: SparkSession, sf: str) -> DataFrame:
     model = Path(public_tokenizers.path("piece_bpe_32k.model")).read_bytes()
