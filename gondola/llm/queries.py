@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gondola.llm import decontaminate, jaccard, language, mixing, neighbours, quality, secrets, tokens
+from gondola.llm import decontaminate, jaccard, language, mixing, neighbours, quality, secrets, substrings, tokens
 from gondola.llm.common import crc_mod
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -43,6 +43,11 @@ def op3_language(spark: SparkSession, sf: str) -> DataFrame:
     return found.withColumn("held_out", remainder == 2)
 
 
+@registered
+def op4_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return substrings.dedup(_table(spark, sf, "documents")).select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
 @registered
 def op5_secret_scan(spark: SparkSession, sf: str) -> DataFrame:
     spans = secrets.scan(_table(spark, sf, "documents"))
