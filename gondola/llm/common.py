@@ -31,11 +31,16 @@ def shipped(df: DataFrame) -> DataFrame:
 SMALL = 1 << 20
 
 
-def only(df: DataFrame, ids: DataFrame, key: str) -> DataFrame:
+def without(df: DataFrame, ids: DataFrame, key: str) -> DataFrame:
+    """The rows of ``df`` whose key is not in ``ids``, with the same choice of join as ``only``."""
+    return only(df, ids, key, "left_anti")
+
+
+def only(df: DataFrame, ids: DataFrame, key: str, how: str = "left_semi") -> DataFrame:
     """The rows of ``df`` whose key is in ``ids`` (distinct, one column). The ids are counted: up to SMALL of
     them are broadcast, so the wide rows stay where they are; more are joined by a shuffle."""
     ids = written(ids, "ids")
-    return df.join(F.broadcast(ids) if ids.count() <= SMALL else ids, key, "left_semi")
+    return df.join(F.broadcast(ids) if ids.count() <= SMALL else ids, key, how)
 
 
 def whole_runs(batches: Iterator[pa.RecordBatch], names: tuple[str, ...]) -> Iterator[tuple[np.ndarray, ...]]:

@@ -164,3 +164,23 @@ def matches(
 
         out = out.unionByName(shipped(docs).select(F.col("doc_id").cast("long"), "text").mapInArrow(run, schema))
     return out
+
+
+def without_matches(
+    docs: DataFrame, benchmark: DataFrame, *, error_rate: float = ERROR_RATE, block_bytes: int = BLOCK_BYTES
+) -> DataFrame:
+    """The rows of docs, all columns, that hold no item. Rows are filtered where they are read."""
+    spark = docs.sparkSession
+    columns = docs.columns
+    out = docs
+    for block in blocks(benchmark, block_bytes):
+        sent = spark.sparkContext.broadcast((block, error_rate))
+
+        def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
+            finder = Finder(*sent.value)
+            for batch in batches:
+                clean = [not (t and finder.find(normal(t))) for t in batch.column("text").to_pylist()]
+                yield batch.filter(pa.array(clean, pa.bool_())).select(columns)
+
+        out = shipped(out).mapInArrow(run, docs.schema)
+    return out

@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gondola.llm.common import Spans, column_bytes, components, distinct, only, shipped, whole_runs, written
+from gondola.llm.common import Spans, column_bytes, components, distinct, only, shipped, whole_runs, without, written
 
 SHINGLE = 5
 BINS = 8
@@ -400,3 +400,18 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     return rows.where("d is not null").join(named, "d", "left").select(
         "doc_id", F.col("n").cast("long").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id")
     )
+
+
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """The rows of docs, all columns, whose id is its component's; of rows with equal id and text, one.
+
+    Rows with a null id cannot be named and stay.
+    """
+    found = near_duplicates(docs)
+    out = without(docs, found.where("doc_id != component_id").select("doc_id").distinct(), "doc_id")
+    repeated = written(docs.groupBy("doc_id").count().where("count > 1 and doc_id is not null").select("doc_id"), "repeated")
+    if repeated.isEmpty():
+        return out
+    return without(out, repeated, "doc_id").unionByName(
+        only(out, repeated, "doc_id").dropDuplicates(["doc_id", "text"])
+    )

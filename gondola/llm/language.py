@@ -33,6 +33,7 @@ PER_LANGUAGE = 800
 CENTROIDS = 3
 SHARPNESS = 20.0
 SLACK = 0.5
+BLOCK = 256
 FULL = 400  # n-grams from which the whole threshold holds
 _LETTER = re.compile(r"[^\W\d_]")
 _FOLD = np.array([c + 32 if 65 <= c <= 90 else c if c >= 128 or 97 <= c <= 122 else 32 for c in range(256)], np.uint32)
@@ -63,6 +64,10 @@ class Model:
         top = best[np.arange(len(best)), winner]
         return winner, top, 1.0 / np.exp(SHARPNESS * (best - top[:, None])).sum(axis=1)
 
+    def rejects(self, tf: np.ndarray, winner: np.ndarray, cosine: np.ndarray) -> np.ndarray:
+        shrink = np.sqrt(np.minimum(1.0, tf.sum(axis=1) / FULL))
+        return cosine < self.threshold[winner] * shrink
+
 
 def unit(tf: np.ndarray, idf: np.ndarray) -> np.ndarray:
     x = np.log1p(tf.astype(np.float32)) * idf
@@ -123,10 +128,29 @@ def fit(docs: DataFrame, learn: Column, per_language: int = PER_LANGUAGE, centro
     )
 
 
+def keep_identified(docs: DataFrame, model: Model | None) -> DataFrame:
+    """The rows of docs, all columns, that are not rejected. Rows are filtered where they are read."""
+    sent = docs.sparkSession.sparkContext.broadcast(model)
+    columns = docs.columns
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = sent.value
+        for batch in batches:
+            kept = np.zeros(batch.num_rows, bool)
+            texts = column_bytes(batch)
+            rows = [i for i, t in enumerate(texts) if _LETTER.search(t.decode(errors="replace"))] if model else []
+            for start in range(0, len(rows), BLOCK):
+                some = rows[start : start + BLOCK]
+                tf = np.stack([counts(texts[i]) for i in some])
+                kept[some] = ~model.rejects(tf, *model.predict(tf)[:2])
+            yield batch.filter(pa.array(kept)).select(columns)
+
+    return shipped(docs).mapInArrow(run, docs.schema)
+
+
 def predict(docs: DataFrame, model: Model | None) -> DataFrame:
     """doc_id, lang_pred, score, similarity (cosine of the nearest centroid), rejected."""
     sent = docs.sparkSession.sparkContext.broadcast(model)  # bounded: languages x centroids x DIMS
-    block = 256
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = sent.value
@@ -136,14 +160,13 @@ def predict(docs: DataFrame, model: Model | None) -> DataFrame:
             lang, score = np.full(n, "und", object), np.zeros(n)
             near, rejected = np.zeros(n), np.ones(n, bool)
             with_letter = [i for i, t in enumerate(texts) if _LETTER.search(t.decode(errors="replace"))] if model else []
-            for start in range(0, len(with_letter), block):
-                rows = with_letter[start : start + block]
+            for start in range(0, len(with_letter), BLOCK):
+                rows = with_letter[start : start + BLOCK]
                 tf = np.stack([counts(texts[i]) for i in rows])
                 winner, cosine, share = model.predict(tf)
-                shrink = np.sqrt(np.minimum(1.0, tf.sum(axis=1) / FULL))
                 lang[rows] = np.array(model.languages, object)[winner]
                 score[rows], near[rows] = share, np.clip(cosine, 0, 1)
-                rejected[rows] = cosine < model.threshold[winner] * shrink
+                rejected[rows] = model.rejects(tf, winner, cosine)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(lang, pa.string()), pa.array(np.clip(score, 0, 1)), pa.array(near), pa.array(rejected)],
                 ["doc_id", "lang_pred", "score", "similarity", "rejected"],

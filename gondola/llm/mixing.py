@@ -29,14 +29,19 @@ WEIGHTS = (1.0, 2.0, 3.0)
 BITS = 12
 
 
-def sized(docs: DataFrame) -> DataFrame:
-    """doc_id, source, size (words), and a hash the rounding orders documents by."""
+def _measured(docs: DataFrame) -> DataFrame:
+    """docs with size (words) and h__, the hash the rounding orders documents by."""
     size = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
-    return docs.select("doc_id", "source", size.alias("size")).withColumn(
-        "h", F.shiftrightunsigned(F.xxhash64("doc_id", "source", "size"), 1)
+    return docs.withColumn("size", size).withColumn(
+        "h__", F.shiftrightunsigned(F.xxhash64("doc_id", "source", "size"), 1)
     )
 
 
+def sized(docs: DataFrame) -> DataFrame:
+    """doc_id, source, size and h__ of every document."""
+    return _measured(docs.select("doc_id", "source", "text")).drop("text")
+
+
 def targets(sizes: DataFrame, weights: tuple[float, ...] = WEIGHTS, cap: float = CAP) -> DataFrame:
     """source, source_size, target: shares by weight, none above cap times the source's size.
 
@@ -97,7 +102,7 @@ def balance(sizes: DataFrame, goals: DataFrame, tolerance: float = 1e-9, steps:
 
 
 def _bin(level: int) -> Column:
-    return F.shiftrightunsigned("h", 63 - BITS * (level + 1)).bitwiseAND((1 << BITS) - 1)
+    return F.shiftrightunsigned("h__", 63 - BITS * (level + 1)).bitwiseAND((1 << BITS) - 1)
 
 
 def _thresholds(sizes: DataFrame, rates: DataFrame) -> DataFrame:
@@ -109,7 +114,7 @@ def _thresholds(sizes: DataFrame, rates: DataFrame) -> DataFrame:
     for level in range(2):
         cells = (
             sizes.join(left, same)
-            .where((F.shiftrightunsigned("h", 63 - BITS * level) == F.col("prefix")) if level else F.lit(True))
+            .where((F.shiftrightunsigned("h__", 63 - BITS * level) == F.col("prefix")) if level else F.lit(True))
             .groupBy("s", "rest", "prefix", _bin(level).alias("bin"))
             .agg(F.sum("size").alias("words"))
         )
@@ -128,16 +133,16 @@ def _thresholds(sizes: DataFrame, rates: DataFrame) -> DataFrame:
         )
     last = (
         sizes.join(left, same)
-        .where(F.shiftrightunsigned("h", 63 - BITS * 2) == F.col("prefix"))
-        .groupBy("s", "rest", "prefix", "h")
+        .where(F.shiftrightunsigned("h__", 63 - BITS * 2) == F.col("prefix"))
+        .groupBy("s", "rest", "prefix", "h__")
         .agg(F.sum("size").alias("words"))
-        .withColumn("upto", F.sum("words").over(Window.partitionBy("s").orderBy("h")))
+        .withColumn("upto", F.sum("words").over(Window.partitionBy("s").orderBy("h__")))
         .where(F.col("upto") - F.col("words") / 2 <= F.col("rest"))
         .groupBy("s")
-        .agg(F.max("h").alias("h"))
+        .agg(F.max("h__").alias("h__"))
     )
     limit = left.join(last.withColumnRenamed("s", "t"), F.col("s").eqNullSafe(F.col("t")), "left").select(
-        "s", F.coalesce(F.col("h") + 1, F.shiftleft("prefix", 63 - BITS * 2)).alias("limit")
+        "s", F.coalesce(F.col("h__") + 1, F.shiftleft("prefix", 63 - BITS * 2)).alias("limit")
     )
     everyone = F.lit(2**63 - 1)  # a source whose rest no bin reaches is short of it by rounding only
     return rates.join(limit, same, "left").select(
@@ -148,22 +153,30 @@ def _thresholds(sizes: DataFrame, rates: DataFrame) -> DataFrame:
 def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, cap: float = CAP) -> DataFrame:
     """doc_id, source, size, source_size, target, rate, copies and taken of every document."""
     sizes = written(sized(docs), "mix-sizes")
+    return _taken(sizes, _plan(sizes, weights, cap)).select("doc_id", "source", *ADDED)
+
+
+def mixture(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, cap: float = CAP) -> DataFrame:
+    """The documents that the mix takes, all columns, with the columns of ADDED."""
+    plan = _plan(written(sized(docs), "mix-sizes"), weights, cap)
+    columns = [c for c in docs.columns if c not in ADDED]
+    return _taken(_measured(docs.select(*columns)), plan).where("copies > 0").select(*columns, *ADDED)
+
+
+ADDED = ("size", "source_size", "target", "rate", "copies", "taken")
+
+
+def _plan(sizes: DataFrame, weights: tuple[float, ...], cap: float) -> DataFrame:
     goals = written(targets(sizes, weights, cap), "mix-goals")
     rate = F.when(F.col("target") > 0, F.least(F.lit(cap), F.exp("lambda"))).otherwise(0.0)
-    plan = written(_thresholds(sizes, balance(sizes, goals).withColumn("rate", rate)), "mix-plan")
-    plan = plan.withColumnRenamed("source", "s")
-    copies = F.when(F.col("size") > 0, F.col("whole") + (F.col("h") < F.col("limit")).cast("long")).otherwise(0)
+    return written(_thresholds(sizes, balance(sizes, goals).withColumn("rate", rate)), "mix-plan")
+
+
+def _taken(sizes: DataFrame, plan: DataFrame) -> DataFrame:
+    plan = plan.withColumnRenamed("source", "s__")
+    copies = F.when(F.col("size") > 0, F.col("whole") + (F.col("h__") < F.col("limit")).cast("long")).otherwise(0)
     return (
-        sizes.join(plan, F.col("source").eqNullSafe(F.col("s")))
+        sizes.join(plan, F.col("source").eqNullSafe(F.col("s__")))
         .withColumn("copies", copies.cast("long"))
-        .select(
-            "doc_id",
-            "source",
-            "size",
-            "source_size",
-            "target",
-            "rate",
-            "copies",
-            (F.col("copies") * F.col("size")).alias("taken"),
-        )
+        .withColumn("taken", F.col("copies") * F.col("size"))
     )

@@ -144,7 +144,7 @@ def written_out(spans: Column) -> Column:
 
 
 def redact(docs: DataFrame, mask: str = "[REDACTED]") -> DataFrame:
-    """docs with every found span, overlapping ones as one, replaced in ``text``."""
+    """docs with every found span, overlapping ones as one, replaced in ``text`` (and ``n_chars`` kept true)."""
     spans = F.col("spans__")
 
     def cut(state: Column, m: Column) -> Column:
@@ -156,4 +156,7 @@ def redact(docs: DataFrame, mask: str = "[REDACTED]") -> DataFrame:
     tail = lambda s: F.concat(s["out"], F.col("text").substr(s["at"] + 1, F.length("text")))
     start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
     clean = F.when(F.size(spans) > 0, F.aggregate(spans, start, cut, tail)).otherwise(F.col("text"))
-    return docs.withColumn("spans__", found_spans(F.col("text"))).withColumn("text", clean).drop("spans__")
+    out = docs.withColumn("spans__", found_spans(F.col("text"))).withColumn("text", clean)
+    if "n_chars" in docs.columns:
+        out = out.withColumn("n_chars", F.when(F.size("spans__") > 0, F.length("text")).otherwise(F.col("n_chars")))
+    return out.select(docs.columns)
