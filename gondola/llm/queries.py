@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gondola.llm import decontaminate, jaccard, language, mixing, neighbours, quality, secrets, substrings, tokens
+from gondola.llm import decontaminate, jaccard, language, lm, mixing, neighbours, quality, secrets, substrings, tokens
 from gondola.llm.common import crc_mod
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -73,6 +73,13 @@ def op7_decontamination(spark: SparkSession, sf: str) -> DataFrame:
     return decontaminate.matches(_table(spark, sf, "documents"), _table(spark, sf, "benchmark")).distinct()
 
 
+@registered
+def op8_lm_scoring(spark: SparkSession, sf: str) -> DataFrame:
+    docs, remainder = _table(spark, sf, "documents"), crc_mod("doc_id", 7)
+    model = Path(public_tokenizers.path("piece_bpe_32k.model")).read_bytes()
+    return lm.score(docs, *lm.fit(docs, remainder != 2, model)).withColumn("held_out", remainder == 2)
+
+
 @registered
 def op9_quality(spark: SparkSession, sf: str) -> DataFrame:
     docs, remainder = _table(spark, sf, "documents"), crc_mod("doc_id", 5)
