@@ -106,9 +106,9 @@ def _bin(level: int) -> Column:
 
 
 def _thresholds(sizes: DataFrame, rates: DataFrame) -> DataFrame:
-    """rates with whole (copies of every document) and limit: hashes under it get one copy more."""
+    """rates with whole__ (copies of every document) and limit__: hashes under it get one copy more."""
     whole = F.floor(F.col("rate") + 1e-9)
-    rates = rates.withColumn("whole", whole).withColumn("rest", F.col("target") - F.col("whole") * F.col("source_size"))
+    rates = rates.withColumn("whole__", whole).withColumn("rest", F.col("target") - F.col("whole__") * F.col("source_size"))
     left = rates.select(F.col("source").alias("s"), "rest", F.lit(0).cast("long").alias("prefix"))
     same = F.col("source").eqNullSafe(F.col("s"))
     for level in range(2):
@@ -142,11 +142,11 @@ def _thresholds(sizes: DataFrame, rates: DataFrame) -> DataFrame:
         .agg(F.max("h__").alias("h__"))
     )
     limit = left.join(last.withColumnRenamed("s", "t"), F.col("s").eqNullSafe(F.col("t")), "left").select(
-        "s", F.coalesce(F.col("h__") + 1, F.shiftleft("prefix", 63 - BITS * 2)).alias("limit")
+        "s", F.coalesce(F.col("h__") + 1, F.shiftleft("prefix", 63 - BITS * 2)).alias("limit__")
     )
     everyone = F.lit(2**63 - 1)  # a source whose rest no bin reaches is short of it by rounding only
     return rates.join(limit, same, "left").select(
-        *rates.columns, F.when(F.col("rest") <= 0, F.lit(0)).otherwise(F.coalesce("limit", everyone)).alias("limit")
+        *rates.columns, F.when(F.col("rest") <= 0, F.lit(0)).otherwise(F.coalesce("limit__", everyone)).alias("limit__")
     )
 
 
@@ -174,7 +174,7 @@ def _plan(sizes: DataFrame, weights: tuple[float, ...], cap: float) -> DataFrame
 
 def _taken(sizes: DataFrame, plan: DataFrame) -> DataFrame:
     plan = plan.withColumnRenamed("source", "s__")
-    copies = F.when(F.col("size") > 0, F.col("whole") + (F.col("h__") < F.col("limit")).cast("long")).otherwise(0)
+    copies = F.when(F.col("size") > 0, F.col("whole__") + (F.col("h__") < F.col("limit__")).cast("long")).otherwise(0)
     return (
         sizes.join(plan, F.col("source").eqNullSafe(F.col("s__")))
         .withColumn("copies", copies.cast("long"))
