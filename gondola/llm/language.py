@@ -92,7 +92,7 @@ def fit(docs: DataFrame, learn: Column, per_language: int = PER_LANGUAGE, centro
     labelled = docs.where(learn & F.col("lang").isNotNull() & F.col("text").isNotNull())
     share = labelled.groupBy("lang").count().select("lang", (F.lit(float(per_language)) / F.col("count")).alias("share"))
     draw = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / float(1 << 30)
-    sample = labelled.select("doc_id", "text", "lang", draw.alias("draw")).join(share, "lang").where("draw < share")
+    sample = labelled.select("doc_id", "text", "lang", draw.alias("draw")).join(F.broadcast(share), "lang").where("draw < share")
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
