@@ -47,7 +47,7 @@ _DAY = "make_date(CAST(year(l_shipdate) AS INT), 1, 1)"
 _SALE = """{lineitem} JOIN {part} ON l_partkey = p_partkey JOIN {supplier} ON l_suppkey = s_suppkey
          JOIN {nation} ON s_nationkey = n_nationkey"""
 
-# One snapshot per ship year.
+# One snapshot per ship year; some keys of each dimension match no price row.
 _SNAPSHOTS = "{supplier_years} JOIN {nation} ON s_nationkey = n_nationkey"
 
 SILVER_BINDINGS = {
@@ -59,6 +59,7 @@ SELECT CAST(n_regionkey AS STRING) AS id_comercio, CAST(s_nationkey AS STRING) A
        CASE WHEN l_linenumber = 7 AND l_quantity = 50 THEN 0.5E0
             WHEN l_linenumber = 7 AND l_quantity = 49 THEN 0E0
             WHEN l_linenumber = 7 AND l_quantity = 48 THEN l_extendedprice * 1000
+            WHEN l_linenumber = 7 AND l_quantity = 44 THEN 10.000043E0
             ELSE l_extendedprice END AS precio_lista,
        p_retailprice AS precio_referencia, 1E0 AS cantidad_referencia, 'un' AS unidad_medida_referencia,
        {_PROMO} AS precio_promo1,
@@ -68,29 +69,28 @@ SELECT CAST(n_regionkey AS STRING) AS id_comercio, CAST(s_nationkey AS STRING) A
 FROM {_SALE}""",
     "dim_sucursales": f"""
 SELECT CAST(n_regionkey AS STRING) AS id_comercio, CAST(s_nationkey AS STRING) AS id_bandera,
-       CAST(s_suppkey AS STRING) AS id_sucursal, s_name || ' ' || CAST(y AS STRING) AS nombre,
+       CASE WHEN s_acctbal > 9000 OR (s_acctbal > 5000 AND y > 1998) THEN 'otra-' ELSE '' END
+         || CAST(s_suppkey AS STRING) AS id_sucursal, s_name || ' ' || CAST(y AS STRING) AS nombre,
        CASE WHEN s_nationkey < 12 THEN 'supermercado' ELSE 'web' END AS tipo,
        CAST(NULL AS STRING) AS calle, CAST(NULL AS STRING) AS numero,
        s_acctbal AS latitud, CAST(NULL AS DOUBLE) AS longitud, CAST(NULL AS STRING) AS codigo_postal,
        n_name AS localidad, {_PROVINCE} AS provincia, CAST(NULL AS STRING) AS barrio,
        make_date(CAST(y AS INT), 1, 1) AS fecha_vigencia
-FROM {_SNAPSHOTS}
-WHERE s_acctbal <= 9000 AND (s_acctbal <= 5000 OR y <= 1998)""",
+FROM {_SNAPSHOTS}""",
     "dim_comercios": """
-SELECT CAST(n_regionkey AS STRING) AS id_comercio, CAST(n_nationkey AS STRING) AS id_bandera,
+SELECT CAST(n_regionkey AS STRING) AS id_comercio,
+       CASE WHEN n_name = 'NATION_7' THEN 'otra-' ELSE '' END || CAST(n_nationkey AS STRING) AS id_bandera,
        '30' || CAST(n_nationkey AS STRING) AS cuit, r_name AS razon_social,
        CASE WHEN n_name <> 'NATION_3' THEN 'CADENA ' || chr(CAST(65 + floor(n_nationkey / 2.0) AS INT)) END
          AS bandera_nombre,
        'https://' || lower(n_name) || '.example' AS bandera_url,
        make_date(CAST(y AS INT), 1, 1) AS fecha_vigencia
-FROM {nation_years} JOIN {region} ON n_regionkey = r_regionkey
-WHERE n_name <> 'NATION_7'""",
+FROM {nation_years} JOIN {region} ON n_regionkey = r_regionkey""",
     "dim_productos": f"""
-SELECT p_brand AS id_producto, p_size > 25 AS ean, {_DESCRIPTION} AS descripcion, {_BRAND} AS marca,
+SELECT CASE WHEN p_brand = 'Brand#5' THEN 'otra-' ELSE '' END || p_brand AS id_producto, p_size > 25 AS ean, {_DESCRIPTION} AS descripcion, {_BRAND} AS marca,
        CAST(p_size AS DOUBLE) AS cantidad_presentacion, 'un' AS unidad_medida_presentacion,
        make_date(CAST(y AS INT), 1, 1) AS fecha_vigencia
-FROM {{part_years}}
-WHERE p_brand <> 'Brand#5'""",
+FROM {{part_years}}""",
 }
 
 _FOOTER = "'Ultima actualizacion: ' || CAST(y AS STRING) || '-01-01'"
@@ -146,7 +146,10 @@ def _raw_bindings() -> dict[str, str]:
         "THEN '-' || CAST(l_extendedprice AS STRING) "
         "WHEN l_linenumber = 7 AND l_quantity = 49 THEN 'n/d' "
         "WHEN l_linenumber = 7 AND l_quantity = 48 THEN 'NULL' "
-        "WHEN l_linenumber = 7 AND l_quantity = 47 THEN '0' ELSE CAST(l_extendedprice AS STRING) END",
+        "WHEN l_linenumber = 7 AND l_quantity = 47 THEN '0' "
+        "WHEN l_linenumber = 7 AND l_quantity = 46 THEN 'NaN' "
+        "WHEN l_linenumber = 7 AND l_quantity = 45 THEN '1e300' "
+        "WHEN l_linenumber = 7 AND l_quantity = 44 THEN '10.000043' ELSE CAST(l_extendedprice AS STRING) END",
         "productos_precio_referencia": "CAST(p_retailprice AS STRING)",
         "productos_precio_unitario_promo1": f"CAST({_PROMO} AS STRING)",
         "productos_leyenda_promo1": "CASE WHEN l_discount >= 0.05 THEN 'Promo ' || l_returnflag END",

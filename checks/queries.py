@@ -6,7 +6,6 @@ import io
 import zipfile
 from collections.abc import Callable, Iterator
 from datetime import date, datetime
-from functools import reduce
 from typing import TypeVar
 
 import pandas as pd
@@ -336,7 +335,8 @@ def orphan_stores(spark, sf):
 
 @registered
 def semi_stores(spark, sf):
-    return integrity.keep_matching(clean_sucursales(spark, sf), clean_comercio(spark, sf), MERCHANT_KEYS)
+    merchants = clean_comercio(spark, sf)
+    return integrity.keep_matching(clean_sucursales(spark, sf), merchants, MERCHANT_KEYS, spare_uncovered=True)
 
 
 @registered
@@ -346,7 +346,7 @@ def orphan_prices(spark, sf):
 
 @registered
 def semi_prices(spark, sf):
-    return integrity.keep_matching(clean_productos(spark, sf), semi_stores(spark, sf), STORE_KEYS)
+    return integrity.keep_matching(clean_productos(spark, sf), semi_stores(spark, sf), STORE_KEYS, spare_uncovered=True)
 
 
 @registered
@@ -400,7 +400,15 @@ def basket_cost(spark, sf):
         .groupBy(F.col("p_type").alias("basket_id"), F.col("p_brand").alias("id_producto"))
         .agg(F.max("p_size").alias("cantidad"))
     )
-    return adhoc.basket_cost(latest_prices(spark, sf), baskets)
+    stores = _stores_by_banner(spark, sf)
+    prices = facts.latest_prices(
+        _precios(spark, sf),
+        stores,
+        _current(spark, sf)["comercios"],
+        columns=(*STORE_KEYS, "id_producto", "precio_lista"),
+        products=baskets.select("id_producto").distinct(),
+    )
+    return adhoc.basket_cost(prices, baskets)
 
 
 # --- audits and quality -----------------------------------------------------------
@@ -582,13 +590,6 @@ def retention_plan(spark, sf):
     return sinks.retention_plan(_precios(spark, sf), AS_OF, keep_days=1500)
 
 
-@registered
-def partition_pruning(spark, sf):
-    path = scratch_dir(spark, "pruning")
-    sinks.replace_days(_precios(spark, sf), path, "precios")
-    return quality.pruning_effect(tables.scan(spark, path, silver_schema("precios")), "1999-01-01")
-
-
 # --- incremental ----------------------------------------------------------------------
 
 
@@ -697,7 +698,12 @@ def _child(header: str, lines: list[str], year: int, nation: int, balance: float
         if not (balance > 8000 and year == 1996):
             child.writestr("sucursales.csv", f"id_comercio|id_bandera|id_sucursal\n1|{nation}|7\n")
         child.writestr("productos.csv", "\n".join([header, *lines]))
-    return buffer.getvalue()
+    content = bytearray(buffer.getvalue())
+    if balance < 0 and year == 1997:  # the directory is readable, the last member's data is not
+        with zipfile.ZipFile(io.BytesIO(buffer.getvalue())) as whole:
+            at = whole.getinfo("productos.csv").header_offset + 30 + len("productos.csv")
+        content[at : at + 4] = b"\xff\xff\xff\xff"
+    return bytes(content)
 
 
 def _children(spark: SparkSession, sf: str) -> DataFrame:
@@ -815,9 +821,3 @@ def preview_table(spark, sf):
     """The preview of a table smaller than the row limit is the table."""
     summary = prices_by_banner(spark, sf).select("bandera_nombre", "precios")
     return query.preview_table(spark, "lake.banners", {"banners": summary})
-
-
-@registered
-def table_schema(spark, sf):
-    described = [quality.describe_table(df, name) for name, df in _lake(spark, sf).items()]
-    return reduce(DataFrame.unionByName, described)

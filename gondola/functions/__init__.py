@@ -2,7 +2,7 @@
 
 from gondola.functions.casts import blank_to_null, clean_id, soft_double, soft_float, soft_int, soft_long, strip
 from gondola.functions.dates import business_date, footer_date, is_footer, weekday_name
-from gondola.functions.measures import exact_avg, exact_sum, from_units, percent_change, price_units
+from gondola.functions.measures import exact_avg, exact_sum, percent_change, price_decimal
 from gondola.functions.text import CATEGORY_RULES, OTHER_CATEGORY, categorize_product, clean_description
 
 __all__ = [
@@ -16,10 +16,9 @@ __all__ = [
     "exact_avg",
     "exact_sum",
     "footer_date",
-    "from_units",
     "is_footer",
     "percent_change",
-    "price_units",
+    "price_decimal",
     "soft_double",
     "soft_float",
     "soft_int",

@@ -1,8 +1,9 @@
 """Price measures whose result does not depend on the order rows are added in.
 
-Prices are declared in cents. Adding doubles gives different last bits for every
-partitioning; adding whole ten-thousandths gives one answer on any cluster, is
-checked for overflow in ANSI mode, and keeps a fixed-width aggregation buffer.
+Adding doubles gives different last bits for every partitioning. Prices are added as
+decimals with twelve places instead: far more than any declared price has, and room for
+1e26 in all. Values a decimal cannot hold (NaN, infinite) make the measure what plain
+addition makes of them; they are never left out of the sum alone.
 """
 
 from __future__ import annotations
@@ -10,20 +11,16 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-UNITS_PER_PRICE = 10_000
+PRICE = "decimal(25,12)"
 
 
-def price_units(c: Column) -> Column:
-    """A price as a whole number of ten-thousandths; sums of these are exact."""
-    return F.round(c * F.lit(float(UNITS_PER_PRICE))).cast("bigint")
-
-
-def from_units(c: Column) -> Column:
-    return c.cast("double") / F.lit(float(UNITS_PER_PRICE))
+def price_decimal(c: Column) -> Column:
+    return c.try_cast(PRICE)
 
 
 def exact_sum(c: Column) -> Column:
-    return from_units(F.sum(price_units(c)))
+    exact = price_decimal(c)
+    return F.when(F.count(exact) == F.count(c), F.sum(exact).cast("double")).otherwise(F.sum(c))
 
 
 def exact_avg(c: Column) -> Column:

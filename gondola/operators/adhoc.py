@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gondola.functions import from_units, price_units
+from gondola.functions import price_decimal
 from gondola.schema import MERCHANT_KEYS
 
 # Prices outside this range are suspicious; report sizes.
@@ -93,16 +93,16 @@ def basket_cost(prices: DataFrame, baskets: DataFrame) -> DataFrame:
         .join(baskets.select("basket_id", "id_producto", "cantidad"), "id_producto")
         .groupBy("basket_id", *store)
         .agg(
-            F.sum(price_units(F.col("precio_lista")) * F.col("cantidad")).alias("_units"),
+            F.sum(price_decimal(F.col("precio_lista")) * F.col("cantidad").cast("decimal(10,0)")).alias("_total"),
             F.count("*").alias("productos"),
         )
         .join(wanted, "basket_id")
         .filter(F.col("productos") == F.col("_items"))
     )
     dearest = totals.groupBy("basket_id").agg(
-        F.max("_units").alias("_dearest"), F.count("*").alias("_stores")
+        F.max("_total").alias("_dearest"), F.count("*").alias("_stores")
     )
-    saving = F.when(F.col("_stores") > 1, from_units(F.col("_dearest") - F.col("_units")))
+    saving = F.when(F.col("_stores") > 1, (F.col("_dearest") - F.col("_total")).cast("double"))
     return totals.join(dearest, "basket_id").select(
-        "basket_id", *store, "productos", from_units(F.col("_units")).alias("total"), saving.alias("ahorro")
+        "basket_id", *store, "productos", F.col("_total").cast("double").alias("total"), saving.alias("ahorro")
     )

@@ -7,7 +7,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from gondola.operators.clean import MISSING, NOT_POSITIVE, ORPHAN, REJECT
+from gondola.operators.clean import ABSURD, MISSING, NOT_POSITIVE, ORPHAN, REJECT
 from gondola.operators.silver import stamp
 from gondola.schema import AUDIT_BRONZE, AUDIT_SILVER, DATE
 
@@ -18,6 +18,7 @@ def _counters() -> list[Column]:
         F.count_if(reject == MISSING).alias("validation_dropped"),
         F.count_if(reject == ORPHAN).alias("integrity_dropped"),
         F.count_if(reject == NOT_POSITIVE).alias("negative_price_count"),
+        F.count_if(reject == ABSURD).alias("absurd_price_count"),
         F.count_if(reject.isNull()).alias("silver_loaded"),
     ]
 
@@ -38,7 +39,9 @@ def _as(df: DataFrame, schema) -> DataFrame:
 
 def silver_audit(stats: DataFrame, ingested_at: datetime) -> DataFrame:
     """One row per business date."""
-    rows = stats.withColumn("table_type", F.lit("silver_precios"))
+    # The audit table has no column of its own for absurd prices: they count as not valid.
+    not_valid = F.col("validation_dropped") + F.col("absurd_price_count")
+    rows = stats.withColumns({"table_type": F.lit("silver_precios"), "validation_dropped": not_valid})
     return _as(stamp(rows, scraped_at=ingested_at).withColumnRenamed("scraped_at", "ingested_at"), AUDIT_SILVER)
 
 

@@ -17,7 +17,10 @@ from gondola.functions import clean_id, is_footer, soft_double, soft_float, soft
 from gondola.schema import raw_columns
 
 REJECT = "_reject"
-FOOTER, MISSING, NOT_POSITIVE, ORPHAN = "footer", "validation", "price", "integrity"
+FOOTER, MISSING, NOT_POSITIVE, ABSURD, ORPHAN = "footer", "validation", "price", "absurd", "integrity"
+
+# No price of a shop is higher; NaN and infinite prices are absurd as well.
+HIGHEST_PRICE = 1e12
 
 # Accepted store types, lower case.
 STORE_TYPES = (
@@ -126,7 +129,9 @@ def tag_productos(raw: DataFrame) -> DataFrame:
         "productos_descripcion",
     )
     not_positive = F.col("productos_precio_lista") <= 0
-    return _tagged(raw, "id_producto", casts, (missing, MISSING), (not_positive, NOT_POSITIVE))
+    # Spark orders NaN above every number.
+    absurd = F.col("productos_precio_lista") > HIGHEST_PRICE
+    return _tagged(raw, "id_producto", casts, (missing, MISSING), (not_positive, NOT_POSITIVE), (absurd, ABSURD))
 
 
 def clean_comercio(raw: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ from datetime import date, timedelta
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gondola.functions import exact_avg
+from gondola.functions import price_decimal
 from gondola.operators.latest import latest_per_key
 from gondola.operators.silver import project
 from gondola.schema import DATE, MERCHANT_KEYS, QUOTE_KEYS, STORE_KEYS
@@ -49,13 +49,24 @@ def price_quotes(staged: DataFrame, keys: Sequence[str] = QUOTE_KEYS) -> DataFra
     return latest_per_key(staged.select(*QUOTE_COLUMNS), keys, ["scraped_at"])
 
 
-def latest_prices(precios: DataFrame, sucursales: DataFrame, comercios: DataFrame) -> DataFrame:
+def latest_prices(
+    precios: DataFrame,
+    sucursales: DataFrame,
+    comercios: DataFrame,
+    columns: Sequence[str] | None = None,
+    products: DataFrame | None = None,
+) -> DataFrame:
     """Last scraped price per store and product with store and banner names.
 
     The join keys are part of the dedup key and the dimensions hold one row per key,
-    so deduplicating first gives the same rows and joins far fewer of them.
+    so deduplicating first gives the same rows and joins far fewer of them. ``columns`` are the
+    fact columns wanted (all by default); ``products`` (id_producto, distinct) restricts the fact
+    before the dedup. Ties of the scrape time go by the columns of the whole fact.
     """
-    last = latest_per_key(precios, [*STORE_KEYS, "id_producto"], ["scraped_at"])
+    rows = precios if products is None else precios.join(products, "id_producto", "left_semi")
+    last = latest_per_key(rows, [*STORE_KEYS, "id_producto"], ["scraped_at"])
+    if columns is not None:
+        last = last.select(*columns)
     stores = sucursales.select(*STORE_KEYS, "nombre", "localidad", "provincia")
     banners = comercios.select(*MERCHANT_KEYS, "bandera_nombre")
     return last.join(stores, list(STORE_KEYS)).join(banners, list(MERCHANT_KEYS))
@@ -71,35 +82,45 @@ def price_comparison(
 ) -> DataFrame:
     """Each recent price next to the average, lowest and highest of its product and date.
 
-    The three measures are one aggregate joined back, not a window: partial sums
-    merge before the shuffle, and the join can broadcast the small side or split a
-    product that holds much of the day, where a window would need it in one task.
+    The fact is joined to the keys it must have once, without names. The three measures are one
+    aggregate of that, joined back, not a window: partial sums merge before the shuffle, and
+    the join can broadcast the small side or split a product that holds much of the day, where a
+    window would need it in one task. Names come last.
     """
     since = F.lit((as_of - timedelta(days=days_back)).isoformat()).cast("timestamp_ntz")
-    rows = (
+    known = (
         precios.filter(F.col("scraped_at") >= since)
-        .select(*STORE_KEYS, "id_producto", "precio_lista", DATE)
+        .groupBy("id_producto", DATE, *STORE_KEYS, "precio_lista")
+        .agg(F.count("*").alias("_n"))
+        .join(productos.select("id_producto"), "id_producto", "left_semi")
+        .join(sucursales.select(*STORE_KEYS), list(STORE_KEYS), "left_semi")
+        .join(comercios.select(*MERCHANT_KEYS), list(MERCHANT_KEYS), "left_semi")
+    )
+    price, times = F.col("precio_lista"), F.col("_n")
+    spread = known.groupBy("id_producto", DATE).agg(
+        (F.sum(price_decimal(price) * times.cast("decimal(10,0)")).cast("double") / F.sum(times)).alias("precio_promedio"),
+        F.min(price).alias("precio_minimo"),
+        F.max(price).alias("precio_maximo"),
+    )
+    return (
+        known.join(spread, ["id_producto", DATE])
         .join(productos.select("id_producto", "descripcion", "marca"), "id_producto")
         .join(sucursales.select(*STORE_KEYS, "nombre", "localidad"), list(STORE_KEYS))
         .join(comercios.select(*MERCHANT_KEYS, "bandera_nombre"), list(MERCHANT_KEYS))
-    )
-    spread = rows.groupBy("id_producto", DATE).agg(
-        exact_avg(F.col("precio_lista")).alias("precio_promedio"),
-        F.min("precio_lista").alias("precio_minimo"),
-        F.max("precio_lista").alias("precio_maximo"),
-    )
-    return rows.join(spread, ["id_producto", DATE]).select(
-        "id_producto",
-        "descripcion",
-        "marca",
-        "id_comercio",
-        "bandera_nombre",
-        "id_sucursal",
-        "nombre",
-        "localidad",
-        "precio_lista",
-        DATE,
-        "precio_promedio",
-        "precio_minimo",
-        "precio_maximo",
+        .withColumn("_copy", F.explode(F.sequence(F.lit(1), times.cast("int"))))  # equal rows stay as many
+        .select(
+            "id_producto",
+            "descripcion",
+            "marca",
+            "id_comercio",
+            "bandera_nombre",
+            "id_sucursal",
+            "nombre",
+            "localidad",
+            "precio_lista",
+            DATE,
+            "precio_promedio",
+            "precio_minimo",
+            "precio_maximo",
+        )
     )

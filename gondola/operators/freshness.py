@@ -4,13 +4,12 @@ from __future__ import annotations
 
 from datetime import timedelta
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gondola.functions import footer_date, is_footer
 
-# Children that vote, tolerated age in days.
-VOTERS = 20
+# Fixed value: tolerated age in days.
 TOLERANCE = timedelta(days=1)
 
 FILES_OF_A_CHILD = ("comercio", "sucursales", "productos")
@@ -37,18 +36,15 @@ def date_status(fecha_pie: Column, target: Column) -> Column:
     return F.when(fecha_pie.isNull(), "unknown").when(too_old, "stale").otherwise("valid")
 
 
-def package_vote(children: DataFrame, voters: int = VOTERS) -> DataFrame:
-    """Verdict per package from its first children: refused when stale ones outnumber valid ones.
+def package_vote(children: DataFrame) -> DataFrame:
+    """Verdict per package from all its children: refused when stale ones outnumber valid ones.
 
-    ``children``: package, ordinal, fecha_pie, target_date. Ties and packages whose
-    children carry no date pass.
+    ``children``: package, fecha_pie, target_date. Ties and packages whose children carry
+    no date pass.
     """
-    first = F.row_number().over(Window.partitionBy("package").orderBy("ordinal"))
     status = date_status(F.col("fecha_pie"), F.col("target_date"))
     return (
-        children.withColumn("_rank", first)
-        .filter(F.col("_rank") <= voters)
-        .groupBy("package")
+        children.groupBy("package")
         .agg(
             F.count_if(status == "valid").alias("valid"),
             F.count_if(status == "stale").alias("stale"),

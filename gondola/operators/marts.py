@@ -16,6 +16,7 @@ from gondola.functions import (
     clean_description,
     exact_avg,
     percent_change,
+    price_decimal,
 )
 from gondola.schema import DATE, MERCHANT_KEYS, STORE_CURRENT_KEYS
 
@@ -52,72 +53,98 @@ def daily_price_summary(precios: DataFrame, productos: DataFrame) -> DataFrame:
 
 
 def store_coverage(precios: DataFrame, sucursales: DataFrame) -> DataFrame:
-    """Per date and province (null kept): stores, chains and products that report, and prices."""
-    provinces = sucursales.select(*STORE_CURRENT_KEYS, "provincia")
-    return (
-        precios.select(DATE, "id_comercio", "id_sucursal", "id_producto")
-        .join(provinces, list(STORE_CURRENT_KEYS), "left")
-        .groupBy(DATE, "provincia")
-        .agg(
-            F.count_distinct("id_sucursal").alias("sucursales_activas"),
-            F.count_distinct("id_comercio").alias("cadenas_activas"),
-            F.count_distinct("id_producto").alias("productos_reportados"),
-            F.count("id_producto").alias("total_precios"),
-        )
+    """Per date and province (null kept): stores, chains and products that report, and prices.
+
+    The fact is read and shuffled once, summed to one row per date, store and product. The three
+    counts are rollups of that exchange, which Spark computes once and reads three times.
+    """
+    sums = precios.groupBy(DATE, "id_comercio", "id_sucursal", "id_producto").agg(F.count("id_producto").alias("_n"))
+    placed = sums.join(sucursales.select(*STORE_CURRENT_KEYS, "provincia"), list(STORE_CURRENT_KEYS), "left")
+    place = [DATE, "provincia"]
+
+    def distinct(column: str, name: str) -> DataFrame:
+        found = placed.select(*place, column).distinct().groupBy(*place).agg(F.count(column).alias(name))
+        return found.withColumnsRenamed({c: f"_{c}" for c in place})
+
+    out = (
+        placed.groupBy(*place, "id_producto")
+        .agg(F.sum("_n").alias("_n"))
+        .groupBy(*place)
+        .agg(F.count("id_producto").alias("productos_reportados"), F.sum("_n").alias("total_precios"))
     )
+    for column, name in (("id_sucursal", "sucursales_activas"), ("id_comercio", "cadenas_activas")):
+        side = distinct(column, name)
+        same = F.col(DATE).eqNullSafe(F.col(f"_{DATE}")) & F.col("provincia").eqNullSafe(F.col("_provincia"))
+        out = out.join(side, same).drop(*(f"_{c}" for c in place))
+    return out.select(*place, "sucursales_activas", "cadenas_activas", "productos_reportados", "total_precios")
 
 
 def price_timeseries(quotes: DataFrame, sucursales: DataFrame, approx_median: bool = False) -> DataFrame:
     """Price series per date, product and province from the deduplicated quotes.
 
-    Stores are counted in a narrow aggregate of their own: counting them together with
-    the rest would shuffle every measure once per store first. Both aggregates are
-    partitioned by the series key, so joining them moves nothing.
+    One pass: quotes are summed to one row per series, store and price, with how often the price
+    occurs, and that rolls up to the series in the same partitioning. The median is taken over
+    price frequencies, so a buffer holds each distinct price once. Stores are counted in a
+    rollup of the same exchange.
     """
     key = [DATE, "id_producto", "provincia"]
-    price = F.col("precio_lista")
+    price, times = F.col("precio_lista"), F.col("_n")
     stores = sucursales.select(*STORE_CURRENT_KEYS, "provincia").filter(F.col("provincia").isNotNull())
     priced = (
         quotes.filter(price >= GOLD_MIN_PRICE)
         .join(stores, list(STORE_CURRENT_KEYS))
-        .select(
-            DATE,
-            "id_producto",
-            "provincia",
-            "id_sucursal",
-            "precio_lista",
-            clean_description(F.col("descripcion")).alias("descripcion_clean"),
-            "marca",
+        .groupBy(*key, "id_sucursal", "precio_lista")
+        .agg(
+            F.count("*").alias("_n"),
+            F.min(clean_description(F.col("descripcion"))).alias("descripcion_clean"),
+            F.min("marca").alias("marca"),
         )
     )
-    median = F.percentile_approx(price, 0.5) if approx_median else F.median(price)
-    stores_per_key = (
-        priced.select(*key, "id_sucursal").distinct().groupBy(*key).agg(F.count("id_sucursal").alias("num_sucursales"))
+    median = F.percentile_approx(price, 0.5) if approx_median else F.percentile(price, 0.5, times)
+    per_price = priced.groupBy(*key, "precio_lista").agg(
+        F.sum("_n").alias("_n"), F.min("descripcion_clean").alias("descripcion_clean"), F.min("marca").alias("marca")
     )
-    series = priced.groupBy(*key).agg(
+    # An approximate median has no frequencies; it reads the rows a price stands for.
+    rows = per_price.withColumn("_i", F.explode(F.sequence(F.lit(1), times.cast("int")))) if approx_median else per_price
+    one = F.lit(1) if approx_median else times
+    mean = F.sum(price_decimal(price) * one.cast("decimal(10,0)")).cast("double") / F.sum(one)
+    series = rows.groupBy(*key).agg(
         F.min("descripcion_clean").alias("descripcion_clean"),
         F.min("marca").alias("marca"),
-        exact_avg(price).alias("precio_promedio"),
+        mean.alias("precio_promedio"),
         median.alias("precio_mediana"),
         F.min(price).alias("precio_min"),
         F.max(price).alias("precio_max"),
-        F.stddev_samp(price).alias("precio_desvio"),
-        F.count("*").alias("num_observaciones"),
+        F.sum(one).alias("num_observaciones"),
     )
-    return series.join(stores_per_key, key, "left").select(
-        DATE,
-        "id_producto",
-        "descripcion_clean",
-        "marca",
-        categorize_product(F.col("descripcion_clean")).alias("categoria_inferida"),
-        "provincia",
-        "precio_promedio",
-        "precio_mediana",
-        "precio_min",
-        "precio_max",
-        "precio_desvio",
-        "num_observaciones",
-        "num_sucursales",
+    stores_per_key = priced.select(*key, "id_sucursal").distinct().groupBy(*key).agg(F.count("*").alias("num_sucursales"))
+    # Squares of differences from the mean, not of prices: nothing cancels.
+    spread = (
+        per_price.join(series.select(*key, F.col("precio_promedio").alias("_mean")), key)
+        .groupBy(*key)
+        .agg(F.sum(times * F.pow(price - F.col("_mean"), 2)).alias("_squares"))
+    )
+    deviation = F.when(
+        F.col("num_observaciones") > 1, F.sqrt(F.col("_squares") / (F.col("num_observaciones") - 1))
+    )
+    return (
+        series.join(stores_per_key, key)
+        .join(spread, key)
+        .select(
+            DATE,
+            "id_producto",
+            "descripcion_clean",
+            "marca",
+            categorize_product(F.col("descripcion_clean")).alias("categoria_inferida"),
+            "provincia",
+            "precio_promedio",
+            "precio_mediana",
+            "precio_min",
+            "precio_max",
+            deviation.alias("precio_desvio"),
+            "num_observaciones",
+            "num_sucursales",
+        )
     )
 
 

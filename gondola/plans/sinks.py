@@ -14,6 +14,7 @@ from gondola.sources.tables import DAY_PARTS, with_day_parts
 
 ROWS_PER_FILE = 2_000_000
 SUCCESS = "_SUCCESS"
+NO_DATE = "__HIVE_DEFAULT_PARTITION__"
 
 # Cluster keys per table: files are sorted by them so readers can skip row groups.
 CLUSTER_BY = {
@@ -116,6 +117,7 @@ def _day_names(table: Folder) -> list[tuple[str, str, str]]:
         if y.startswith("year=")
         for m in table.child(y).children()
         for d in table.child(y, m).children()
+        if d.startswith("day=")
     ]
 
 
@@ -130,10 +132,40 @@ def day_exists(spark: SparkSession, root: str, day: date, force: bool = False) -
     return all(Folder(spark, bronze_path(root, t)).child(*_day_folder(day)).exists() for t in RAW_TABLES)
 
 
+def _swap(spark: SparkSession, staging: Folder, root: str, day: Sequence[str], tables: Sequence[str]) -> None:
+    """Moves a day's staged tables in. Old folders are moved aside first and deleted last, so a
+    failed move puts every table back as it was."""
+    marker = Folder(spark, f"{root}/bronze/_committed").child(*day, SUCCESS)
+    was_committed = marker.exists()
+    aside = staging.child("old", *day)
+    done: list[tuple[Folder, Folder, bool]] = []
+    marker.delete()
+    try:
+        for table in tables:
+            final, old = Folder(spark, bronze_path(root, table)).child(*day), aside.child(table)
+            had = final.exists()
+            if had:
+                final.move_to(old)
+            done.append((final, old, had))
+            new = staging.child(table, *day)
+            if new.exists():
+                new.move_to(final)
+    except Exception:
+        for final, old, had in done:
+            final.delete()
+            if had:
+                old.move_to(final)
+        if was_committed:
+            marker.touch()
+        raise
+    if all(Folder(spark, bronze_path(root, t)).child(*day).exists() for t in RAW_TABLES):
+        marker.touch()
+
+
 def write_bronze_day(frames: dict[str, DataFrame], root: str, day: date) -> dict[str, int]:
     """All three tables of a day or nothing. Returns the rows written per table.
 
-    Tables are staged first. A missing or empty table, or a failed write, leaves an
+    Tables are staged first. A missing or empty table, or a failed write or move, leaves an
     earlier committed day as it was; the marker is gone while folders are swapped.
     """
     spark = next(iter(frames.values())).sparkSession
@@ -141,46 +173,43 @@ def write_bronze_day(frames: dict[str, DataFrame], root: str, day: date) -> dict
     rows = {}
     try:
         for table, df in frames.items():
-            target = staging.child(table).path
+            target = staging.child(table, *_day_folder(day)).path
             df.hint("rebalance").write.option("maxRecordsPerFile", ROWS_PER_FILE).option("compression", "zstd").parquet(
                 target
             )
             rows[table] = spark.read.schema(df.schema).parquet(target).count()
         if all(rows.get(t, 0) > 0 for t in RAW_TABLES):
-            marker = _marker(spark, root, day)
-            marker.delete()
-            for table in RAW_TABLES:
-                final = Folder(spark, bronze_path(root, table)).child(*_day_folder(day))
-                final.delete()
-                staging.child(table).move_to(final)
-            marker.touch()
+            _swap(spark, staging, root, _day_folder(day), RAW_TABLES)
     finally:
         staging.delete()
     return {t: rows.get(t, 0) for t in RAW_TABLES}
 
 
 def write_bronze_range(frames: dict[str, DataFrame], root: str) -> None:
-    """Many days at once: frames carry the date; each date in them is replaced.
+    """Many days at once: frames carry the date; each date in them is replaced, day by day.
 
-    A date whose three tables are present is marked as committed.
+    All tables are staged before the first day is touched, and a day's tables are swapped
+    together. A date whose three tables are present is marked as committed.
     """
     spark = next(iter(frames.values())).sparkSession
-    for table, df in frames.items():
-        staged = with_day_parts(df).drop(DATE)
-        (
-            staged.hint("rebalance", *[F.col(c) for c in DAY_PARTS])
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .option("maxRecordsPerFile", ROWS_PER_FILE)
-            .option("compression", "zstd")
-            .partitionBy(*DAY_PARTS)
-            .parquet(bronze_path(root, table))
-        )
-    # Folder names, one per day: no rows are read.
-    for year, month, day in _day_names(Folder(spark, bronze_path(root, RAW_TABLES[0]))):
-        folder = [year, month, day]
-        if all(Folder(spark, bronze_path(root, t)).child(*folder).exists() for t in RAW_TABLES):
-            Folder(spark, f"{root}/bronze/_committed").child(*folder, SUCCESS).touch()
+    staging = Folder(spark, f"{root}/bronze/.staging/range-{uuid.uuid4().hex}")
+    try:
+        days = set()
+        for table, df in frames.items():
+            staged = with_day_parts(df).drop(DATE)
+            (
+                staged.hint("rebalance", *[F.col(c) for c in DAY_PARTS])
+                .write.option("maxRecordsPerFile", ROWS_PER_FILE)
+                .option("compression", "zstd")
+                .partitionBy(*DAY_PARTS)
+                .parquet(staging.child(table).path)
+            )
+            days.update(_day_names(staging.child(table)))
+        for day in sorted(days):  # folder names of the written days only
+            written = [t for t in frames if staging.child(t, *day).exists()]
+            _swap(spark, staging, root, day, written)
+    finally:
+        staging.delete()
 
 
 def drop_days(spark: SparkSession, path: str, days: Sequence[date]) -> None:
@@ -219,7 +248,10 @@ def upsert(batch: DataFrame, path: str, keys: Sequence[str], table: str = "") ->
         batch.write.partitionBy(DATE).parquet(staging.path)
         staged = spark.read.schema(batch.schema).parquet(staging.path)
         # One value per date of the batch, read from folder names: literals prune the target.
-        days = [date.fromisoformat(d) for d in date_folders(staging)]
+        names = date_folders(staging)
+        if NO_DATE in names:
+            raise ValueError(f"rows of the batch have no {DATE}")
+        days = [date.fromisoformat(d) for d in names]
         touched = spark.read.schema(batch.schema).parquet(path).filter(F.col(DATE).isin(days))
         replace_days(upsert_frames(touched, staged, keys), path, table)
     finally:

@@ -8,7 +8,9 @@ cluster, and each task streams its members as bounded batches of text lines.
 from __future__ import annotations
 
 import io
+import lzma
 import zipfile
+import zlib
 from collections.abc import Iterator
 from fnmatch import fnmatch
 
@@ -60,8 +62,8 @@ def split_masters(masters: DataFrame, child_glob: str = "*.zip", spread: int | N
                 with zipfile.ZipFile(io.BytesIO(content)) as master:
                     names = [n for n in master.namelist() if fnmatch(n.rsplit("/", 1)[-1], child_glob)]
                     for ordinal, name in enumerate(names):
-                        yield _batch(_CHILDREN, [path], [name], [ordinal], [master.read(name)])
-            except zipfile.BadZipFile:
+                        yield _batch(_CHILDREN, [path], [name], [ordinal], [_content(master, name)])
+            except _UNREADABLE:
                 yield _batch(_CHILDREN, [path], [_EMPTY_MASTER], [0], [b""])
 
     children = masters.select("path", "content").mapInArrow(split, from_arrow_schema(_CHILDREN))
@@ -69,6 +71,14 @@ def split_masters(masters: DataFrame, child_glob: str = "*.zip", spread: int | N
     return children.repartition(tasks, "package", "child")
 
 
+def _content(master: zipfile.ZipFile, name: str) -> bytes:
+    """A child's bytes; none when the master is damaged there."""
+    try:
+        return master.read(name)
+    except _UNREADABLE:
+        return b""
+
+
 def _pairs(batches: Iterator[pa.RecordBatch], *names: str) -> Iterator[tuple]:
     for batch in batches:
         columns = [batch.column(n) for n in names]
@@ -80,23 +90,41 @@ def _batch(schema: pa.Schema, *columns: list) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
 
 
+# What zipfile raises for damaged, truncated, encrypted or unsupported content.
+_UNREADABLE = (zipfile.BadZipFile, zlib.error, lzma.LZMAError, EOFError, OSError, RuntimeError, ValueError)
+
+
 def _open_child(content: bytes) -> tuple[zipfile.ZipFile | None, dict[str, str]]:
-    """The archive and the member of each table it has; no archive when it is broken."""
+    """The archive and the readable member of each table; no archive when it is broken.
+
+    A member counts only if it can be read to its end with the right checksum, so no line
+    of a damaged one is handed on.
+    """
     try:
         archive = zipfile.ZipFile(io.BytesIO(content))
-    except zipfile.BadZipFile:
+        names = archive.namelist()
+    except _UNREADABLE:
         return None, {}
-    names = archive.namelist()
     members = {}
     for table in RAW_TABLES:
         found = next((n for n in names if n.endswith(f"{table}.csv")), None)
-        if found is not None:
+        if found is not None and _intact(archive, found):
             members[table] = found
     return archive, members
 
 
+def _intact(archive: zipfile.ZipFile, name: str) -> bool:
+    try:
+        with archive.open(name) as member:
+            while member.read(1 << 20):
+                pass
+    except _UNREADABLE:
+        return False
+    return True
+
+
 def child_status(children: DataFrame) -> DataFrame:
-    """Whether each child opens and has all three tables."""
+    """Whether each child opens and has all three tables, undamaged."""
 
     def status(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for package, child, ordinal, content in _pairs(batches, "package", "child", "ordinal", "content"):

@@ -7,6 +7,9 @@ surplus fields are dropped, undecodable bytes become the replacement character,
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -48,13 +51,6 @@ def layout(header: str, table: str) -> list[int]:
     return [names.index(c) if c in names else -1 for c in raw_columns(table)]
 
 
-def layout_column(header: Column, table: str) -> Column:
-    """The same for a column of header lines."""
-    blanks = F.lit(" \t\r\n")
-    names = F.transform(_split(F.ltrim(header, F.lit(BOM))), lambda name: F.btrim(name, blanks))
-    return F.array(*[F.array_position(names, c).cast("int") - 1 for c in raw_columns(table)])
-
-
 def parse_lines(lines: DataFrame, table: str, keep: tuple[str, ...] = ()) -> DataFrame:
     """Data lines to the table's columns, matched by name through the layout of their file.
 
@@ -71,25 +67,43 @@ def parse_lines(lines: DataFrame, table: str, keep: tuple[str, ...] = ()) -> Dat
     return fields.select(*keep, *[value(i, name) for i, name in enumerate(raw_columns(table))])
 
 
-def _is_header(line: Column, table: str) -> Column:
-    """A header names the table's first two key columns; a data line never does."""
-    first, second = raw_columns(table)[:2]
-    return line.contains(first) & line.contains(second)
-
-
 def read_by_name(spark: SparkSession, paths: str | list[str], table: str, keep_path: bool = False) -> DataFrame:
     """Files of one table with any mix of headers, aligned to its columns by name.
 
-    Headers are looked up per file with a join on the file path: one row per file, so
-    Spark broadcasts it while it is small and splits a dominating file otherwise.
+    The header is a file's first line, whatever it says, and every later line is data. Files
+    are read once, each as a stream by one task, so the header is known where the lines are.
+    A file whose header names no column of the table raises ValueError.
     """
-    text = (
-        spark.read.text(paths)
-        .filter(F.length(F.btrim("value", F.lit(" \t\r\n"))) > 0)
-        .select(F.col("value").alias("line"), F.col("_metadata.file_path").alias("path"))
+    lines = (
+        spark.read.schema("line string")
+        .option("multiLine", True)  # keeps a file whole and its lines in order
+        .option("sep", "\ufffe")  # a code point no text has: the line is one field
+        .option("quote", "")
+        .csv(paths)
+        .select(F.col("_metadata.file_path").alias("path"), "line")
     )
-    header = _is_header(F.col("line"), table)
-    headers = text.filter(header).groupBy("path").agg(F.min("line").alias("_header"))
-    headers = headers.select("path", layout_column(F.col("_header"), table).alias("layout"))
-    data = text.filter(~header).join(headers, "path")
-    return parse_lines(data, table, keep=("path",) if keep_path else ())
+
+    def laid_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        path, positions = None, []
+        for batch in batches:
+            names = batch.column("path").to_pylist()
+            starts = [i for i in range(len(names)) if i == 0 or names[i] != names[i - 1]]
+            for start, end in zip(starts, [*starts[1:], len(names)]):
+                first = start
+                if names[start] != path:
+                    path, first = names[start], start + 1
+                    positions = layout(batch.column("line")[start].as_py() or "", table)
+                    if max(positions) < 0:
+                        raise ValueError(f"{path}: the first line names no column of {table}")
+                rows = batch.slice(first, end - first)
+                repeated = pa.ListArray.from_arrays(
+                    pa.array(range(0, rows.num_rows * len(positions) + 1, len(positions)), pa.int32()),
+                    pa.array(positions * rows.num_rows, pa.int32()),
+                )
+                yield pa.RecordBatch.from_arrays(
+                    [rows.column("path"), repeated, rows.column("line")], ["path", "layout", "line"]
+                )
+
+    text = lines.mapInArrow(laid_out, "path string, layout array<int>, line string")
+    text = text.filter(F.length(F.btrim("line", F.lit(" \t\r\n"))) > 0)
+    return parse_lines(text, table, keep=("path",) if keep_path else ())

@@ -42,7 +42,7 @@ def load_batch(batch: DataFrame, root: str) -> None:
     )
     rows = clean.clean_productos(batch)
     typed = silver.to_silver_precios(silver.stamp(rows, scraped_at=silver.run_time()))
-    matched = integrity.keep_matching(typed, stores, STORE_KEYS)
+    matched = integrity.keep_matching(typed, stores, STORE_KEYS, spare_uncovered=True)
     upsert(matched, table_path(root, "precios"), FACT_KEYS, "precios")
 
 

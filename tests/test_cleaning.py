@@ -99,6 +99,7 @@ def test_each_row_is_rejected_for_its_first_reason(raw):
         "validation_dropped": 3,
         "integrity_dropped": 1,
         "negative_price_count": 2,
+        "absurd_price_count": 0,
         "silver_loaded": 1,
     }
 
@@ -112,9 +113,23 @@ def test_counters_observed_on_the_write_are_the_same(raw, tmp_path):
 
 def test_without_stores_all_prices_stay(raw):
     empty = stores(raw, store()).filter("false")
-    rows = integrity.tag_orphans(tagged(raw), empty, STORE_KEYS)
+    rows = integrity.tag_orphans(tagged(raw), empty, STORE_KEYS, spare_uncovered=True)
     assert clean.kept(rows).count() == 2
-    assert integrity.keep_matching(clean.kept(tagged(raw)), empty, STORE_KEYS, scope=()).count() == 2
+    good = clean.kept(tagged(raw))
+    assert integrity.keep_matching(good, empty, STORE_KEYS, scope=(), spare_uncovered=True).count() == 2
+    assert integrity.uncovered_dates(good, empty).collect() == [(DAY["fecha_vigencia"], 2)]
+    assert integrity.keep_matching(good, empty, STORE_KEYS).isEmpty()
+    assert clean.kept(integrity.tag_orphans(tagged(raw), empty, STORE_KEYS)).isEmpty()
+
+
+@pytest.mark.parametrize("price", ["NaN", "Infinity", "1e16", "1e300"])
+def test_absurd_prices_are_a_counted_reject(raw, price):
+    rows = clean.tag_productos(raw("productos", product(productos_precio_lista=price), product(), **DAY))
+    assert [r[clean.REJECT] for r in rows.collect()] == ["absurd", None]
+    stats = audit.drop_stats(rows).head()
+    assert (stats.absurd_price_count, stats.silver_loaded, stats.validation_dropped) == (1, 1, 0)
+    audited = audit.silver_audit(audit.drop_stats(rows), datetime(2026, 1, 16)).head()
+    assert audited.validation_dropped == 1
 
 
 def test_the_empty_side_rule_is_per_day(raw, spark):
@@ -122,7 +137,7 @@ def test_the_empty_side_rule_is_per_day(raw, spark):
     rows = clean.clean_productos(raw("productos", product(id_sucursal="99"), **DAY)).unionByName(
         clean.clean_productos(raw("productos", product(id_sucursal="99"), **other))
     )
-    kept = integrity.keep_matching(rows, stores(raw, store()), STORE_KEYS)
+    kept = integrity.keep_matching(rows, stores(raw, store()), STORE_KEYS, spare_uncovered=True)
     assert [r.fecha_vigencia for r in kept.collect()] == [date(2026, 1, 16)]
 
 

@@ -77,7 +77,7 @@ def test_archives_to_gold(spark, tmp_path):
 
     for _ in range(2):
         stats = daily.load_days(spark, root, D15, D16, NOW)
-        assert {tuple(r)[1:] for r in stats.collect()} == {(0, 2, 2, 4)}
+        assert {tuple(r)[1:] for r in stats.collect()} == {(0, 2, 2, 0, 4)}
     fact = tables.scan(spark, models.table_path(root, "precios"), SILVER["precios"])
     assert fact.count() == 8
     assert {r.scraped_at for r in fact.collect()} == {NOW}
@@ -136,6 +136,86 @@ def test_a_reload_without_good_rows_empties_its_day(spark, raw, tmp_path):
         assert [r.fecha_vigencia for r in rows] == [D15]
 
 
+def test_each_table_loses_the_dates_it_got_nothing_for(spark, raw, tmp_path):
+    root = str(tmp_path)
+
+    def dates(name):
+        rows = tables.scan(spark, models.table_path(root, name), SILVER[name]).select("fecha_vigencia").distinct()
+        return {r[0] for r in rows.collect()}
+
+    both = [day_frames(raw, [product()], fecha_vigencia=d) for d in (D15, D16)]
+    daily.load_silver({t: both[0][t].unionByName(both[1][t]) for t in RAW_TABLES}, root, NOW)
+    assert all(dates(name) == {D15, D16} for name in SILVER)
+    # The day comes again with merchants only: no store is valid and no price row exists.
+    again = both[1] | {t: both[1][t].filter("false") for t in ("sucursales", "productos")}
+    daily.load_silver(again, root, NOW)
+    assert dates("dim_comercios") == {D15, D16}
+    assert all(dates(name) == {D15} for name in ("dim_sucursales", "precios", "dim_productos"))
+
+
+def bronze_prices(spark, root, *days):
+    return {d: {r.productos_precio_lista for r in daily.bronze_rows(spark, root, "productos", d, d).collect()} for d in days}
+
+
+@pytest.mark.parametrize("whole_range", [False, True])
+def test_a_failed_swap_leaves_the_earlier_day(spark, raw, tmp_path, monkeypatch, whole_range):
+    root = str(tmp_path)
+
+    def write(price):
+        if whole_range:
+            sinks.write_bronze_range(day_frames(raw, [product(productos_precio_lista=price)], fecha_vigencia=D15), root)
+        else:
+            frames = day_frames(raw, [product(productos_precio_lista=price)], fecha_vigencia=D15)
+            sinks.write_bronze_day({t: df.drop("fecha_vigencia") for t, df in frames.items()}, root, D15)
+
+    write("1")
+    move, moves = sinks.Folder.move_to, []
+
+    def failing(self, target):
+        moves.append(target.path)
+        if len(moves) == 4:  # the second table's new folder
+            raise OSError("no space")
+        move(self, target)
+
+    monkeypatch.setattr(sinks.Folder, "move_to", failing)
+    with pytest.raises(OSError, match="no space"):
+        write("2")
+    monkeypatch.setattr(sinks.Folder, "move_to", move)
+    assert sinks.day_exists(spark, root, D15)
+    assert bronze_prices(spark, root, D15) == {D15: {"1"}}
+    write("3")
+    assert bronze_prices(spark, root, D15) == {D15: {"3"}}
+
+
+def test_a_range_touches_only_its_days(spark, raw, tmp_path):
+    root = str(tmp_path)
+    both = [day_frames(raw, [product()], fecha_vigencia=d) for d in (D15, D16)]
+    sinks.write_bronze_range({t: both[0][t].unionByName(both[1][t]) for t in RAW_TABLES}, root)
+    marker = tmp_path / "bronze/_committed/year=2026/month=01/day=15/_SUCCESS"
+    before = marker.stat().st_mtime_ns
+    sinks.write_bronze_range(day_frames(raw, [product(productos_precio_lista="7")], fecha_vigencia=D16), root)
+    assert marker.stat().st_mtime_ns == before
+    assert bronze_prices(spark, root, D15, D16) == {D15: {"1500.50"}, D16: {"7"}}
+
+
+def test_an_upsert_without_dates_is_refused(spark, tmp_path):
+    path = str(tmp_path / "t")
+    sinks.upsert(coverage(spark, (D15, "A", 1)), path, ["fecha_vigencia", "provincia"])
+    with pytest.raises(ValueError, match="no fecha_vigencia"):
+        sinks.upsert(coverage(spark, (None, "A", 1)), path, ["fecha_vigencia", "provincia"])
+
+
+def test_the_audit_counts_what_was_read_apart_from_what_was_written(spark, tmp_path, monkeypatch):
+    master = master_zip(tmp_path / "m.zip", [child_zip("2026-01-15", [product(), product(id_producto="2")])])
+    lost = daily.bronze_rows
+    monkeypatch.setattr(
+        daily, "bronze_rows", lambda s, r, t, a, b: lost(s, r, t, a, b).limit(1) if t == "productos" else lost(s, r, t, a, b)
+    )
+    rows = {r.table_type: r for r in daily.ingest_day(spark, master, str(tmp_path / "lake"), D15).collect()}
+    assert (rows["bronze_productos"].csv_row_count, rows["bronze_productos"].parquet_row_count) == (2, 1)
+    assert (rows["bronze_comercio"].csv_row_count, rows["bronze_comercio"].parquet_row_count) == (2, 2)
+
+
 def test_a_full_build_drops_vanished_dates(spark, raw, tmp_path):
     path = str(tmp_path / "quotes")
     model = models.MODELS[0]
@@ -219,13 +299,27 @@ def test_guarded_query(spark):
     joined = "SELECT p.id FROM lake.precios p JOIN lake.precios_extra e ON p.id = e.id -- note"
     assert query.guarded_query(spark, joined, lake).count() == 3
     assert query.guarded_query(spark, "WITH x AS (SELECT 1 AS a) SELECT a FROM x", lake).count() == 1
-    assert query.guarded_query(spark, "SELECT id FROM precios", lake, limit=-5).count() == 1
-    assert query.guarded_query(spark, "SELECT explode(sequence(1, 6000)) AS a", lake, limit=10**6).count() == 5000
+    assert query.guarded_query(spark, "SELECT explode(sequence(1, 6000)) AS a", lake).count() == 6000
+    nested = "SELECT (SELECT max(id) FROM lake.precios) m, 'lake.precios' t FROM precios_extra WHERE id IN (SELECT id FROM precios)"
+    assert {tuple(r) for r in query.guarded_query(spark, nested, lake).collect()} == {(19, "lake.precios")}
+    spark.range(1).createOrReplaceTempView("precios")
+    assert query.guarded_query(spark, "SELECT * FROM precios", lake).count() == 20
+    assert spark.table("precios").count() == 1  # the caller's view of that name stays
     for sql in ("DROP TABLE precios", "INSERT INTO precios VALUES (1)", "", "-- SELECT 1\nDROP VIEW precios"):
         with pytest.raises(ValueError):
             query.guarded_query(spark, sql, lake)
-    with pytest.raises(Exception, match="PARSE_SYNTAX_ERROR"):
-        query.guarded_query(spark, "SELECT 1; DROP VIEW precios", lake)
+    for sql in (
+        "SELECT 1; DROP VIEW precios",
+        "SELECT reflect('java.lang.System', 'getProperty', 'user.home')",
+        "WITH x AS (SELECT java_method('a', 'b')) SELECT * FROM x",
+        "SELECT * FROM parquet.`/tmp/x`",
+        "SELECT * FROM otra",
+        "SELECT * FROM otro.precios",
+        "SELECT id FROM precios WHERE id IN (SELECT id FROM otra)",
+        "SET spark.sql.ansi.enabled = false",
+    ):
+        with pytest.raises(ValueError):
+            query.guarded_query(spark, sql, lake)
 
 
 def test_preview_and_catalog(spark):
