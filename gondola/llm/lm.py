@@ -42,6 +42,7 @@ FREQUENT = 1 << 16
 CACHE = 200_000
 FLUSH = 300_000
 ROUNDS = 2
+GROUP = 512  # texts whose words are looked up together
 END = " "  # no word is a space
 _PAD = IN  # context class of positions before a text
 
@@ -276,13 +277,9 @@ def _bigrams(docs: DataFrame, sent) -> np.ndarray:
         vocabulary = Vocabulary(model.tokenizer, model.frequent)
         total = np.zeros(IN * OUT, np.int64)
         for batch in batches:
-            numbers = []
-            for text in column_bytes(batch):
-                numbers.append(vocabulary.numbers(_words(text)))
-                if len(numbers) == 64:
-                    _add(total, model, vocabulary, numbers)
-                    numbers = []
-            _add(total, model, vocabulary, numbers)
+            texts = column_bytes(batch)
+            for at in range(0, len(texts), GROUP):
+                _add(total, model, vocabulary, [vocabulary.numbers(_words(t)) for t in texts[at : at + GROUP]])
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(total[at])], ["cell", "n"])
 
@@ -295,9 +292,11 @@ def _bigrams(docs: DataFrame, sent) -> np.ndarray:
 
 def _add(total: np.ndarray, model: Model, vocabulary: Vocabulary, numbers: list[np.ndarray]) -> None:
     ids, ends = vocabulary.arrays()
+    parts = [np.array([vocabulary.size])]  # end tokens between the texts, and before the first
     for some in numbers:
-        seq = np.concatenate(([vocabulary.size], expand(some, ids, ends), [vocabulary.size]))
-        total += np.bincount(model.into[seq[:-1]] * OUT + model.out[seq[1:]], minlength=IN * OUT)
+        parts += [expand(some, ids, ends), parts[0]]
+    seq = np.concatenate(parts)
+    total += np.bincount(model.into[seq[:-1]] * OUT + model.out[seq[1:]], minlength=IN * OUT)
     vocabulary.trim()
 
 
@@ -406,8 +405,8 @@ def score(docs: DataFrame, model: Model, counts: DataFrame, n: int, v: int) -> D
         end = np.array([vocabulary.size])
         for batch in batches:
             texts, keys, doc_ids = column_bytes(batch), batch.column("d").to_numpy(), batch.column("doc_id").to_pylist()
-            for at in range(0, len(texts), 64):
-                numbers = [vocabulary.numbers(_words(t)) for t in texts[at : at + 64]]
+            for at in range(0, len(texts), GROUP):
+                numbers = [vocabulary.numbers(_words(t)) for t in texts[at : at + GROUP]]
                 ids, ends = vocabulary.arrays()
                 scores = score_ids(model, [np.concatenate((expand(x, ids, ends), end)) for x in numbers])
                 known = [x[x < vocabulary.fixed] for x in numbers]
