@@ -5,9 +5,12 @@ same document and earlier start). Windows are the suffixes of all documents cut
 windows are equal when their suffixes meet in an internal node at least that deep. The tree is never
 built as a whole: it is split by prefix, and each level meets only where the level above has branches.
 
+Documents whose whole text also has a smaller id are settled first, by grouping on the text's hash: all their
+windows start earlier. The others go down the tree:
+
 * *Prefix level.* A suffix's prefix ends with the least-hash gram of ``GRAM`` words of its window, so
   prefixes have between GRAM and ``window`` words, and equal windows have equal ones. Suffixes that
-  share that gram (an anchor) are one entry; anchors are about one in seven positions. An anchor that
+  share that gram (an anchor) are one entry; anchors are about one in eight positions. An anchor that
   occurs once has no branch below it, and its suffixes go no further.
 * *Deep level.* The suffixes of anchors that are left are grouped by all ``window`` words: a group with two
   leaves is a deep internal node, its first leaf stays, the others are repeats. Runs of repeats
@@ -32,11 +35,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gondola.llm.common import Spans, column_bytes, shipped, whole_runs
+from gondola.llm.common import Spans, column_bytes, only, shipped, whole_runs, without, written
 
 WINDOW = 20
-GRAM = 8
+GRAM = 6
 _LOW = np.uint64(0xFFFFFFFF)
+_FIRST = -(2**63)  # where a null id stands in the order
 
 
 def anchors(spans: Spans, window: int) -> tuple[np.ndarray, np.ndarray]:
@@ -121,7 +125,8 @@ def repeats(docs: DataFrame, live: DataFrame, window: int) -> DataFrame:
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys, order_by = batch.column("d").to_numpy(), batch.column("ord").to_numpy()
+            keys = batch.column("d").to_numpy()
+            order_by = [_FIRST if x is None else x for x in batch.column("doc_id").to_pylist()]
             at = batch.column("at")
             none = np.zeros(0, np.int64)
             h, o, p, d = [none.view(np.uint64)], [none], [none], [none]
@@ -148,7 +153,7 @@ def repeats(docs: DataFrame, live: DataFrame, window: int) -> DataFrame:
             yield _batch(("d", "pos"), d[take], p[take])
 
     schema = "part long, ord long, pos int, d long, known boolean"
-    rows = shipped(docs.join(live, "d")).select("d", "ord", "text", "at").mapInArrow(emit, schema)
+    rows = shipped(docs.join(live, "d")).select("d", "doc_id", "text", "at").mapInArrow(emit, schema)
     return rows.repartition("part").sortWithinPartitions("part", "ord", "pos").mapInArrow(keep, "d long, pos int")
 
 
@@ -166,6 +171,16 @@ def _positions(rows: DataFrame) -> DataFrame:
     return rows.groupBy("d").agg(F.collect_list("pos").alias("at"))
 
 
+def later_copies(keyed: DataFrame) -> DataFrame:
+    """d of the documents whose text a document with a smaller id has, too."""
+    same = ("h1", "h2")
+    rows = keyed.where("text is not null").select(
+        "d", F.coalesce("doc_id", F.lit(_FIRST)).alias("ord"), F.xxhash64("text").alias("h1"), F.xxhash64(F.lit(1), "text").alias("h2")
+    )
+    first = rows.groupBy(*same).agg(F.min("ord").alias("first"), F.max("ord").alias("last")).where("first < last").drop("last")
+    return rows.join(first, list(same)).where("ord > first").select("d").distinct()
+
+
 def covered(n: int, starts: np.ndarray, window: int) -> np.ndarray:
     """Which of n words a window covers."""
     step = np.zeros(n + 1, np.int64)
@@ -179,21 +194,27 @@ def dedup(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     (first word and end of each removed range) of every row."""
     if not GRAM <= window:
         raise ValueError(f"windows have at least {GRAM} words")
-    doc_id = F.col("doc_id").cast("long")
-    keyed = docs.select(doc_id.alias("doc_id"), "text").select(
-        F.xxhash64("doc_id", "text").alias("d"), F.coalesce("doc_id", F.lit(-(2**63))).alias("ord"), "doc_id", "text"
-    )
-    # The documents are dealt by their hash once; both joins below read that exchange.
-    found = _positions(repeats(keyed, _positions(live_anchors(keyed, window)), window))
+    # No alias where none is needed: it would keep the two reads of the exchange below apart.
+    if dict(docs.dtypes)["doc_id"] != "bigint":
+        docs = docs.withColumn("doc_id", F.col("doc_id").cast("long"))
+    keyed = docs.select(F.xxhash64("doc_id", "text").alias("d"), "doc_id", "text")
+    copies = written(later_copies(keyed), "substring-copies")
+    # The documents are dealt by their hash once: both joins with them read the same columns.
+    rest = without(keyed, copies, "d")
+    found = _positions(repeats(rest, _positions(live_anchors(rest, window)), window))
+    whole = only(keyed, copies, "d").withColumn("at", F.lit(None).cast("array<int>")).withColumn("whole", F.lit(True))
+    rows = rest.join(found, "d", "left").withColumn("whole", F.lit(False)).unionByName(whole)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            at = batch.column("at")
+            at, whole = batch.column("at"), batch.column("whole").to_pylist()
             total, removed, kept, sha, ranges = [], [], [], [], []
             for i, text in enumerate(column_bytes(batch)):
                 words = text.split()
                 spans = []
-                if at[i].is_valid:
+                if whole[i] and len(words) >= window:
+                    words_left, spans = [], [[0, len(words)]]
+                elif at[i].is_valid:
                     gone = covered(len(words), at[i].values.to_numpy().astype(np.int64), window)
                     edge = np.flatnonzero(np.diff(np.concatenate(([0], gone.view(np.int8), [0]))))
                     spans = edge.reshape(-1, 2).tolist()
@@ -220,4 +241,4 @@ def dedup(docs: DataFrame, window: int = WINDOW) -> DataFrame:
             )
 
     schema = "doc_id long, n_words long, n_removed long, kept string, kept_sha256 string, ranges array<array<int>>"
-    return shipped(keyed.join(found, "d", "left")).select("doc_id", "text", "at").mapInArrow(cut, schema)
+    return shipped(rows).select("doc_id", "text", "at", "whole").mapInArrow(cut, schema)
