@@ -8,15 +8,20 @@ Two documents link when 100 * intersection >= 75 * union. Documents with equal s
    compared with the smallest of them only. This joins most copies, however many, with one
    comparison each and only partial aggregates on the shared hash.
 2. *Prefixes.* In any fixed order of shingles, linked sets share one of their first
-   ``n - ceil(0.75 n) + 1``. Very frequent shingles come last in the order, the rest by hash. Prefix
-   shingles that no other class has are dropped right after one shuffle; shingles whose classes
-   are all of one component already need no work, as a further link would change nothing.
-3. *Signature trees.* The classes of a shingle that is left hang in trees: leaves are bitmaps of the
-   sets, inner nodes hold OR-combined bitmaps, size ranges and the largest number of tokens that fell on
-   a bit already set. Two trees are walked together; a node pair is dropped if its sizes are too
+   ``n - ceil(0.75 n) + 1``. Very frequent shingles come last in the order, the rest by hash. What comes
+   before the first shared shingle is not shared, so its position bounds the size of a partner (the
+   row's reach). Prefix shingles that no other class has are dropped right after one shuffle; shingles
+   whose classes are all of one component already need no work, as a further link would change nothing.
+3. *Hubs.* Twice, the classes of a live shingle are compared with one hub of it in another component: first
+   the class whose shingle stands earliest for its size, which has the fewest shingles of its own before
+   it, then one by hash. A cloud of near copies becomes one component this way, by one
+   comparison for each class and hub.
+4. *Signature trees.* The classes of a shingle that is left hang in trees: leaves are bitmaps of the
+   sets, inner nodes hold OR-combined bitmaps, size ranges, the largest reach and the largest number of
+   tokens that fell on a bit already set. Two trees are walked together; a node pair is dropped if its sizes are too
    far apart, if all of it is one component, or if ``common bits + doubled tokens`` is under the overlap
    that its sizes need. A shingle with very many classes is dealt to blocks, each pair of blocks a task.
-4. *Check.* Pairs that survive are compared exactly on their texts.
+5. *Check.* Pairs that survive are compared exactly on their texts.
 
 A row's component is the smallest doc_id of its component. No step drops, caps or samples pairs.
 
@@ -77,6 +82,11 @@ def prefix(h: np.ndarray, heavy: np.ndarray) -> np.ndarray:
     return h[:k]
 
 
+def reach(n: int, k: int) -> np.ndarray:
+    """For each of the first k shingles, the largest set that can link if it is the first shared one."""
+    return (4 * n - 7 * np.arange(k)) // 3
+
+
 def _arrow(schema: str, *columns) -> pa.RecordBatch:
     kinds = {"long": pa.int64(), "int": pa.int32(), "binary": pa.binary(), "longs": pa.list_(pa.int64())}
     names, types = zip(*(x.split(":") for x in schema.split()))
@@ -117,7 +127,7 @@ def profile(docs: DataFrame) -> DataFrame:
 
 
 def live_prefixes(docs: DataFrame, heavy: np.ndarray) -> DataFrame:
-    """token, d: prefix shingles that two classes have at least.
+    """token, d, reach: prefix shingles that two classes have at least.
 
     A shingle that several classes of one batch have is known to be live there: its rows skip the
     meeting of the shingle's rows, which one witness per batch joins. So a frequent shingle sends a
@@ -128,29 +138,32 @@ def live_prefixes(docs: DataFrame, heavy: np.ndarray) -> DataFrame:
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         heavy = sent.value
         for batch in batches:
-            sets: dict[int, np.ndarray] = {}
+            sets: dict[int, tuple[np.ndarray, np.ndarray]] = {}
             for text in column_bytes(batch):
                 h = shingles(text)
-                if len(h):
-                    sets.setdefault(class_key(h), prefix(h, heavy))
-            token = np.concatenate(list(sets.values()) or [_NONE])
-            d = np.repeat(np.fromiter(sets, np.int64, len(sets)), [len(h) for h in sets.values()])
+                if len(h) and (key := class_key(h)) not in sets:
+                    first = prefix(h, heavy)
+                    sets[key] = first, reach(len(h), len(first))
+            token = np.concatenate([h for h, _ in sets.values()] or [_NONE])
+            far = np.concatenate([r for _, r in sets.values()] or [np.zeros(0, np.int64)])
+            d = np.repeat(np.fromiter(sets, np.int64, len(sets)), [len(h) for h, _ in sets.values()])
             order = np.argsort(token, kind="stable")
-            token, d = token[order].view(np.int64), d[order]
+            token, d, far = token[order].view(np.int64), d[order], far[order]
             same = np.concatenate(([False], token[1:] == token[:-1], [False]))
             known = same[1:] | same[:-1]
             first = known & ~same[:-1]  # the witness of a run
             part = np.where(known, d ^ np.roll(token, 1), token)
             yield _arrow(
-                "part:long token:long d:long state:int",
+                "part:long token:long d:long reach:int state:int",
                 np.concatenate((part, token[first])),
                 np.concatenate((np.where(known, token, 0), token[first] * 0)),
                 np.concatenate((d, d[first])),
+                np.concatenate((far, far[first])).astype(np.int32),
                 np.concatenate((known.astype(np.int32), np.full(first.sum(), 2, np.int32))),
             )
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, token, d, state, starts in whole_runs(batches, ("part", "token", "d", "state")):
+        for part, token, d, far, state, starts in whole_runs(batches, ("part", "token", "d", "reach", "state")):
             ends = np.append(starts[1:], len(part))
             open_ = state != 1
             witness = np.add.reduceat(state == 2, starts) > 0
@@ -158,22 +171,22 @@ def live_prefixes(docs: DataFrame, heavy: np.ndarray) -> DataFrame:
             several = np.maximum.reduceat(big, starts) > np.minimum.reduceat(small, starts)
             live = np.repeat(witness | several, ends - starts)
             take = (state == 1) | (live & (state == 0))
-            yield _arrow("token:long d:long", np.where(state == 1, token, part)[take], d[take])
+            yield _arrow("token:long d:long reach:int", np.where(state == 1, token, part)[take], d[take], far[take])
 
-    schema = "part long, token long, d long, state int"
+    schema = "part long, token long, d long, reach int, state int"
     rows = shipped(docs).select(F.lit(0).alias("doc_id"), "text").mapInArrow(emit, schema)
-    return rows.repartition("part").sortWithinPartitions("part").mapInArrow(keep, "token long, d long")
+    return rows.repartition("part").sortWithinPartitions("part").mapInArrow(keep, "token long, d long, reach int")
 
 
 class Tree:
     """A signature tree over sets with bitmaps of one width, rows in the given order."""
 
-    def __init__(self, bits: np.ndarray, n: np.ndarray, c: np.ndarray, rows: np.ndarray):
+    def __init__(self, bits: np.ndarray, n: np.ndarray, c: np.ndarray, far: np.ndarray, rows: np.ndarray):
         extra = n - np.bitwise_count(bits).sum(axis=1, dtype=np.int64)
         self.rows = rows
-        self.levels = [(bits, n, n, extra, c, c)]
+        self.levels = [(bits, n, n, extra, c, c, far)]
         while len(self.levels[-1][0]) > 1:
-            bits, low, high, extra, c_low, c_high = self.levels[-1]
+            bits, low, high, extra, c_low, c_high, far = self.levels[-1]
             at = np.arange(0, len(bits), FANOUT)
             self.levels.append(
                 (
@@ -183,24 +196,24 @@ class Tree:
                     np.maximum.reduceat(extra, at),
                     np.minimum.reduceat(c_low, at),
                     np.maximum.reduceat(c_high, at),
+                    np.maximum.reduceat(far, at),
                 )
             )
 
-    def children(self, level: int, nodes: np.ndarray) -> np.ndarray:
-        below = len(self.levels[level - 1][0])
-        out = (nodes[:, None] * FANOUT + np.arange(FANOUT)).ravel()
-        return out[out < below]
-
 
 def _possible(x: tuple, y: tuple, i: np.ndarray, j: np.ndarray) -> np.ndarray:
     """Whether some pair below nodes i and j can link, and would join two components."""
-    bits_x, low_x, high_x, extra_x, c_low_x, c_high_x = (a[i] for a in x)
-    bits_y, low_y, high_y, extra_y, c_low_y, c_high_y = (a[j] for a in y)
-    sizes = (4 * high_x >= 3 * low_y) & (4 * high_y >= 3 * low_x)
-    one = (c_low_x == c_high_y) & (c_low_y == c_high_x)
-    most = np.bitwise_count(bits_x & bits_y).sum(axis=1, dtype=np.int64) + np.minimum(extra_x, extra_y)
-    most = np.minimum(most, np.minimum(high_x, high_y))
-    return sizes & ~one & (7 * most >= 3 * (low_x + low_y))
+    low_x, high_x, extra_x, c_low_x, c_high_x, far_x = (a[i] for a in x[1:])
+    low_y, high_y, extra_y, c_low_y, c_high_y, far_y = (a[j] for a in y[1:])
+    ok = (4 * high_x >= 3 * low_y) & (4 * high_y >= 3 * low_x) & (far_x >= low_y) & (far_y >= low_x)
+    ok &= (c_low_x != c_high_y) | (c_low_y != c_high_x)
+    at = np.flatnonzero(ok)  # bitmaps last: they cost most
+    i, j, low_x, low_y = i[at], j[at], low_x[at], low_y[at]
+    bits_x, bits_y = x[0][i], y[0][j]
+    most = np.bitwise_count(bits_x & bits_y).sum(axis=1, dtype=np.int64) + np.minimum(extra_x[at], extra_y[at])
+    most = np.minimum(most, np.minimum(high_x[at], high_y[at]))
+    ok[at] = 7 * most >= 3 * (low_x + low_y)
+    return ok
 
 
 def dual(a: Tree, b: Tree, same: bool) -> tuple[np.ndarray, np.ndarray]:
@@ -249,7 +262,7 @@ def _folded(bits: list[bytes], width: int) -> np.ndarray:
     return out
 
 
-def tree_pairs(bits: list[bytes], n: np.ndarray, c: np.ndarray, side: np.ndarray | None = None):
+def tree_pairs(bits: list[bytes], n: np.ndarray, c: np.ndarray, far: np.ndarray, side: np.ndarray | None = None):
     """Index pairs that may link and have different c; with sides, only pairs across them.
 
     Bitmaps are powers of two wide: sizes that can link are of equal width or one step apart, so each
@@ -261,7 +274,7 @@ def tree_pairs(bits: list[bytes], n: np.ndarray, c: np.ndarray, side: np.ndarray
 
     def tree(w: int, at: int, s) -> Tree | None:
         rows = order[(width[order] == w) & ((side[order] == s) if side is not None else True)]
-        return Tree(_folded([bits[r] for r in rows], at), n[rows], c[rows], rows) if len(rows) else None
+        return Tree(_folded([bits[r] for r in rows], at), n[rows], c[rows], far[rows], rows) if len(rows) else None
 
     for w in np.unique(width).tolist():
         for wide in (w, 2 * w):
@@ -309,10 +322,29 @@ def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame
 
 
 def _leader_pairs(classes: DataFrame) -> DataFrame:
-    """Each class with the smallest class that shares a least hash, where the bounds allow a link."""
+    """Each class with the smallest class that shares a least hash."""
     offers = classes.select("d", F.explode("mins").alias("m"))
     leaders = offers.groupBy("m").agg(F.min("d").alias("a"), F.max("d").alias("most")).where("a != most").drop("most")
-    pairs = offers.join(leaders, "m").where("d != a").select("a", F.col("d").alias("b")).distinct()
+    return offers.join(leaders, "m").where("d != a").select("a", F.col("d").alias("b")).distinct()
+
+
+def _labelled(live: DataFrame, classes: DataFrame, joined: DataFrame) -> DataFrame:
+    """The live rows with the size n and the component c of their class."""
+    named = classes.join(joined.select(F.col("node").alias("d"), "component"), "d", "left")
+    return live.join(named.select("d", "n", F.coalesce("component", "d").alias("c")), "d")
+
+
+def _hub_pairs(labelled: DataFrame, score) -> DataFrame:
+    """Each class with the hub (largest score) of a shingle, where components differ and sizes and reaches allow it."""
+    hub = F.max(F.struct(score.alias("score"), "d", "c", "n", "reach")).alias("hub")
+    hubs = labelled.groupBy("token").agg(hub, F.min("c").alias("low"), F.max("c").alias("high")).where("low != high")
+    fits = "c != hub.c and 4 * n >= 3 * hub.n and 4 * hub.n >= 3 * n and reach >= hub.n and hub.reach >= n"
+    pairs = labelled.join(hubs.select("token", "hub"), "token").where(fits)
+    return pairs.select(F.least("d", "hub.d").alias("a"), F.greatest("d", "hub.d").alias("b")).distinct()
+
+
+def _bounded(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+    """The pairs that the bitmaps' bound lets link."""
 
     def prune(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -335,29 +367,39 @@ def _leader_pairs(classes: DataFrame) -> DataFrame:
     return shipped(rows).mapInArrow(prune, "a long, b long")
 
 
-def _bucket_pairs(live: DataFrame, classes: DataFrame, joined: DataFrame) -> DataFrame:
+def _crossing(labelled: DataFrame) -> DataFrame:
+    """Labelled rows whose size some row of another component of the shingle reaches, where two components are left."""
+    per_c = labelled.groupBy("token", "c").agg(F.max("reach").alias("far"))
+    first = per_c.groupBy("token").agg(F.max(F.struct("far", "c")).alias("first"))
+    second = per_c.join(first, "token").where("c != first.c").groupBy("token").agg(F.max("far").alias("second"))
+    limits = first.join(second, "token")  # shingles of one component have no second
+    within = F.col("n") <= F.when(F.col("c") == F.col("first.c"), F.col("second")).otherwise(F.col("first.far"))
+    return labelled.join(limits, "token").where(within).select(labelled.columns)
+
+
+def _bucket_pairs(labelled: DataFrame, classes: DataFrame) -> DataFrame:
     """Pairs of classes of different components that share a live shingle and pass the trees."""
-    labelled = live.join(joined.select(F.col("node").alias("d"), "component"), "d", "left").select(
-        "token", "d", F.coalesce("component", "d").alias("c")
-    )
+    labelled = written(_crossing(labelled), "jaccard-crossing")
     per_token = labelled.groupBy("token").agg(F.min("c").alias("low"), F.max("c").alias("high"), F.count("*").alias("size"))
     mixed = per_token.where("low != high").select("token", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks"))
-    rows = labelled.join(mixed, "token").distinct().join(classes.select("d", "n", "bits"), "d")
+    rows = labelled.join(mixed, "token").distinct().join(classes.select("d", "bits"), "d")
     own = F.pmod(F.col("d"), F.col("blocks")).cast("int")
     # With several blocks a row goes to every pair of blocks that its own block is part of.
     rows = rows.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     i, j = F.least("own", "other"), F.greatest("own", "other")
     rows = rows.select(
-        F.xxhash64("token", i, j).alias("part"), "d", "c", "n", "bits", (F.col("own") == j).cast("int").alias("side"),
+        F.xxhash64("token", i, j).alias("part"), "d", "c", "n", "reach", "bits", (F.col("own") == j).cast("int").alias("side"),
         (i != j).cast("int").alias("across"),
     )
 
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         done: set[tuple[int, int]] = set()
-        for _, d, c, n, bits, side, across, starts in whole_runs(batches, ("part", "d", "c", "n", "bits", "side", "across")):
+        names = ("part", "d", "c", "n", "reach", "bits", "side", "across")
+        for _, d, c, n, far, bits, side, across, starts in whole_runs(batches, names):
             out_a, out_b = [], []
             for s, e in zip(starts, np.append(starts[1:], len(d))):
-                p, q = tree_pairs(bits[s:e].tolist(), n[s:e].astype(np.int64), c[s:e], side[s:e] if across[s] else None)
+                sizes, reaches = n[s:e].astype(np.int64), far[s:e].astype(np.int64)
+                p, q = tree_pairs(bits[s:e].tolist(), sizes, c[s:e], reaches, side[s:e] if across[s] else None)
                 for x, y in zip(d[s + p].tolist(), d[s + q].tolist()):
                     pair = (x, y) if x < y else (y, x)
                     if pair not in done:
@@ -386,11 +428,16 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     top = [r.h for r in frequent.orderBy(F.desc("n"), "h").limit(HEAVY).collect()]  # a fixed bound
     heavy = np.sort(np.array(top, np.int64).view(np.uint64))
 
-    first = written(verified(_leader_pairs(classes), classes, docs), "jaccard-links")
-    joined = written(components(first), "jaccard-components")
+    links = written(verified(_bounded(_leader_pairs(classes), classes), classes, docs), "jaccard-links")
     live = written(live_prefixes(docs, heavy), "jaccard-live")
-    second = written(verified(_bucket_pairs(live, classes, joined), classes, docs), "jaccard-links")
-    node = components(first.union(second))
+    early = F.col("reach") - F.col("n")
+    for score in (early, F.when(early >= 0, F.xxhash64("token", "d"))):
+        labelled = _labelled(live, classes, written(components(links), "jaccard-components"))
+        found = verified(_bounded(_hub_pairs(labelled, score), classes), classes, docs)
+        links = written(links.union(found), "jaccard-links")
+    labelled = _labelled(live, classes, written(components(links), "jaccard-components"))
+    found = written(verified(_bucket_pairs(labelled, classes), classes, docs), "jaccard-links")
+    node = components(links.union(found))
     whole = (
         classes.join(node, classes.d == node.node, "left")
         .select("d", "rep", F.coalesce("component", "d").alias("c"))

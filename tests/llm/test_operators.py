@@ -130,19 +130,23 @@ def test_signature_trees_lose_no_pair():
             if 100 * both >= 75 * (len(x) + len(y) - both):
                 linked.add((j, i))
     assert len(linked) > 20
-    p, q = jaccard.tree_pairs(bits, n, c)
+    far = np.full(len(sets), 10**6)
+    p, q = jaccard.tree_pairs(bits, n, c, far)
     found = {tuple(sorted(x)) for x in zip(p.tolist(), q.tolist())}
     assert linked <= found and len(found) < len(sets) ** 2 / 8
     side = rng.integers(0, 2, len(sets))
-    p, q = jaccard.tree_pairs(bits, n, c, side)
+    p, q = jaccard.tree_pairs(bits, n, c, far, side)
     assert {x for x in linked if side[x[0]] != side[x[1]]} <= {tuple(sorted(x)) for x in zip(p.tolist(), q.tolist())}
-    assert not len(jaccard.tree_pairs(bits, n, np.zeros(len(sets), np.int64))[0])  # one component: nothing to join
+    assert not len(jaccard.tree_pairs(bits, n, np.zeros(len(sets), np.int64), far)[0])  # one component: nothing to join
+    assert not len(jaccard.tree_pairs(bits, n, c, np.zeros(len(sets), np.int64))[0])  # nothing within reach
 
 
 def test_hot_shingles_are_dealt_to_blocks(spark, docs, monkeypatch):
     monkeypatch.setattr(jaccard, "BLOCK", 3)
     monkeypatch.setattr(jaccard, "HEAVY_IN_BATCH", 2)
-    monkeypatch.setattr(jaccard, "_leader_pairs", lambda classes: classes.sparkSession.createDataFrame([], "a long, b long"))
+    none = lambda rows, *_: rows.sparkSession.createDataFrame([], "a long, b long")
+    monkeypatch.setattr(jaccard, "_leader_pairs", none)
+    monkeypatch.setattr(jaccard, "_hub_pairs", none)
     got = by_id(jaccard.near_duplicates(docs), "component_id")
     expected = jaccard_brute(DOCS)
     assert {i: set(r) for i, r in got.items()} == {i: {(e[1],)} for i, e in expected.items()}
