@@ -8,8 +8,9 @@ ids are classes of their own, the others share classes by frequency. A class has
 
 with one causal attention head; the power stands for exp and takes a fifth of its time. Weights are normalised. Everything that is counted covers all training documents: word counts
 (also of the baseline), subword counts, and the class bigrams that R is made of. The attention
-parameters are trained by local gradient steps in each partition, on one window of every training document
-at a hash-chosen place, and averaged over partitions by tokens; this is repeated ``ROUNDS`` times.
+parameters are trained by local gradient steps in each partition, on every id of every training document
+(consecutive windows of ``2 * HALF`` ids, the end token with them), and averaged over partitions by tokens;
+this is repeated ``ROUNDS`` times.
 
 Scoring cuts a text into overlapping windows: each token is scored once, with the half window before it and
 what precedes it in its own half as context, as masked matrix products over many windows at a time.
@@ -42,6 +43,7 @@ FREQUENT = 1 << 16
 CACHE = 200_000
 FLUSH = 300_000
 ROUNDS = 2
+CHUNK = 512  # positions whose class weights are worked out together
 GROUP = 512  # texts whose words are looked up together
 END = " "  # no word is a space
 _PAD = IN  # context class of positions before a text
@@ -193,20 +195,30 @@ def gradient(model: Model, x: np.ndarray, y: np.ndarray) -> tuple[float, list[np
     """Mean loss of predicting classes y (-1: none) from context classes x, and the parameters' gradients."""
     a, context = attend(model, x, 0)
     width, flat = x.shape[1], x.ravel()
-    real, goal = y.ravel() >= 0, np.maximum(y.ravel(), 0)
-    n = max(1, int(real.sum()))
-    base = np.maximum(1 + context.reshape(-1, WIDTH) @ model.u / np.float32(16), np.float32(0.1))
-    p = _power16(base.copy())
-    p *= model.bigram[flat]
-    total = p.sum(axis=1)
-    at = np.arange(len(goal))
-    loss = -(np.log(p[at, goal] / total + 1e-12) * real).sum() / n
-    weight = (real / np.float32(n)).astype(np.float32)
-    p *= (weight / total)[:, None]
-    p[at, goal] -= weight
-    p /= base
-    d_u = context.reshape(-1, WIDTH).T @ p
-    d_context = (p @ model.u.T).reshape(context.shape)
+    real = np.flatnonzero(y.ravel() >= 0)
+    goal, before, known = y.ravel()[real], flat[real], context.reshape(-1, WIDTH)[real]
+    n = np.float32(max(1, len(real)))
+    u, d_u = model.u / np.float32(16), np.zeros_like(model.u)
+    d_known, loss = np.empty_like(known), 0.0
+    for start in range(0, len(real), CHUNK):  # what is as wide as the classes stays in the processor's cache
+        c, after = known[start : start + CHUNK], goal[start : start + CHUNK]
+        base = c @ u
+        base += 1
+        if base.min() < 0.1:
+            np.maximum(base, np.float32(0.1), out=base)
+        p = base * base
+        for _ in range(3):
+            np.multiply(p, p, out=p)
+        p *= model.bigram[before[start : start + CHUNK]]
+        total, at = np.einsum("ij->i", p), np.arange(len(p))
+        loss -= np.log(p[at, after] / total + 1e-12).sum() / n
+        p[at, after] -= total
+        p /= base
+        scale = (1 / (n * total))[:, None]
+        d_u += (c * scale).T @ p
+        d_known[start : start + CHUNK] = p @ model.u.T * scale
+    d_context = np.zeros_like(context)
+    d_context.reshape(-1, WIDTH)[real] = d_known
     d_a = d_context @ model.v[x].transpose(0, 2, 1)
     d_s = a * (d_a - (a * d_a).sum(axis=2, keepdims=True))
     distance = np.maximum(np.arange(width)[:, None] - np.arange(width)[None, :], 0)
@@ -300,8 +312,22 @@ def _add(total: np.ndarray, model: Model, vocabulary: Vocabulary, numbers: list[
     vocabulary.trim()
 
 
+def windows(model: Model, vocabulary: Vocabulary, numbers: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Context classes and goal classes (-1: none) of consecutive windows of 2 * HALF ids over the whole texts:
+    each id and end token is a goal once."""
+    ids, ends = vocabulary.arrays()
+    width, end = 2 * HALF, np.array([vocabulary.size])
+    texts = [np.concatenate((end, expand(some, ids, ends), end)) for some in numbers]
+    stops = np.cumsum([-(-(len(seq) - 1) // width) for seq in texts]) * width
+    x, y = np.full(stops[-1], _PAD, np.int64), np.full(stops[-1], -1, np.int64)
+    for seq, start in zip(texts, [0, *stops[:-1]]):
+        x[start : start + len(seq) - 1] = model.into[seq[:-1]]
+        y[start : start + len(seq) - 1] = model.out[seq[1:]]
+    return x.reshape(-1, width), y.reshape(-1, width)
+
+
 def _train_round(docs: DataFrame, model: Model, round_: int, rate: float = 0.02, batch_rows: int = 64) -> list[np.ndarray]:
-    """Parameters after local steps in each partition, averaged by tokens."""
+    """Parameters after local steps on all windows of each partition, averaged by tokens."""
     sent = docs.sparkSession.sparkContext.broadcast(model)
     shapes = [p.shape for p in model.parameters()]
 
@@ -311,30 +337,30 @@ def _train_round(docs: DataFrame, model: Model, round_: int, rate: float = 0.02,
         parameters = [p.copy() for p in model.parameters()]
         model.q, model.k, model.v, model.bias, model.u = parameters
         m, s = [np.zeros_like(p) for p in parameters], [np.zeros_like(p) for p in parameters]
-        step, tokens, rows = 0, 0, []
-        span = 2 * HALF
+        rng = np.random.default_rng(round_)
+        step, tokens = 0, 0
+        x = y = np.zeros((0, 2 * HALF), np.int64)  # windows that wait for a full batch
         for batch in batches:
-            for key, text in zip(batch.column("h").to_pylist(), column_bytes(batch)):
-                words = _words(text)
-                at = key % max(1, len(words) - span + 1)
-                some = vocabulary.numbers(words[at : at + span])
-                flat = [i for n in some.tolist() for i in vocabulary.ids[vocabulary.ends[n] : vocabulary.ends[n + 1]]][: span + 1]
-                seq = ([vocabulary.size] if at == 0 else []) + flat + [vocabulary.size] * (at + span >= len(words))
-                rows.append(seq[: span + 1])
-                if len(rows) == batch_rows:
-                    step, tokens = _step(model, parameters, m, s, rows, step, tokens, rate)
-                    rows = []
-            vocabulary.trim()
-        if rows:
-            step, tokens = _step(model, parameters, m, s, rows, step, tokens, rate)
+            texts = column_bytes(batch)
+            for at in range(0, len(texts), GROUP):
+                more_x, more_y = windows(model, vocabulary, [vocabulary.numbers(_words(t)) for t in texts[at : at + GROUP]])
+                x, y = np.concatenate((x, more_x)), np.concatenate((y, more_y))
+                order = rng.permutation(len(x))  # a batch of windows of many texts
+                full = len(x) - len(x) % batch_rows
+                for start in range(0, full, batch_rows):
+                    some = order[start : start + batch_rows]
+                    step, tokens = _step(model, parameters, m, s, x[some], y[some], step, tokens, rate)
+                x, y = x[order[full:]], y[order[full:]]
+                vocabulary.trim()
+        if len(x):
+            step, tokens = _step(model, parameters, m, s, x, y, step, tokens, rate)
         flat = np.concatenate([p.ravel() for p in parameters]).astype(np.float64)
         yield pa.RecordBatch.from_arrays(
             [pa.array(np.arange(len(flat), dtype=np.int32)), pa.array(flat * tokens), pa.array(np.full(len(flat), tokens))],
             ["at", "value", "weight"],
         )
 
-    h = F.pmod(F.xxhash64("text", F.lit(round_)), F.lit(2**31)).alias("h")
-    rows = shipped(docs.select("text", h)).mapInArrow(train, "at int, value double, weight long")
+    rows = shipped(docs.select("text")).mapInArrow(train, "at int, value double, weight long")
     mean = (F.sum("value") / F.sum("weight")).alias("value")
     found = rows.groupBy("at").agg(mean).collect()  # one row per parameter
     flat = np.concatenate([p.ravel() for p in model.parameters()]).astype(np.float64)
@@ -349,14 +375,7 @@ def _train_round(docs: DataFrame, model: Model, round_: int, rate: float = 0.02,
     return out
 
 
-def _step(model, parameters, m, s, rows, step, tokens, rate) -> tuple[int, int]:
-    width = 2 * HALF
-    x = np.full((len(rows), width), _PAD, np.int64)
-    y = np.full((len(rows), width), -1, np.int64)
-    for i, seq in enumerate(rows):
-        seq = np.array(seq, np.int64)
-        x[i, : len(seq) - 1] = model.into[seq[:-1]]
-        y[i, : len(seq) - 1] = model.out[seq[1:]]
+def _step(model, parameters, m, s, x, y, step, tokens, rate) -> tuple[int, int]:
     _, grads = gradient(model, x, y)
     step += 1
     for p, g, a, b in zip(parameters, grads, m, s):

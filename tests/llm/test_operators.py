@@ -371,6 +371,23 @@ def test_lm_counts_base_and_model(docs, nothing):
     assert all(r.n_known == 0 and r.score < 0 for r in lm.score(docs, *empty).collect())
 
 
+def test_lm_trains_on_every_id_of_a_long_text(spark, monkeypatch):
+    rng = random.Random(8)
+    text = " ".join("".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=rng.randint(1, 9))) for _ in range(900))
+    docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    model = lm.fit(docs, F.lit(True), MODEL)[0]
+    vocabulary = lm.Vocabulary(MODEL, [])
+    words = vocabulary.numbers(lm._words(text.encode()))
+    ids = lm.expand(words, *vocabulary.arrays())
+    x, y = lm.windows(model, vocabulary, [words, words[:0]])
+    assert np.array_equal(y[y >= 0], model.out[[*ids, vocabulary.size, vocabulary.size]])
+    assert np.array_equal(x[y >= 0], model.into[[vocabulary.size, *ids, vocabulary.size]])
+    monkeypatch.setattr(lm, "ROUNDS", 0)
+    untrained = lm.fit(docs, F.lit(True), MODEL)[0]
+    moved = (model.v != untrained.v).any(axis=1)
+    assert moved[np.unique(model.into[ids])].all() and len(np.unique(model.into[ids])) > 66
+
+
 def small_model(seed: int = 0) -> lm.Model:
     rng = np.random.default_rng(seed)
     into, out, emission = lm.class_tables(rng.integers(0, 50, 300).astype(np.float64))
