@@ -3,9 +3,11 @@
 A text is a vector of hashed byte 2- and 3-grams (ASCII letters in lower case, every other ASCII
 character a space), log counts times inverse document frequency, length 1. Each language has a few
 centroids, found by spherical k-means over its sample; the language of the nearest centroid by
-cosine wins. A document whose similarity is under its language's threshold is rejected; the
-threshold lies far under the similarities of the sample, and shrinks with the root of the number of
-n-grams for texts too short to be near anything.
+cosine wins. A document whose similarity is under its language's threshold is rejected. Similarity
+grows with the number of distinct n-grams, so texts with at least ``DISTINCT`` are held to the similarities
+of the sample's texts of their band (bands double in width; one with few texts takes the threshold of the
+band before). For other texts, short or of repeated words, the threshold lies far under the similarities of the whole sample, and shrinks
+with the root of the number of n-grams for texts too short to be near anything.
 
 The fit uses a bounded sample of labelled rows: about ``per_language`` documents of each language,
 picked by a hash of the id. Prediction reads every whole text in place, without a shuffle.
@@ -35,6 +37,10 @@ SHARPNESS = 20.0
 SLACK = 0.5
 BLOCK = 256
 FULL = 400  # n-grams from which the whole threshold holds
+DISTINCT = 100  # distinct n-grams from which the thresholds of the bands hold
+BANDS = 6
+BAND_SLACK = 0.65
+BAND_LEAST = 20  # texts of a band that make a threshold
 _LETTER = re.compile(r"[^\W\d_]")
 _FOLD = np.array([c + 32 if 65 <= c <= 90 else c if c >= 128 or 97 <= c <= 122 else 32 for c in range(256)], np.uint32)
 
@@ -54,7 +60,8 @@ class Model:
     idf: np.ndarray  # DIMS
     centroids: np.ndarray  # rows of length 1
     owner: np.ndarray  # language index of each centroid
-    threshold: np.ndarray  # of each language
+    threshold: np.ndarray  # of each language, for texts under the first band
+    bands: np.ndarray  # thresholds of each language and band
 
     def predict(self, tf: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Language index, its cosine, and its share of the languages' weights."""
@@ -65,8 +72,15 @@ class Model:
         return winner, top, 1.0 / np.exp(SHARPNESS * (best - top[:, None])).sum(axis=1)
 
     def rejects(self, tf: np.ndarray, winner: np.ndarray, cosine: np.ndarray) -> np.ndarray:
-        shrink = np.sqrt(np.minimum(1.0, tf.sum(axis=1) / FULL))
-        return cosine < self.threshold[winner] * shrink
+        short = self.threshold[winner] * np.sqrt(np.minimum(1.0, tf.sum(axis=1) / FULL))
+        band = _band(tf)
+        return cosine < np.where(band < 0, short, self.bands[winner, band])
+
+
+def _band(tf: np.ndarray) -> np.ndarray:
+    """Band by the number of distinct n-grams; -1 under the first."""
+    distinct = np.maximum(1, (tf > 0).sum(axis=1))
+    return np.clip(np.floor(np.log2(distinct / DISTINCT)), -1, BANDS - 1).astype(np.int64)
 
 
 def unit(tf: np.ndarray, idf: np.ndarray) -> np.ndarray:
@@ -119,13 +133,25 @@ def fit(docs: DataFrame, learn: Column, per_language: int = PER_LANGUAGE, centro
     x, label = unit(tf, idf), np.array([languages.index(r.lang) for r in rows])
     own = [_kmeans(x[label == i], centroids) for i in range(len(languages))]
     near = [np.quantile((x[label == i] @ c.T).max(axis=1), 0.001) for i, c in enumerate(own)]
-    return Model(
+    short = SLACK * np.array(near)
+    model = Model(
         languages,
         idf,
         np.concatenate(own).astype(np.float32),
         np.repeat(np.arange(len(own)), [len(c) for c in own]),
-        SLACK * np.array(near),
+        short,
+        np.repeat(short[:, None], BANDS, axis=1),
     )
+    # By the language that wins, as in prediction: a wrong label does not lower a threshold.
+    parts = [model.predict(tf[i : i + BLOCK])[:2] for i in range(0, len(tf), BLOCK)]
+    winner, cosine = (np.concatenate(p) for p in zip(*parts))
+    bands = _band(tf)
+    for i in range(len(languages)):
+        for band in range(BANDS):
+            some = cosine[(winner == i) & (bands == band)]
+            if len(some) >= BAND_LEAST:
+                model.bands[i, band:] = BAND_SLACK * np.quantile(some, 0.001)
+    return model
 
 
 def keep_identified(docs: DataFrame, model: Model | None) -> DataFrame:

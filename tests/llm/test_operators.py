@@ -198,6 +198,25 @@ def test_far_text_is_rejected(spark, docs):
     assert row.rejected and row.lang_pred in ("en", "es")
 
 
+def test_language_rejects_long_foreign_and_random_text(spark):
+    rng = random.Random(12)
+    parts = {"en": ["th", "er", "on", "and", "ing", "st"], "es": ["ción", "que", "ñi", "os", "ar", "la"], "xx": ["kä", "yyt", "pöl", "uom", "jää", "kk"], "yy": ["th", "er", "on", "kä", "yyt", "pöl"]}
+    word = {k: ["".join(rng.choices(v, k=rng.randint(1, 3))) for _ in range(300)] for k, v in parts.items()}
+    name = lambda: "".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=rng.randint(2, 9)))
+    text = lambda lang, n: " ".join(name() if rng.random() < 0.1 else rng.choice(word[lang]) for _ in range(n))
+    rows = [(i, text(lang, n), lang) for i, (lang, n) in enumerate((x, n) for x in ("en", "es") for n in (2, 5, 10, 60, 90, 150, 300, 700, 1500) * 30)]
+    clean = [(5000 + i, text(lang, n), lang) for i, (lang, n) in enumerate((x, n) for x in ("en", "es") for n in (3, 8, 50, 200, 1000, 6000))]
+    clean += [(5100, " ".join([text("en", 12)] * 50), "en"), (5101, text("en", 400).upper(), "en")]
+    letters = lambda n: " ".join(name() for _ in range(n))
+    base64 = lambda n: "".join(rng.choices("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/", k=n))
+    junk = [letters(n) for n in (100, 1000, 10_000)] + [base64(n) for n in (4000, 20_000)] + [text(x, n) for x in ("xx", "yy") for n in (80, 500, 5000)]
+    model = language.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"), F.lit(True))
+    both = spark.createDataFrame(rows + clean + [(9000 + i, t, None) for i, t in enumerate(junk)], "doc_id long, text string, lang string")
+    rejected = {r.doc_id: r.rejected for r in language.predict(both, model).collect()}
+    assert {i for i, r in rejected.items() if r} == set(range(9000, 9000 + len(junk)))
+    assert {r.doc_id for r in language.keep_identified(both, model).collect()} == {i for i, r in rejected.items() if not r}
+
+
 def removed_brute(rows):
     first, out = {}, {}
     split = [(i, WORD.findall(t or "")) for i, t in sorted({(i, t or "") for i, t, *_ in rows})]
