@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gondola.llm import decontaminate, jaccard, language, lm, mixing, neighbours, quality, secrets, substrings, tokens
+from gondola.llm import decontaminate, filter_audit, jaccard, language, lm, mixing, neighbours, quality, secrets, substrings, tokens
 from gondola.llm.common import crc_mod
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -91,3 +91,11 @@ def op9_quality(spark: SparkSession, sf: str) -> DataFrame:
 def op10_neighbours(spark: SparkSession, sf: str) -> DataFrame:
     vectors = _table(spark, sf, "embeddings")
     return neighbours.search(vectors.where("vec_id % 50 = 0"), vectors, k=5, factor=1.0)
+
+
+@registered
+def op11_filter_audit(spark: SparkSession, sf: str) -> DataFrame:
+    return filter_audit.audit(_table(spark, sf, "documents"), _table(spark, sf, "labels"))
+
+
+ORACLES["op11_filter_audit"] = filter_audit.ORACLE
