@@ -9,7 +9,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gondola.llm import decontaminate, filter_audit, jaccard, language, lm, mixing, neighbours, quality, secrets, substrings, tokens
+from gondola.llm import (
+    decontaminate, filter_audit, jaccard, language, lm, mixing, neighbours, quality, secrets, substrings, tokens, vector_codes,
+)
 from gondola.llm.common import crc_mod
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -98,4 +100,12 @@ def op11_filter_audit(spark: SparkSession, sf: str) -> DataFrame:
     return filter_audit.audit(_table(spark, sf, "documents"), _table(spark, sf, "labels"))
 
 
+@registered
+def op13_vector_codes(spark: SparkSession, sf: str) -> DataFrame:
+    coded, books = vector_codes.encode(_table(spark, sf, "embeddings"))
+    digest = F.lit(vector_codes.codebooks_digest(books)).alias("codebooks_sha256")
+    return vector_codes.with_label_error(coded).select("vec_id", "code", "error", "label_error", digest)
+
+
 ORACLES["op11_filter_audit"] = filter_audit.ORACLE
+ORACLES["op13_vector_codes"] = vector_codes.ORACLE
