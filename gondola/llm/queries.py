@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gondola.llm import (
-    decontaminate, filter_audit, jaccard, language, lm, mixing, neighbours, quality, secrets, substrings, tokens, vector_codes,
+    decontaminate, filter_audit, jaccard, language, lm, mixing, neighbours, quality, secrets, substrings, tokens, toxicity,
+    vector_codes,
 )
 from gondola.llm.common import crc_mod
 
@@ -100,6 +101,13 @@ def op11_filter_audit(spark: SparkSession, sf: str) -> DataFrame:
     return filter_audit.audit(_table(spark, sf, "documents"), _table(spark, sf, "labels"))
 
 
+@registered
+def op12_toxicity(spark: SparkSession, sf: str) -> DataFrame:
+    docs, remainder = _table(spark, sf, "documents"), crc_mod("doc_id", 5)
+    model = toxicity.fit(docs, _table(spark, sf, "labels"), remainder != 0)
+    return toxicity.score(docs, model).withColumn("held_out", remainder == 0)
+
+
 @registered
 def op13_vector_codes(spark: SparkSession, sf: str) -> DataFrame:
     coded, books = vector_codes.encode(_table(spark, sf, "embeddings"))
