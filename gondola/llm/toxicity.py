@@ -8,9 +8,10 @@ words with weight 0. The leftmost, longest match wins, so an exception phrase hi
 the weights, divided by the length in words, goes through a logistic curve.
 
 Lexicon, exceptions and curve are learned from labels: a term's weight is the log of its share among toxic
-documents over its share among others, both smoothed, counted where it is the match. An exception is a pair of neighbouring words around a match
-that others have and toxic documents as good as never. The curve is fitted on documents scored with the lexicon
-of the other half of the sample, so it knows how well the terms do on texts they were not learned from.
+documents over its share among others, both smoothed, counted where it is the match. An exception is a pair
+of neighbouring words around a match that documents of the other class have and toxic ones as good as never,
+judged among the documents with a match. The curve is fitted on documents scored with the weights of the other
+half of the sample, so it knows how well the terms do on texts they were not learned from.
 
 The fit uses a bounded sample: about ``per_class`` labelled documents of each class, picked by a hash of
 the id; at most ``TERMS`` terms and ``PHRASES`` exceptions are kept, the most telling ones. Term and phrase counts are
@@ -44,6 +45,7 @@ TERMS, PHRASES = 4096, 1024
 PREFIXES = range(3, 11)
 LEAST_DOCS, LEAST_WEIGHT = 4, 1.5
 SURE = 20.0  # likelihood ratio of a term's documents against chance
+ANY = ""  # counts the documents with a match among the phrases
 PAD = 10.0  # words added to every length: one match in a very short text is not a rate of its own
 
 # Letters that look like Latin ones, and digits and signs that stand for letters.
@@ -230,8 +232,9 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, per_class: int = PER_
     whole = weigh(count[0][0] + count[1][0], count[0][1] + count[1][1], both)
 
     sent = spark.sparkContext.broadcast(Lexicon(whole))  # TERMS entries
-    around = _counted(rows, lambda words: phrases(words, sent.value))
-    calm = telling(around, clean, toxic, both[1], both[0], PHRASES).select("term").collect()
+    around = written(_counted(rows, lambda words: phrases(words, sent.value)), "toxicity-phrases")
+    matching = around.where(F.col("term") == ANY).select(clean.alias("clean"), toxic.alias("toxic")).first() or (0, 0)
+    calm = telling(around.where(F.col("term") != ANY), clean, toxic, *matching, PHRASES).select("term").collect() if all(matching) else []
     spared = {marked(folded(x)): 0.0 for x in exceptions if folded(x)} | {r.term: 0.0 for r in calm}
     # The half a document is in never gives the weights it is scored with here.
     other = spark.sparkContext.broadcast([Lexicon(weigh(*count[1 - h], half[1 - h]) | spared) for h in (0, 1)])
@@ -249,13 +252,13 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, per_class: int = PER_
 
 
 def phrases(words: list[str], lexicon: Lexicon) -> set[str]:
-    """Each word that holds a match, with the word before it and with the one after it."""
+    """Each word that holds a match, with the word before it and with the one after it; ANY if there is one."""
     ends = [end for end, _ in lexicon.matches(words)]
     if not ends:
         return set()
     edge = np.cumsum([len(w) + 2 for w in words])
     hit = np.searchsorted(edge, ends, side="right")
-    found = {marked(words[i - 1 : i + 1]) for i in hit.tolist() if i}
+    found = {ANY} | {marked(words[i - 1 : i + 1]) for i in hit.tolist() if i}
     return found | {marked(words[i : i + 2]) for i in hit.tolist() if i + 1 < len(words)}
 
 

@@ -20,7 +20,8 @@ integers beyond. Entries equal to an earlier one are never nearest.
 Edge cases: vectors that are null or hold null or non-finite components are dropped; the first codebook
 goes by id, then by vector, null ids last, repeated rows as often as they occur; with fewer rows than entries
 the codebook is shorter; a vector that is empty, cannot be cut into equal parts, or is not as long as the
-first of the codebook keeps its row, with null code and error, and counts nowhere else; integers beyond 2**49 in
+first of the codebook keeps its row, with null code and error, and counts nowhere else (a label of only
+such rows has null label_error); integers beyond 2**49 in
 size count as 2**49, errors beyond a long as the largest long; null labels are one label; an empty table gives
 no rows; other columns are not read.
 """
@@ -288,8 +289,9 @@ def with_label_error(coded: DataFrame) -> DataFrame:
     """The rows with label_error: the error summed over the rows of equal label. The sums are counted: few labels
     are broadcast, so a label with most rows moves none; more are joined by a shuffle that splits hot labels."""
     coded = written(coded, "codes-rows")
-    total = F.least(F.sum(F.col("error").cast("decimal(38,0)")), F.lit(_LONG).cast("decimal(38,0)")).cast("long")
-    sums = written(coded.groupBy(F.col("label").alias("of")).agg(total.alias("label_error")), "codes-labels")
+    total = F.sum(F.col("error").cast("decimal(38,0)"))
+    total = F.when(total > _LONG, _LONG).otherwise(total).cast("long").alias("label_error")
+    sums = written(coded.groupBy(F.col("label").alias("of")).agg(total), "codes-labels")
     few = sums.count() <= SMALL
     return coded.join(F.broadcast(sums) if few else sums, F.col("label").eqNullSafe(F.col("of")), "left").drop("of")
 
