@@ -244,7 +244,8 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, per_class: int = PER_
             rate = [other.value[h].rate(w.split()) for h, w in zip(*(batch.column(c).to_pylist() for c in ("half", "words")))]
             yield pa.RecordBatch.from_arrays([batch.column("toxic"), pa.array(rate, pa.float64())], ["toxic", "rate"])
 
-    scored = rows.mapInArrow(rates, "toxic int, rate double").orderBy("toxic", "rate").toPandas()  # the sample's numbers
+    scored = rows.mapInArrow(rates, "toxic int, rate double").toPandas()  # the sample's numbers
+    scored = scored.sort_values(["toxic", "rate"])  # sums do not depend on the order rows came in
     y = scored["toxic"].to_numpy(np.float64)
     # Each class weighs as much as among the labels, not as in the sample.
     mass = np.where(y == 1, classes[1] / y.sum(), classes[0] / (1 - y).sum())

@@ -295,6 +295,58 @@ def test_window_entropy_is_the_entropy_of_the_most_mixed_window(spark):
         assert h == pytest.approx(best, abs=1e-9)
 
 
+def entropy_brute(value: str) -> bool:
+    """Whether some window of some piece of a run reaches its class's threshold."""
+
+    def allowed(v):
+        slug = re.search("[-_/]", v) and not re.search(r"[A-Za-z][0-9]|[0-9][A-Za-z]|[+=]", v)
+        one_case = not re.search("[0-9]", v) and (v == v.lower() or v == v.upper())
+        joined = v.isalpha() and 8 * (len(re.findall("[a-z](?=[A-Z])", v)) + 1) < len(v)
+        return not re.search("[A-Za-z]", v) or re.fullmatch("[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}", v) or slug or one_case or joined
+
+    def secret(v):
+        w, least = next(((w, least) for _, p, w, least in secrets.CLASSES if re.search(p, v)), (20, 99))
+        entropy = lambda x: -sum(c / w * math.log2(c / w) for c in Counter(x).values())
+        return len(v) >= 20 and not allowed(v) and any(entropy(v[i : i + w]) >= least - 1e-9 for i in range(len(v) - w + 1))
+
+    return not allowed(value) and any(map(secret, re.split(secrets.PLACEHOLDER, value)))
+
+
+def test_entropy_spans_equal_brute_force(spark):
+    rng = random.Random(21)
+    letters = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    key = lambda n, a=letters + "0123456789+/": "".join(rng.choices(a, k=n))
+    runs = [key(n, a) for n in (19, 20, 21, 24, 40, 90) for a in (letters, letters[:26], "0123456789abcdef", letters + "0123456789+/", "ab1", "aB") for _ in range(4)]
+    runs += ["getUserAccountSettingsManagerFactory", f"example/{key(24)}", f"{key(10)}EXAMPLE{key(9)}1", f"xxxx{key(30)}xxxx", key(12) + "changeme" + key(12)]
+    runs += ["-".join(["abc", "123"] * 20), "path/to/some/file-name_2024", "A" * 30 + "1", key(25) + "=="]
+    texts = [" ".join(rng.sample(runs, 12)) for _ in range(30)] + [" . ".join(runs), "é " + "𝄞 ".join(runs)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r.doc_id: [(m.start, m.end) for m in r.spans if m.kind == 3] for r in secrets.scan(df).collect()}
+    for i, text in enumerate(texts):
+        expected = [m.span() for m in re.finditer("(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,}", text) if entropy_brute(m[0])]
+        assert found[i] == expected
+    assert 50 < sum(map(len, found.values()))
+    assert any(text[s:e].isalpha() for text, i in zip(texts, range(99)) for s, e in found[i])
+
+
+@pytest.mark.parametrize("make", ["slug", "base64", "matches", "keys"])
+def test_secret_scan_of_very_long_texts(spark, make):
+    rng = random.Random(3)
+    key = lambda n: "".join(rng.choices("ABCDEFGHIJabcdefghij0123456789+/KLMNOPQRklmnopqr", k=n))
+    text = {
+        "slug": lambda: "-".join(["abc", "123"] * 125_000),
+        "base64": lambda: key(300_000),
+        "matches": lambda: " ".join(f"token=abcdef{i:05}" for i in range(30_000)),
+        "keys": lambda: " ".join(["q7Rz9LmX2vTb4KpW8sYdAa1"] * 5_000),
+    }[make]()
+    df = spark.createDataFrame([(1, text), (1, text), (2, None)], "doc_id long, text string")
+    counts = {r.n for r in secrets.scan(df).where("doc_id = 1").select(F.size("spans").alias("n")).collect()}
+    assert counts == {{"slug": 0, "base64": 1, "matches": 30_000, "keys": 5_000}[make]}
+    masked = secrets.redact(df).where("doc_id = 1").first().text
+    expected = {"slug": text, "base64": "[REDACTED]", "matches": " ".join(["[REDACTED]"] * 30_000), "keys": " ".join(["[REDACTED]"] * 5_000)}
+    assert masked == expected[make]
+
+
 def test_mixing_meets_targets(docs, nothing):
     rows = mixing.mix(docs).collect()
     size = {i: len(WORD.findall(t or "")) for i, t, *_ in DOCS}
