@@ -21,13 +21,13 @@ Two documents link when 100 * intersection >= 75 * union. Documents with equal s
    tokens that fell on a bit already set. Two trees are walked together; a node pair is dropped if its sizes are too
    far apart, if all of it is one component, or if ``common bits + doubled tokens`` is under the overlap
    that its sizes need. A shingle with very many classes is dealt to blocks, each pair of blocks a task.
-5. *Check.* Pairs that survive are compared exactly on their texts.
+5. *Check.* Pairs that survive are compared exactly, on the shingle sets of their texts.
 
 A row's component is the smallest doc_id of its component. No step drops, caps or samples pairs.
 
 Edge cases: null and empty texts have an empty set and link with nothing; fewer than five words are one
-shingle; null ids are never a component's id unless alone; repeated rows are in one class; an empty table
-gives no rows.
+shingle; rows with a null id link like others, but are a component's id only where all its ids are null;
+repeated rows are in one class, rows of one id with different texts in a class each; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -40,7 +40,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gondola.llm.common import Spans, column_bytes, components, distinct, only, shipped, whole_runs, without, written
+from gondola.llm.common import SMALL, Spans, batches_of, column_bytes, components, distinct, only, shipped, whole_runs, written
 
 SHINGLE = 5
 BINS = 8
@@ -48,6 +48,7 @@ HEAVY = 1 << 16
 HEAVY_IN_BATCH = 8
 BLOCK = 4096
 FANOUT = 16
+BATCH = 2000  # rows sent to a Python worker at a time
 _NONE = np.zeros(0, np.uint64)
 
 
@@ -60,6 +61,10 @@ def shingles(text: bytes) -> np.ndarray:
     return distinct(spans.of(min(SHINGLE, spans.n)))
 
 
+def _text_key():
+    return F.xxhash64(F.coalesce("text", F.lit("")))
+
+
 def class_key(h: np.ndarray) -> int:
     return xxhash.xxh3_64_intdigest(h.tobytes(), len(h)) >> 1
 
@@ -94,7 +99,7 @@ def _arrow(schema: str, *columns) -> pa.RecordBatch:
 
 
 def profile(docs: DataFrame) -> DataFrame:
-    """One row per document: doc_id, d (class), n, mins, bits. Rows with null d are frequent
+    """One row per document: doc_id, k (hash of the text), d (class), n, mins, bits. Rows with null d are frequent
     shingles: hash in ``mins``, documents of its batch in ``n``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -114,16 +119,17 @@ def profile(docs: DataFrame) -> DataFrame:
             often = np.flatnonzero(counts >= HEAVY_IN_BATCH)
             heavy = pool[edge[often]].view(np.int64)
             yield _arrow(
-                "doc_id:long d:long n:int mins:longs bits:binary",
+                "doc_id:long k:long d:long n:int mins:longs bits:binary",
                 ids + [None] * len(often),
+                batch.column("k").to_pylist() + [None] * len(often),
                 [k if k is not None else -1 for k in keys] + [None] * len(often),
                 [len(h) for h in sets] + counts[often].tolist(),
                 mins + [[x] for x in heavy],
                 [bitmap(h).tobytes() if len(h) else b"" for h in sets] + [None] * len(often),
             )
 
-    rows = shipped(docs).select(F.col("doc_id").cast("long"), "text")
-    return rows.mapInArrow(run, "doc_id long, d long, n int, mins array<long>, bits binary")
+    rows = shipped(docs).select(F.col("doc_id").cast("long"), "text", _text_key().alias("k"))
+    return rows.mapInArrow(run, "doc_id long, k long, d long, n int, mins array<long>, bits binary")
 
 
 def live_prefixes(docs: DataFrame, heavy: np.ndarray) -> DataFrame:
@@ -285,38 +291,47 @@ def tree_pairs(bits: list[bytes], n: np.ndarray, c: np.ndarray, far: np.ndarray,
     return np.concatenate([p for p, _ in pairs]), np.concatenate([q for _, q in pairs])
 
 
+def shingle_sets(docs: DataFrame, classes: DataFrame) -> DataFrame:
+    """d and h (sorted shingle hashes, 8 bytes each) of the given classes (d, rep), one row each. Texts are
+    found by the id of one of the class; a class whose ids are all null, among the rows without an id."""
+    docs = docs.select(F.col("doc_id").cast("long").alias("id"), "text")
+    texts = only(docs, classes.where("rep is not null").select(F.col("rep").alias("id")).distinct(), "id")
+    if not classes.where("rep is null").isEmpty():
+        texts = texts.unionByName(docs.where("id is null"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [h for h in map(shingles, column_bytes(batch)) if len(h)]
+            yield _arrow("d:long h:binary", [class_key(h) for h in sets], [h.tobytes() for h in sets])
+
+    found = shipped(texts.select("text")).mapInArrow(run, "d long, h binary")
+    # Rows of one id may be of other classes, and of the same one more than once.
+    return found.join(classes.select("d"), "d", "left_semi").dropDuplicates(["d"])
+
+
 def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
-    """The pairs a, b of classes whose documents link, by an exact comparison of their texts."""
-    rep = classes.select("d", "rep")
-    named = written(
-        pairs.join(rep.select(F.col("d").alias("a"), F.col("rep").alias("rep_a")), "a").join(
-            rep.select(F.col("d").alias("b"), F.col("rep").alias("rep_b")), "b"
-        ),
-        "jaccard-pairs",
-    )
-    ids = named.select(F.explode(F.array("rep_a", "rep_b")).alias("id")).distinct()
-    texts = written(only(docs.select(F.col("doc_id").cast("long").alias("id"), "text"), ids, "id"), "jaccard-texts")
+    """The pairs a, b of classes whose documents link, by an exact comparison of their shingles."""
+    pairs = written(pairs, "jaccard-pairs")
+    needed = pairs.select(F.explode(F.array("a", "b")).alias("d")).distinct().join(classes.select("d", "rep"), "d")
+    sets = written(shingle_sets(docs, written(needed, "jaccard-needed")), "jaccard-sets")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, held = None, _NONE
         for batch in batches:
-            a, b = batch.column("a").to_pylist(), batch.column("b").to_pylist()
-            keep = []
-            for i, (x, y) in enumerate(zip(column_bytes(batch, "text_a"), column_bytes(batch, "text_b"))):
-                if x != last:
-                    last, held = x, shingles(x)
-                other = shingles(y)
-                # Rows of one id with other texts are not this class.
-                if class_key(held) == a[i] and class_key(other) == b[i]:
-                    both = len(np.intersect1d(held, other, assume_unique=True))
-                    if 100 * both >= 75 * (len(held) + len(other) - both):
-                        keep.append(i)
-            yield _arrow("a:long b:long", [a[i] for i in keep], [b[i] for i in keep])
+            keep = np.zeros(batch.num_rows, bool)
+            for i, (a, x, y) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("a", "h_a", "h_b")))):
+                if a != last:
+                    last, held = a, np.frombuffer(x, np.uint64)
+                other = np.frombuffer(y, np.uint64)
+                at = np.minimum(np.searchsorted(held, other), len(held) - 1)
+                both = int((held[at] == other).sum())
+                keep[i] = 100 * both >= 75 * (len(held) + len(other) - both)
+            yield batch.select(["a", "b"]).filter(pa.array(keep))
 
     rows = (
-        named.join(texts.select(F.col("id").alias("rep_b"), F.col("text").alias("text_b")), "rep_b")
-        .join(texts.select(F.col("id").alias("rep_a"), F.col("text").alias("text_a")), "rep_a")
-        .select("a", "b", "text_a", "text_b")
+        pairs.join(sets.select(F.col("d").alias("b"), F.col("h").alias("h_b")), "b")
+        .join(sets.select(F.col("d").alias("a"), F.col("h").alias("h_a")), "a")
+        .select("a", "b", "h_a", "h_b")
     )
     return shipped(rows).mapInArrow(compare, "a long, b long").distinct()
 
@@ -393,34 +408,29 @@ def _bucket_pairs(labelled: DataFrame, classes: DataFrame) -> DataFrame:
     )
 
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        done: set[tuple[int, int]] = set()
         names = ("part", "d", "c", "n", "reach", "bits", "side", "across")
         for _, d, c, n, far, bits, side, across, starts in whole_runs(batches, names):
-            out_a, out_b = [], []
+            found = [np.zeros((0, 2), np.int64)]
             for s, e in zip(starts, np.append(starts[1:], len(d))):
                 sizes, reaches = n[s:e].astype(np.int64), far[s:e].astype(np.int64)
                 p, q = tree_pairs(bits[s:e].tolist(), sizes, c[s:e], reaches, side[s:e] if across[s] else None)
-                for x, y in zip(d[s + p].tolist(), d[s + q].tolist()):
-                    pair = (x, y) if x < y else (y, x)
-                    if pair not in done:
-                        if len(done) > 500_000:
-                            done.clear()
-                        done.add(pair)
-                        out_a.append(pair[0])
-                        out_b.append(pair[1])
-            yield _arrow("a:long b:long", out_a, out_b)
+                found.append(np.sort(np.stack((d[s + p], d[s + q]), axis=1), axis=1))
+            found = np.unique(np.concatenate(found), axis=0)  # shingles of one batch often give the same pair
+            yield _arrow("a:long b:long", found[:, 0], found[:, 1])
 
     return shipped(rows.repartition("part").sortWithinPartitions("part")).mapInArrow(walk, "a long, b long").distinct()
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles and component_id of every row."""
+def _named(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The profile of every row, and of every class its component_id and the row that stands for its component
+    (``first``: its id and text key, smallest id first, null ids last)."""
     docs = docs.select("doc_id", "text")
     rows = written(profile(docs), "jaccard-profile")
     sets = rows.where("d >= 0")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "k")).alias("first")
     classes = written(
         sets.groupBy("d").agg(
-            F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("mins").alias("mins"), F.first("bits").alias("bits")
+            F.min("doc_id").alias("rep"), first, F.first("n").alias("n"), F.first("mins").alias("mins"), F.first("bits").alias("bits")
         ),
         "jaccard-classes",
     )
@@ -440,25 +450,43 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     node = components(links.union(found))
     whole = (
         classes.join(node, classes.d == node.node, "left")
-        .select("d", "rep", F.coalesce("component", "d").alias("c"))
+        .select("d", "first", F.coalesce("component", "d").alias("c"))
     )
-    least = whole.groupBy("c").agg(F.min("rep").alias("component_id"))
-    named = written(whole.join(least, "c").select("d", "component_id"), "jaccard-named")
-    return rows.where("d is not null").join(named, "d", "left").select(
+    least = whole.groupBy("c").agg(F.min("first").alias("first"))
+    named = whole.drop("first").join(least, "c").select("d", "first", F.col("first.doc_id").alias("component_id"))
+    return rows.where("d is not null"), written(named, "jaccard-named")
+
+
+def near_duplicates(docs: DataFrame) -> DataFrame:
+    """doc_id, n_shingles and component_id of every row."""
+    with batches_of(docs.sparkSession, BATCH):
+        rows, named = _named(docs)
+    return rows.join(named, "d", "left").select(
         "doc_id", F.col("n").cast("long").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id")
     )
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """The rows of docs, all columns, whose id is its component's; of rows with equal id and text, one.
+    """The rows of docs, all columns, that stand for their component: smallest id first, null ids last; of rows with
+    equal id and text, one. Rows without words stand for themselves."""
+    with batches_of(docs.sparkSession, BATCH):
+        rows, named = _named(docs)
+    other = ~(F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("k") == F.col("first.k")))
+    # Rows are told apart by id and text, so rows of one id with other texts are not touched.
+    gone = rows.join(named, "d").where(other).select("doc_id", "k").distinct()
+    repeated = rows.groupBy("doc_id", "k").count().where("count > 1").select("doc_id", "k")
+    gone, repeated = (
+        written(x.select(F.col("doc_id").alias("__id"), F.col("k").alias("__k")), f"jaccard-{name}")
+        for x, name in ((gone, "gone"), (repeated, "repeated"))
+    )
 
-    Rows with a null id cannot be named and stay.
-    """
-    found = near_duplicates(docs)
-    out = without(docs, found.where("doc_id != component_id").select("doc_id").distinct(), "doc_id")
-    repeated = written(docs.groupBy("doc_id").count().where("count > 1 and doc_id is not null").select("doc_id"), "repeated")
+    def matched(df: DataFrame, ids: DataFrame, how: str) -> DataFrame:
+        same = F.col("doc_id").cast("long").eqNullSafe(F.col("__id")) & (_text_key() == F.col("__k"))
+        return df.join(F.broadcast(ids) if ids.count() <= SMALL else ids, same, how)
+
+    out = matched(docs, gone, "left_anti")
     if repeated.isEmpty():
         return out
-    return without(out, repeated, "doc_id").unionByName(
-        only(out, repeated, "doc_id").dropDuplicates(["doc_id", "text"])
+    return matched(out, repeated, "left_anti").unionByName(
+        matched(out, repeated, "left_semi").dropDuplicates(["doc_id", "text"])
     )

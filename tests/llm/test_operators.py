@@ -157,6 +157,23 @@ def test_one_document_of_each_group_stays(docs):
     assert kept == Counter({i for i, (_, c) in jaccard_brute(DOCS).items() if i == c})
 
 
+def test_rows_without_or_with_one_id_link_and_stay_apart(spark):
+    rng = random.Random(17)
+    base = [f"w{rng.randrange(1000)}" for _ in range(200)]
+    near = lambda *at: " ".join("new" if i in at else w for i, w in enumerate(base))
+    alone = lambda: " ".join(f"v{rng.randrange(1000)}" for _ in range(80))
+    a, b, c = near(), near(*range(0, 16, 2)), near(*range(0, 24, 2))  # a links b, b links c; a and c do not link
+    one, other, nameless = alone(), alone(), alone()
+    rows = [(1, a), (None, b), (3, c), (3, one), (4, one), (5, other), (5, other), (None, nameless), (None, nameless), (None, nameless + " x"), (6, ""), (6, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    text = {a: "a", b: "b", c: "c", one: "one", other: "other", nameless: "nameless", nameless + " x": "nameless", "": ""}
+    got = Counter((r.doc_id, r.component_id) for r in jaccard.near_duplicates(df).collect())
+    assert got == Counter([(1, 1), (None, 1), (3, 1), (3, 3), (4, 3), (5, 5), (5, 5), (None, None), (None, None), (None, None), (6, 6), (6, 6)])
+    kept = sorted((str(r.doc_id), text[r.text or ""]) for r in jaccard.one_of_each(df).collect())
+    # Rows without words stay; null and empty are different texts.
+    assert kept == [("1", "a"), ("3", "one"), ("5", "other"), ("6", ""), ("6", ""), ("None", "nameless")]
+
+
 def test_token_counts_equal_the_library(docs, nothing):
     library = sentencepiece.SentencePieceProcessor(model_proto=MODEL)
     got = by_id(tokens.count_tokens(docs, MODEL, frequent=50, cache=20), "n_bytes", "n_tokens", "over_limit")
