@@ -434,7 +434,8 @@ FROM (SELECT {DATE}, sucursales_provincia AS p FROM raw_sucursales) GROUP BY 1""
     "silver_health": _health(),
     "raw_csv_clean": f"SELECT {_null_text(RAW_COLUMNS['productos'])} FROM raw_productos",
     "align_by_name": f"""
-SELECT * EXCLUDE (otra) REPLACE ({", ".join(f"CASE WHEN NOT otra THEN {c} END AS {c}" for c in _PROMO_COLUMNS)})
+SELECT * EXCLUDE (otra) REPLACE ({", ".join(f"CASE WHEN NOT otra THEN {c} END AS {c}" for c in _PROMO_COLUMNS)},
+  CASE WHEN NOT otra OR coalesce(id_comercio, '') NOT LIKE '%3' THEN id_bandera END AS id_bandera)
 FROM (SELECT {_null_text(RAW_COLUMNS["productos"])}, {_OTHER_PAGE_PROMO} AS otra FROM raw_productos)""",
     "merged_schema_scan": f"""
 SELECT id_producto, precio_lista, CASE WHEN {DATE} >= DATE '1998-01-01' THEN precio_promo1 END AS precio_promo1, {DATE}

@@ -518,7 +518,7 @@ def raw_csv_clean(spark, sf):
 
 @registered
 def align_by_name(spark, sf):
-    """Three headers: file order with a byte order mark, reversed with blanks, promotions left out."""
+    """Four headers: file order with a byte order mark, reversed with blanks, promotions left out, no banner."""
     path = scratch_dir(spark, "mixed")
     raw = _raw(spark, sf)["productos"]
     names = list(raw_columns("productos"))
@@ -527,8 +527,10 @@ def align_by_name(spark, sf):
     _write_lines(raw.filter(code == "1"), names, f"{path}/a", raw_csv.BOM + "|".join(names))
     _write_lines(raw.filter(code == "0"), names[::-1], f"{path}/b", " | ".join(names[::-1]))
     other = raw.filter(~code.isin("0", "1")).withColumn("extra", F.lit("sobra"))
-    _write_lines(other, ["extra", *few], f"{path}/c")
-    return raw_csv.read_by_name(spark, [f"{path}/{p}" for p in "abc"], "productos")
+    third = F.coalesce(F.col("id_comercio"), F.lit("")).endswith("3")
+    _write_lines(other.filter(~third), ["extra", *few], f"{path}/c")
+    _write_lines(other.filter(third), [c for c in few[::-1] if c != "id_bandera"], f"{path}/d")
+    return raw_csv.read_by_name(spark, [f"{path}/{p}" for p in "abcd"], "productos")
 
 
 @registered

@@ -7,9 +7,10 @@ surplus fields are dropped, undecodable bytes become the replacement character,
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import re
+from collections import Counter
+from concurrent.futures import ThreadPoolExecutor
 
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -67,43 +68,61 @@ def parse_lines(lines: DataFrame, table: str, keep: tuple[str, ...] = ()) -> Dat
     return fields.select(*keep, *[value(i, name) for i, name in enumerate(raw_columns(table))])
 
 
+def first_line(spark: SparkSession, path: str) -> str | None:
+    """The first line of a file that is not blank; None without one. Reads no further than that line."""
+    jvm = spark._jvm
+    hadoop = spark._jsc.hadoopConfiguration()
+    where = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(path))
+    stream = where.getFileSystem(hadoop).open(where)
+    try:
+        codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(hadoop).getCodec(where)
+        content = codec.createInputStream(stream) if codec else stream
+        lines = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(content, "UTF-8"))
+        while (line := lines.readLine()) is not None:
+            if line.strip():
+                return line
+        return None
+    finally:
+        stream.close()
+
+
+def header_index(spark: SparkSession, files: list[str], threads: int = 32) -> dict[str, str]:
+    """The header of every file that has one: one bounded read a file, many at a time."""
+    with ThreadPoolExecutor(threads) as pool:
+        found = pool.map(lambda path: first_line(spark, path), files)
+        # The source writes a local file's address with one slash.
+        return {re.sub("^file:///", "file:/", path): line for path, line in zip(files, found) if line is not None}
+
+
 def read_by_name(spark: SparkSession, paths: str | list[str], table: str, keep_path: bool = False) -> DataFrame:
     """Files of one table with any mix of headers, aligned to its columns by name.
 
-    The header is a file's first line, whatever it says, and every later line is data. Files
-    are read once, each as a stream by one task, so the header is known where the lines are.
-    A file whose header names no column of the table raises ValueError.
+    The header is a file's first line that is not blank, whatever it says, and every later line is data.
+    Headers are read first, a line a file. The data are one text scan that Spark splits as it likes: the
+    source drops the header where a file starts, and each line is taken apart by the layout of its file. The
+    commonest layout needs no lookup, the files of the others are literals of the plan. There is no
+    Python worker and no shuffle, and one large file is read by many tasks.
+    A file whose header names no column of the table raises ValueError; files without lines have no rows.
     """
     lines = (
         spark.read.schema("line string")
-        .option("multiLine", True)  # keeps a file whole and its lines in order
+        .option("header", True)  # dropped at a file's start only, unread: the schema is given
+        .option("lineSep", "\n")
         .option("sep", "\ufffe")  # a code point no text has: the line is one field
         .option("quote", "")
         .csv(paths)
-        .select(F.col("_metadata.file_path").alias("path"), "line")
     )
-
-    def laid_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        path, positions = None, []
-        for batch in batches:
-            names = batch.column("path").to_pylist()
-            starts = [i for i in range(len(names)) if i == 0 or names[i] != names[i - 1]]
-            for start, end in zip(starts, [*starts[1:], len(names)]):
-                first = start
-                if names[start] != path:
-                    path, first = names[start], start + 1
-                    positions = layout(batch.column("line")[start].as_py() or "", table)
-                    if max(positions) < 0:
-                        raise ValueError(f"{path}: the first line names no column of {table}")
-                rows = batch.slice(first, end - first)
-                repeated = pa.ListArray.from_arrays(
-                    pa.array(range(0, rows.num_rows * len(positions) + 1, len(positions)), pa.int32()),
-                    pa.array(positions * rows.num_rows, pa.int32()),
-                )
-                yield pa.RecordBatch.from_arrays(
-                    [rows.column("path"), repeated, rows.column("line")], ["path", "layout", "line"]
-                )
-
-    text = lines.mapInArrow(laid_out, "path string, layout array<int>, line string")
+    layouts = {}
+    for path, header in header_index(spark, lines.inputFiles()).items():
+        layouts[path] = tuple(layout(header, table))
+        if max(layouts[path]) < 0:
+            raise ValueError(f"{path}: the first line names no column of {table}")
+    by_use = [positions for positions, _ in Counter(layouts.values()).most_common()] or [tuple(range(len(raw_columns(table))))]
+    path = F.col("_metadata.file_path")
+    chosen = F.array(*map(F.lit, by_use[0]))
+    for positions in by_use[1:]:
+        files = [p for p, used in layouts.items() if used == positions]
+        chosen = F.when(path.isin(files), F.array(*map(F.lit, positions))).otherwise(chosen)
+    text = lines.select(path.alias("path"), chosen.alias("layout"), F.rtrim(F.col("line"), F.lit("\r")).alias("line"))
     text = text.filter(F.length(F.btrim("line", F.lit(" \t\r\n"))) > 0)
     return parse_lines(text, table, keep=("path",) if keep_path else ())

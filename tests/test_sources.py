@@ -64,6 +64,44 @@ def test_a_file_without_a_known_column_fails(spark, tmp_path):
         raw_csv.read_by_name(spark, str(tmp_path), "comercio").collect()
 
 
+def test_a_large_file_is_read_by_many_tasks_without_python(spark, tmp_path):
+    rows = [product(id_producto=str(i), productos_descripcion="Pan " * 20) for i in range(5000)]
+    few = ["id_producto", "productos_precio_lista", "id_comercio"]
+    (tmp_path / "dos archivos").mkdir()
+    (tmp_path / "dos archivos" / "a [1].csv").write_text("\n \n" + csv_text("productos", rows))
+    (tmp_path / "dos archivos" / "b.csv").write_text(csv_text("productos", [product(id_producto=f"b{i}") for i in range(3)], few))
+    (tmp_path / "dos archivos" / "empty.csv").write_text("")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", 64 * 1024)
+    try:
+        df = raw_csv.read_by_name(spark, str(tmp_path / "dos archivos"), "productos", keep_path=True)
+        assert df.rdd.getNumPartitions() > 8
+        found = df.collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert sorted(r.id_producto for r in found) == sorted([str(i) for i in range(5000)] + ["b0", "b1", "b2"])
+    assert all((r.id_bandera is None) == r.id_producto.startswith("b") and r.productos_precio_lista == "1500.50" for r in found)
+    assert {r.path.rsplit("/", 1)[1] for r in found} == {"a%20%5B1%5D.csv", "b.csv"}
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "MapInArrow" not in plan and "Exchange" not in plan
+
+
+def test_compressed_files_have_headers_too(spark, tmp_path):
+    import gzip
+
+    (tmp_path / "a.csv.gz").write_bytes(gzip.compress("id_bandera|id_comercio\n1|2\n".encode()))
+    (tmp_path / "b.csv").write_text("id_comercio|id_bandera\r\n4|3\r\n")
+    rows = raw_csv.read_by_name(spark, str(tmp_path), "comercio").select("id_comercio", "id_bandera").collect()
+    assert sorted(map(tuple, rows)) == [("2", "1"), ("4", "3")]
+
+
+def test_headers_of_many_files_are_literals_of_one_scan(spark, tmp_path):
+    for i in range(30):
+        (tmp_path / f"{i}.csv").write_text("id_bandera|id_comercio\n1|2\n" if i % 2 else "id_comercio|extra|id_bandera\n2|x|1\n")
+    df = raw_csv.read_by_name(spark, str(tmp_path), "comercio")
+    assert {tuple(r) for r in df.select("id_comercio", "id_bandera").collect()} == {("2", "1")} and df.count() == 30
+    assert df._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
+
+
 def damaged(child: bytes, how: str) -> bytes:
     with zipfile.ZipFile(io.BytesIO(child)) as whole:
         info = whole.getinfo("productos.csv")
