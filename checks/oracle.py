@@ -456,6 +456,14 @@ FROM raw_productos WHERE {DATE} BETWEEN DATE '1997-01-01' AND DATE '1999-12-31'
             for t in RAW_COLUMNS
         ]
     ),
+    "bronze_range_commit": _union(
+        [
+            f"SELECT '{t}' AS tabla, {DATE}, COUNT(*) AS filas, "
+            + (f"SUM(CASE WHEN {DATE} = DATE '2001-01-01' THEN 1 ELSE 0 END)" if t == "productos" else "0")
+            + f"::BIGINT AS otras FROM raw_{t} WHERE {DATE} IN (DATE '2000-01-01', DATE '2001-01-01') GROUP BY {DATE}"
+            for t in RAW_COLUMNS
+        ]
+    ),
     "retention_plan": f"SELECT {DATE}, COUNT(*) AS filas, {DATE} < CAST(DATE '2001-11-05' - INTERVAL 1500 DAY AS DATE) "
     "AS borrar FROM precios GROUP BY 1",
     "incremental_window": f"""

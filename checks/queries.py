@@ -587,6 +587,32 @@ def bronze_commit(spark, sf):
     return adhoc.table_counts({t: daily.bronze_rows(spark, path, t, day, day) for t in RAW_TABLES})
 
 
+@registered
+def bronze_range_commit(spark, sf):
+    """A range of two days is committed, a second build of it fails on its last day, a third replaces one day."""
+    path = scratch_dir(spark, "range")
+    days = [date(2000, 1, 1), LAST_DAY]
+    both = {t: df.filter(F.col(DATE).isin(days)) for t, df in _raw(spark, sf).items()}
+    sinks.write_bronze_range(both, path)
+    broken = F.when(F.col(DATE) == LAST_DAY, F.raise_error(F.lit("broken")).cast("string")).otherwise("x")
+    try:
+        sinks.write_bronze_range(both | {"productos": both["productos"].withColumn("id_producto", broken)}, path)
+    except Exception as e:
+        if "broken" not in str(e):
+            raise
+    last = {t: df.filter(F.col(DATE) == LAST_DAY) for t, df in both.items()}
+    sinks.write_bronze_range(last | {"productos": last["productos"].withColumn("productos_marca", F.lit("otra"))}, path)
+    rows = {t: daily.bronze_rows(spark, path, t, *days) for t in RAW_TABLES}
+    brand = F.lit(None).cast("string")
+    counted = [
+        df.withColumn("marca", F.col("productos_marca") if t == "productos" else brand)
+        .groupBy(F.lit(t).alias("tabla"), DATE)
+        .agg(F.count("*").alias("filas"), F.count_if(F.col("marca") == "otra").alias("otras"))
+        for t, df in rows.items()
+    ]
+    return counted[0].unionByName(counted[1]).unionByName(counted[2])
+
+
 @registered
 def retention_plan(spark, sf):
     return sinks.retention_plan(_precios(spark, sf), AS_OF, keep_days=1500)

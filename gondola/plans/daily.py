@@ -70,8 +70,8 @@ def ingest_day(
 
 
 def bronze_rows(spark: SparkSession, root: str, table: str, first: date, last: date) -> DataFrame:
-    """Bronze rows of a date range; year and the joined day text prune the folders."""
-    df = read_bronze(spark, bronze_path(root, table), table)
+    """Bronze rows of a date range; folders outside it are not listed."""
+    df = read_bronze(spark, bronze_path(root, table), table, first, last)
     text = F.concat("year", "month", "day")
     return df.filter(text.between(f"{first:%Y%m%d}", f"{last:%Y%m%d}"))
 

@@ -9,8 +9,10 @@ from datetime import date, timedelta
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gondola.folders import Folder
 from gondola.schema import DATE, RAW_TABLES
-from gondola.sources.tables import DAY_PARTS, with_day_parts
+from gondola.sources import manifest
+from gondola.sources.tables import DAY_PARTS, day_folder, with_day_parts
 
 ROWS_PER_FILE = 2_000_000
 SUCCESS = "_SUCCESS"
@@ -28,35 +30,6 @@ CLUSTER_BY = {
 }
 
 
-class Folder:
-    """A path on whatever file system Spark is configured for."""
-
-    def __init__(self, spark: SparkSession, path: str) -> None:
-        self.spark, self.path = spark, path
-        self._path = spark._jvm.org.apache.hadoop.fs.Path(path)
-        self._fs = self._path.getFileSystem(spark._jsc.hadoopConfiguration())
-
-    def child(self, *names: str) -> Folder:
-        return Folder(self.spark, "/".join([self.path, *names]))
-
-    def exists(self) -> bool:
-        return self._fs.exists(self._path)
-
-    def delete(self) -> None:
-        self._fs.delete(self._path, True)
-
-    def touch(self) -> None:
-        self._fs.create(self._path, True).close()
-
-    def move_to(self, target: Folder) -> None:
-        self._fs.mkdirs(target._path.getParent())
-        if not self._fs.rename(self._path, target._path):
-            raise OSError(f"cannot move {self.path} to {target.path}")
-
-    def children(self) -> list[str]:
-        return sorted(s.getPath().getName() for s in self._fs.listStatus(self._path)) if self.exists() else []
-
-
 def date_folders(table: Folder) -> list[str]:
     """Dates of a partitioned table as text, from folder names."""
     prefix = f"{DATE}="
@@ -106,13 +79,9 @@ def bronze_path(root: str, table: str) -> str:
     return f"{root}/bronze/{table}"
 
 
-def _day_folder(day: date) -> list[str]:
-    return [f"year={day:%Y}", f"month={day:%m}", f"day={day:%d}"]
-
-
-def _day_names(table: Folder) -> list[tuple[str, str, str]]:
+def _day_names(table: Folder) -> list[str]:
     return [
-        (y, m, d)
+        f"{y}/{m}/{d}"
         for y in table.children()
         if y.startswith("year=")
         for m in table.child(y).children()
@@ -121,95 +90,82 @@ def _day_names(table: Folder) -> list[tuple[str, str, str]]:
     ]
 
 
-def _marker(spark: SparkSession, root: str, day: date) -> Folder:
-    return Folder(spark, f"{root}/bronze/_committed").child(*_day_folder(day), SUCCESS)
+def _marker(spark: SparkSession, root: str, day: date | str) -> Folder:
+    return Folder(spark, f"{root}/bronze/_committed").child(day if isinstance(day, str) else day_folder(day), SUCCESS)
 
 
 def day_exists(spark: SparkSession, root: str, day: date, force: bool = False) -> bool:
     """True only for a committed day: marker and all three tables. ``force`` ignores it."""
     if force or not _marker(spark, root, day).exists():
         return False
-    return all(Folder(spark, bronze_path(root, t)).child(*_day_folder(day)).exists() for t in RAW_TABLES)
+    live = manifest.live(spark, f"{root}/bronze") or {}
+    return all((t, day_folder(day)) in live for t in RAW_TABLES)
 
 
-def _swap(spark: SparkSession, staging: Folder, root: str, day: Sequence[str], tables: Sequence[str]) -> None:
-    """Moves a day's staged tables in. Old folders are moved aside first and deleted last, so a
-    failed move puts every table back as it was."""
-    marker = Folder(spark, f"{root}/bronze/_committed").child(*day, SUCCESS)
-    was_committed = marker.exists()
-    aside = staging.child("old", *day)
-    done: list[tuple[Folder, Folder, bool]] = []
-    marker.delete()
-    try:
-        for table in tables:
-            final, old = Folder(spark, bronze_path(root, table)).child(*day), aside.child(table)
-            had = final.exists()
-            if had:
-                final.move_to(old)
-            done.append((final, old, had))
-            new = staging.child(table, *day)
-            if new.exists():
-                new.move_to(final)
-    except Exception:
-        for final, old, had in done:
-            final.delete()
-            if had:
-                old.move_to(final)
-        if was_committed:
-            marker.touch()
-        raise
-    if all(Folder(spark, bronze_path(root, t)).child(*day).exists() for t in RAW_TABLES):
-        marker.touch()
+def _commit(spark: SparkSession, root: str, changes: manifest.Live) -> None:
+    """Makes written folders live with one small write, and marks the days that have all tables."""
+    live = manifest.commit(spark, f"{root}/bronze", changes)
+    for day in sorted({day for _, day in changes}):
+        if all((t, day) in live for t in RAW_TABLES):
+            _marker(spark, root, day).touch()
+
+
+def _discard(spark: SparkSession, root: str, commit: str) -> None:
+    for table in RAW_TABLES:
+        Folder(spark, f"{bronze_path(root, table)}/commit={commit}").delete()
 
 
 def write_bronze_day(frames: dict[str, DataFrame], root: str, day: date) -> dict[str, int]:
     """All three tables of a day or nothing. Returns the rows written per table.
 
-    Tables are staged first. A missing or empty table, or a failed write or move, leaves an
-    earlier committed day as it was; the marker is gone while folders are swapped.
+    Tables are written beside the live ones and become live together. A missing or empty table,
+    or a failed write, leaves an earlier committed day as it was.
     """
     spark = next(iter(frames.values())).sparkSession
-    staging = Folder(spark, f"{root}/bronze/.staging/{day.isoformat()}-{uuid.uuid4().hex}")
-    rows = {}
+    commit, rows, done = uuid.uuid4().hex, {}, False
     try:
         for table, df in frames.items():
-            target = staging.child(table, *_day_folder(day)).path
+            target = f"{bronze_path(root, table)}/commit={commit}/{day_folder(day)}"
             df.hint("rebalance").write.option("maxRecordsPerFile", ROWS_PER_FILE).option("compression", "zstd").parquet(
                 target
             )
             rows[table] = spark.read.schema(df.schema).parquet(target).count()
         if all(rows.get(t, 0) > 0 for t in RAW_TABLES):
-            _swap(spark, staging, root, _day_folder(day), RAW_TABLES)
+            _commit(spark, root, {(t, day_folder(day)): commit for t in RAW_TABLES})
+            done = True
     finally:
-        staging.delete()
+        if not done:
+            _discard(spark, root, commit)
     return {t: rows.get(t, 0) for t in RAW_TABLES}
 
 
 def write_bronze_range(frames: dict[str, DataFrame], root: str) -> None:
-    """Many days at once: frames carry the date; each date in them is replaced, day by day.
+    """Many days at once: frames carry the date; each date in them is replaced, all or none.
 
-    All tables are staged before the first day is touched, and a day's tables are swapped
-    together. A date whose three tables are present is marked as committed.
+    All tables of all days are written beside the live ones and become live in one step. A table without rows
+    on a date keeps what it has there. A date whose three tables are present is marked as committed.
     """
     spark = next(iter(frames.values())).sparkSession
-    staging = Folder(spark, f"{root}/bronze/.staging/range-{uuid.uuid4().hex}")
+    commit, changes, done = uuid.uuid4().hex, {}, False
     try:
-        days = set()
         for table, df in frames.items():
-            staged = with_day_parts(df).drop(DATE)
+            target = Folder(spark, f"{bronze_path(root, table)}/commit={commit}")
             (
-                staged.hint("rebalance", *[F.col(c) for c in DAY_PARTS])
+                with_day_parts(df)
+                .drop(DATE)
+                .hint("rebalance", *[F.col(c) for c in DAY_PARTS])
                 .write.option("maxRecordsPerFile", ROWS_PER_FILE)
                 .option("compression", "zstd")
                 .partitionBy(*DAY_PARTS)
-                .parquet(staging.child(table).path)
+                .parquet(target.path)
             )
-            days.update(_day_names(staging.child(table)))
-        for day in sorted(days):  # folder names of the written days only
-            written = [t for t in frames if staging.child(t, *day).exists()]
-            _swap(spark, staging, root, day, written)
+            changes |= {(table, day): commit for day in _day_names(target)}  # folder names of the written days only
+        if changes:
+            _commit(spark, root, changes)
+            done = True
     finally:
-        staging.delete()
+        if not done:
+            _discard(spark, root, commit)
 
 
 def drop_days(spark: SparkSession, path: str, days: Sequence[date]) -> None:

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gondola.schema import DATE, raw_schema
+from gondola.sources.manifest import live_paths
 
 
 def scan(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
@@ -39,14 +42,28 @@ def with_day_parts(df: DataFrame) -> DataFrame:
     )
 
 
-def read_bronze(spark: SparkSession, path: str, table: str) -> DataFrame:
-    """Bronze table in year=/month=/day= layout with its date restored.
+def day_folder(day: date) -> str:
+    return f"year={day:%Y}/month={day:%m}/day={day:%d}"
+
+
+def read_bronze(
+    spark: SparkSession, path: str, table: str, first: date | None = None, last: date | None = None
+) -> DataFrame:
+    """Bronze table in year=/month=/day= layout with its date restored: the live folders of its manifest, or all
+    of the path where there is none.
 
-    Filter on year, month and day to prune; the date column is built from them.
+    ``first`` and ``last`` leave out folders before they are listed. Filter on year, month and day to prune.
     """
     schema = raw_schema(table)
     for part in DAY_PARTS:
         schema = schema.add(part, T.StringType())
-    df = spark.read.schema(schema).parquet(path)
+    bounds = day_folder(first) if first else "", day_folder(last) if last else "~"
+    live = live_paths(spark, path, *bounds)
+    if live is None:
+        df = spark.read.schema(schema).parquet(path)
+    elif live:
+        df = spark.read.schema(schema.add("commit", T.StringType())).option("basePath", path).parquet(*live).drop("commit")
+    else:
+        df = spark.createDataFrame([], schema)
     day = F.concat_ws("-", *DAY_PARTS).cast("date")
     return df.withColumn(DATE, day)

@@ -1,13 +1,15 @@
 from datetime import date, datetime
+from functools import reduce
 
 import pytest
 from conftest import child_zip, master_zip, merchant, product, store
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gondola.operators import silver
 from gondola.plans import daily, models, query, sinks
-from gondola.schema import RAW_TABLES, SILVER
-from gondola.sources import tables
+from gondola.schema import RAW_TABLES, SILVER, raw_columns
+from gondola.sources import manifest, tables
 from gondola.streaming.ingest import stream_ingest
 
 D15, D16, D17 = date(2026, 1, 15), date(2026, 1, 16), date(2026, 1, 17)
@@ -158,33 +160,62 @@ def bronze_prices(spark, root, *days):
 
 
 @pytest.mark.parametrize("whole_range", [False, True])
-def test_a_failed_swap_leaves_the_earlier_day(spark, raw, tmp_path, monkeypatch, whole_range):
-    root = str(tmp_path)
-
-    def write(price):
+@pytest.mark.parametrize("point", ["comercio", "productos", "commit"])
+def test_a_failure_at_any_point_leaves_all_earlier_days(spark, raw, tmp_path, monkeypatch, whole_range, point):
+    root, days = str(tmp_path), (D15, D16, D17) if whole_range else (D15,)
+
+    def write(price, broken=None):
+        parts = [day_frames(raw, [product(productos_precio_lista=price)], fecha_vigencia=d) for d in days]
+        frames = {t: reduce(DataFrame.unionByName, [p[t] for p in parts]) for t in RAW_TABLES}
+        if broken:  # fails in the task that writes the last day
+            column = raw_columns(broken)[0]
+            bad = F.when(F.col("fecha_vigencia") == days[-1], F.raise_error(F.lit("no space")).cast("string"))
+            frames[broken] = frames[broken].withColumn(column, bad.otherwise(F.col(column)))
         if whole_range:
-            sinks.write_bronze_range(day_frames(raw, [product(productos_precio_lista=price)], fecha_vigencia=D15), root)
+            sinks.write_bronze_range(frames, root)
         else:
-            frames = day_frames(raw, [product(productos_precio_lista=price)], fecha_vigencia=D15)
             sinks.write_bronze_day({t: df.drop("fecha_vigencia") for t, df in frames.items()}, root, D15)
 
     write("1")
-    move, moves = sinks.Folder.move_to, []
-
-    def failing(self, target):
-        moves.append(target.path)
-        if len(moves) == 4:  # the second table's new folder
-            raise OSError("no space")
-        move(self, target)
-
-    monkeypatch.setattr(sinks.Folder, "move_to", failing)
-    with pytest.raises(OSError, match="no space"):
-        write("2")
-    monkeypatch.setattr(sinks.Folder, "move_to", move)
-    assert sinks.day_exists(spark, root, D15)
-    assert bronze_prices(spark, root, D15) == {D15: {"1"}}
-    write("3")
-    assert bronze_prices(spark, root, D15) == {D15: {"3"}}
+    before = sorted(p for p in tmp_path.rglob("*") if p.is_file() and p.suffix != ".crc")
+    with monkeypatch.context() as patched:
+        if point == "commit":
+
+            def failing(self, target):
+                raise OSError("no space")
+
+            patched.setattr(sinks.Folder, "move_to", failing)
+        with pytest.raises(Exception, match="no space"):
+            write("2", None if point == "commit" else point)
+    assert sorted(p for p in tmp_path.rglob("*") if p.is_file() and p.suffix != ".crc") == before
+    assert all(sinks.day_exists(spark, root, d) for d in days)
+    assert bronze_prices(spark, root, *days) == {d: {"1"} for d in days}
+    for price in ("3", "4", "5"):
+        write(price)
+        assert bronze_prices(spark, root, *days) == {d: {price} for d in days}
+    # The files of the version before stay for its readers, older ones go.
+    assert len(list(tmp_path.rglob("day=15/*.parquet"))) == 2 * len(RAW_TABLES)
+
+
+def test_a_reader_keeps_the_version_it_found(spark, raw, tmp_path):
+    root = str(tmp_path)
+    write = lambda price: sinks.write_bronze_day(day_frames(raw, [product(productos_precio_lista=price)]), root, D15)
+    write("1")
+    found = daily.bronze_rows(spark, root, "productos", D15, D15)
+    write("2")
+    assert {r.productos_precio_lista for r in found.collect()} == {"1"}
+    assert bronze_prices(spark, root, D15, D16) == {D15: {"2"}, D16: set()}
+
+
+def test_a_version_is_taken_once(spark, raw, tmp_path, monkeypatch):
+    root = str(tmp_path)
+    sinks.write_bronze_day(day_frames(raw, [product()]), root, D15)
+    versions = manifest._versions
+    monkeypatch.setattr(manifest, "_versions", lambda *a: versions(*a)[:-1])  # as the slower of two writers saw it
+    with pytest.raises(FileExistsError):
+        sinks.write_bronze_day(day_frames(raw, [product(id_producto="9")]), root, D15)
+    monkeypatch.setattr(manifest, "_versions", versions)
+    assert bronze_products(spark, root) == {"100"}
 
 
 def test_a_range_touches_only_its_days(spark, raw, tmp_path):
