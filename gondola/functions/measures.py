@@ -18,9 +18,14 @@ def price_decimal(c: Column) -> Column:
     return c.try_cast(PRICE)
 
 
-def exact_sum(c: Column) -> Column:
+TIMES = "decimal(12,0)"  # how often a price occurs: a price times this still fits a decimal
+
+
+def exact_sum(c: Column, times: Column | None = None) -> Column:
+    """Sum of the prices, each ``times`` over (once if not given): exact where every price fits a decimal."""
     exact = price_decimal(c)
-    return F.when(F.count(exact) == F.count(c), F.sum(exact).cast("double")).otherwise(F.sum(c))
+    one = (exact, c) if times is None else (exact * times.cast(TIMES), c * times)
+    return F.when(F.count(exact) == F.count(c), F.sum(one[0]).cast("double")).otherwise(F.sum(one[1]))
 
 
 def exact_avg(c: Column) -> Column:

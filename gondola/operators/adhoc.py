@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gondola.functions import price_decimal
+from gondola.functions.measures import TIMES
 from gondola.schema import MERCHANT_KEYS
 
 # Prices outside this range are suspicious; report sizes.
@@ -88,21 +89,27 @@ def basket_cost(prices: DataFrame, baskets: DataFrame) -> DataFrame:
     """
     wanted = baskets.groupBy("basket_id").agg(F.count("*").alias("_items"))
     store = ["id_comercio", "id_bandera", "id_sucursal"]
+    price, times = F.col("precio_lista"), F.col("cantidad")
+    exact = price_decimal(price)
     totals = (
         prices.select(*store, "id_producto", "precio_lista")
         .join(baskets.select("basket_id", "id_producto", "cantidad"), "id_producto")
         .groupBy("basket_id", *store)
         .agg(
-            F.sum(price_decimal(F.col("precio_lista")) * F.col("cantidad").cast("decimal(10,0)")).alias("_total"),
+            F.when(F.count(exact) == F.count(price), F.sum(exact * times.cast(TIMES))).alias("_exact"),
+            F.sum(price * times).alias("_plain"),
             F.count("*").alias("productos"),
         )
         .join(wanted, "basket_id")
         .filter(F.col("productos") == F.col("_items"))
     )
     dearest = totals.groupBy("basket_id").agg(
-        F.max("_total").alias("_dearest"), F.count("*").alias("_stores")
+        F.when(F.count("_exact") == F.count("*"), F.max("_exact")).alias("_dearest"),
+        F.max(F.coalesce(F.col("_exact").cast("double"), "_plain")).alias("_dearest_plain"),
+        F.count("*").alias("_stores"),
     )
-    saving = F.when(F.col("_stores") > 1, (F.col("_dearest") - F.col("_total")).cast("double"))
+    total = F.coalesce(F.col("_exact").cast("double"), "_plain")
+    saving = F.coalesce((F.col("_dearest") - F.col("_exact")).cast("double"), F.col("_dearest_plain") - total)
     return totals.join(dearest, "basket_id").select(
-        "basket_id", *store, "productos", F.col("_total").cast("double").alias("total"), saving.alias("ahorro")
+        "basket_id", *store, "productos", total.alias("total"), F.when(F.col("_stores") > 1, saving).alias("ahorro")
     )

@@ -8,7 +8,7 @@ from datetime import date, timedelta
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gondola.functions import price_decimal
+from gondola.functions import exact_sum
 from gondola.operators.latest import latest_per_key
 from gondola.operators.silver import project
 from gondola.schema import DATE, MERCHANT_KEYS, QUOTE_KEYS, STORE_KEYS
@@ -82,32 +82,29 @@ def price_comparison(
 ) -> DataFrame:
     """Each recent price next to the average, lowest and highest of its product and date.
 
-    The fact is joined to the keys it must have once, without names. The three measures are one
-    aggregate of that, joined back, not a window: partial sums merge before the shuffle, and
-    the join can broadcast the small side or split a product that holds much of the day, where a
-    window would need it in one task. Names come last.
+    The fact is summed to distinct rows once; both the rows and the measures read that exchange. The measures are
+    an aggregate joined back, not a window: partial sums merge before the shuffle, and the join can
+    broadcast the small side or split a product that holds much of the day, where a window would
+    need it in one task. Dimensions are joined once, with names; the measures need only their keys.
     """
     since = F.lit((as_of - timedelta(days=days_back)).isoformat()).cast("timestamp_ntz")
+    price, times = F.col("precio_lista"), F.col("_n")
     known = (
         precios.filter(F.col("scraped_at") >= since)
         .groupBy("id_producto", DATE, *STORE_KEYS, "precio_lista")
         .agg(F.count("*").alias("_n"))
-        .join(productos.select("id_producto"), "id_producto", "left_semi")
-        .join(sucursales.select(*STORE_KEYS), list(STORE_KEYS), "left_semi")
-        .join(comercios.select(*MERCHANT_KEYS), list(MERCHANT_KEYS), "left_semi")
+        .join(sucursales.select(*STORE_KEYS, "nombre", "localidad"), list(STORE_KEYS))
+        .join(comercios.select(*MERCHANT_KEYS, "bandera_nombre"), list(MERCHANT_KEYS))
     )
-    price, times = F.col("precio_lista"), F.col("_n")
     spread = known.groupBy("id_producto", DATE).agg(
-        (F.sum(price_decimal(price) * times.cast("decimal(10,0)")).cast("double") / F.sum(times)).alias("precio_promedio"),
+        (exact_sum(price, times) / F.sum(F.when(price.isNotNull(), times))).alias("precio_promedio"),
         F.min(price).alias("precio_minimo"),
         F.max(price).alias("precio_maximo"),
     )
+    named = spread.join(productos.select("id_producto", "descripcion", "marca"), "id_producto")
     return (
-        known.join(spread, ["id_producto", DATE])
-        .join(productos.select("id_producto", "descripcion", "marca"), "id_producto")
-        .join(sucursales.select(*STORE_KEYS, "nombre", "localidad"), list(STORE_KEYS))
-        .join(comercios.select(*MERCHANT_KEYS, "bandera_nombre"), list(MERCHANT_KEYS))
-        .withColumn("_copy", F.explode(F.sequence(F.lit(1), times.cast("int"))))  # equal rows stay as many
+        known.join(named, ["id_producto", DATE])
+        .withColumn("_copy", F.explode(F.array_repeat(F.lit(1), times.cast("int"))))  # equal rows stay as many
         .select(
             "id_producto",
             "descripcion",

@@ -15,8 +15,8 @@ from gondola.functions import (
     categorize_product,
     clean_description,
     exact_avg,
+    exact_sum,
     percent_change,
-    price_decimal,
 )
 from gondola.schema import DATE, MERCHANT_KEYS, STORE_CURRENT_KEYS
 
@@ -55,96 +55,93 @@ def daily_price_summary(precios: DataFrame, productos: DataFrame) -> DataFrame:
 def store_coverage(precios: DataFrame, sucursales: DataFrame) -> DataFrame:
     """Per date and province (null kept): stores, chains and products that report, and prices.
 
-    The fact is read and shuffled once, summed to one row per date, store and product. The three
-    counts are rollups of that exchange, which Spark computes once and reads three times.
+    One pass: every price row brings its store, chain and product as a kind and a value, which partial
+    aggregates reduce to the distinct ones before the first shuffle. A second one counts them by kind. A province
+    with most rows is spread over its values; no buffer holds a group.
     """
-    sums = precios.groupBy(DATE, "id_comercio", "id_sucursal", "id_producto").agg(F.count("id_producto").alias("_n"))
-    placed = sums.join(sucursales.select(*STORE_CURRENT_KEYS, "provincia"), list(STORE_CURRENT_KEYS), "left")
     place = [DATE, "provincia"]
-
-    def distinct(column: str, name: str) -> DataFrame:
-        found = placed.select(*place, column).distinct().groupBy(*place).agg(F.count(column).alias(name))
-        return found.withColumnsRenamed({c: f"_{c}" for c in place})
-
-    out = (
-        placed.groupBy(*place, "id_producto")
-        .agg(F.sum("_n").alias("_n"))
-        .groupBy(*place)
-        .agg(F.count("id_producto").alias("productos_reportados"), F.sum("_n").alias("total_precios"))
+    placed = precios.select(DATE, "id_comercio", "id_sucursal", "id_producto").join(
+        sucursales.select(*STORE_CURRENT_KEYS, "provincia"), list(STORE_CURRENT_KEYS), "left"
+    )
+    kinds = {"sucursales_activas": "id_sucursal", "cadenas_activas": "id_comercio", "productos_reportados": "id_producto"}
+    values = F.map_from_arrays(F.array(*map(F.lit, kinds)), F.array(*map(F.col, kinds.values())))
+    found = (
+        placed.select(*place, F.explode(values).alias("_kind", "_value"))
+        .groupBy(*place, "_kind", "_value")
+        .agg(F.count("_value").alias("_n"))
+    )
+    total = F.sum(F.when(F.col("_kind") == "productos_reportados", F.col("_n")).otherwise(0))
+    return found.groupBy(*place).agg(
+        *(F.count(F.when(F.col("_kind") == kind, F.col("_value"))).alias(kind) for kind in kinds),
+        total.alias("total_precios"),
     )
-    for column, name in (("id_sucursal", "sucursales_activas"), ("id_comercio", "cadenas_activas")):
-        side = distinct(column, name)
-        same = F.col(DATE).eqNullSafe(F.col(f"_{DATE}")) & F.col("provincia").eqNullSafe(F.col("_provincia"))
-        out = out.join(side, same).drop(*(f"_{c}" for c in place))
-    return out.select(*place, "sucursales_activas", "cadenas_activas", "productos_reportados", "total_precios")
 
 
 def price_timeseries(quotes: DataFrame, sucursales: DataFrame, approx_median: bool = False) -> DataFrame:
     """Price series per date, product and province from the deduplicated quotes.
 
-    One pass: quotes are summed to one row per series, store and price, with how often the price
-    occurs, and that rolls up to the series in the same partitioning. The median is taken over
-    price frequencies, so a buffer holds each distinct price once. Stores are counted in a
-    rollup of the same exchange.
+    One scan of the quotes: they are summed to one row per series and price, with how often the price occurs
+    and the stores that have it, and that to the series. Its buffer holds each distinct price once; median, mean
+    and deviation are read off it in order of price, so no result depends on partitioning. An
+    approximate median has a sketch of bounded size per series instead, and the deviation of partial moments.
     """
     key = [DATE, "id_producto", "provincia"]
     price, times = F.col("precio_lista"), F.col("_n")
     stores = sucursales.select(*STORE_CURRENT_KEYS, "provincia").filter(F.col("provincia").isNotNull())
-    priced = (
-        quotes.filter(price >= GOLD_MIN_PRICE)
-        .join(stores, list(STORE_CURRENT_KEYS))
-        .groupBy(*key, "id_sucursal", "precio_lista")
-        .agg(
-            F.count("*").alias("_n"),
-            F.min(clean_description(F.col("descripcion"))).alias("descripcion_clean"),
-            F.min("marca").alias("marca"),
+    placed = quotes.filter(price >= GOLD_MIN_PRICE).join(stores, list(STORE_CURRENT_KEYS))
+    names = [F.min("descripcion_clean").alias("descripcion_clean"), F.min("marca").alias("marca")]
+    placed = placed.withColumn("descripcion_clean", clean_description(F.col("descripcion")))
+    extremes = [F.min(price).alias("precio_min"), F.max(price).alias("precio_max")]
+    if approx_median:
+        series = placed.groupBy(*key).agg(
+            *names,
+            *extremes,
+            exact_avg(price).alias("precio_promedio"),
+            F.percentile_approx(price, 0.5).alias("precio_mediana"),
+            F.stddev_samp(price).alias("precio_desvio"),
+            F.count("*").alias("num_observaciones"),
+            F.size(F.collect_set("id_sucursal")).cast("long").alias("num_sucursales"),
         )
-    )
-    median = F.percentile_approx(price, 0.5) if approx_median else F.percentile(price, 0.5, times)
-    per_price = priced.groupBy(*key, "precio_lista").agg(
-        F.sum("_n").alias("_n"), F.min("descripcion_clean").alias("descripcion_clean"), F.min("marca").alias("marca")
-    )
-    # An approximate median has no frequencies; it reads the rows a price stands for.
-    rows = per_price.withColumn("_i", F.explode(F.sequence(F.lit(1), times.cast("int")))) if approx_median else per_price
-    one = F.lit(1) if approx_median else times
-    mean = F.sum(price_decimal(price) * one.cast("decimal(10,0)")).cast("double") / F.sum(one)
-    series = rows.groupBy(*key).agg(
-        F.min("descripcion_clean").alias("descripcion_clean"),
-        F.min("marca").alias("marca"),
-        mean.alias("precio_promedio"),
-        median.alias("precio_mediana"),
-        F.min(price).alias("precio_min"),
-        F.max(price).alias("precio_max"),
-        F.sum(one).alias("num_observaciones"),
-    )
-    stores_per_key = priced.select(*key, "id_sucursal").distinct().groupBy(*key).agg(F.count("*").alias("num_sucursales"))
-    # Squares of differences from the mean, not of prices: nothing cancels.
-    spread = (
-        per_price.join(series.select(*key, F.col("precio_promedio").alias("_mean")), key)
-        .groupBy(*key)
-        .agg(F.sum(times * F.pow(price - F.col("_mean"), 2)).alias("_squares"))
-    )
-    deviation = F.when(
-        F.col("num_observaciones") > 1, F.sqrt(F.col("_squares") / (F.col("num_observaciones") - 1))
-    )
-    return (
-        series.join(stores_per_key, key)
-        .join(spread, key)
-        .select(
-            DATE,
-            "id_producto",
-            "descripcion_clean",
-            "marca",
-            categorize_product(F.col("descripcion_clean")).alias("categoria_inferida"),
-            "provincia",
-            "precio_promedio",
-            "precio_mediana",
-            "precio_min",
-            "precio_max",
-            deviation.alias("precio_desvio"),
-            "num_observaciones",
-            "num_sucursales",
+    else:
+        per_price = placed.groupBy(*key, "precio_lista").agg(
+            *names, F.count("*").alias("_n"), F.collect_set("id_sucursal").alias("_stores")
+        )
+        series = per_price.groupBy(*key).agg(
+            *names,
+            *extremes,
+            exact_sum(price, times).alias("_sum"),
+            F.percentile(price, 0.5, times).alias("precio_mediana"),
+            F.sum(times).alias("num_observaciones"),
+            F.collect_list(F.struct(price.alias("price"), times.alias("times"))).alias("_prices"),
+            F.collect_set("_stores").alias("_stores"),
+        )
+        n, mean = F.col("num_observaciones"), F.col("_sum") / F.col("num_observaciones")
+        # Squares of differences from the mean, not of prices: nothing cancels.
+        squares = F.aggregate(
+            F.array_sort("_prices"),
+            F.lit(0.0),
+            lambda total, x: total + x["times"] * F.pow(x["price"] - F.col("precio_promedio"), 2),
         )
+        series = series.withColumn("precio_promedio", mean).withColumns(
+            {
+                "precio_desvio": F.when(n > 1, F.sqrt(squares / (n - 1))),
+                "num_sucursales": F.size(F.array_distinct(F.flatten("_stores"))).cast("long"),
+            }
+        )
+    return series.select(
+        DATE,
+        "id_producto",
+        "descripcion_clean",
+        "marca",
+        categorize_product(F.col("descripcion_clean")).alias("categoria_inferida"),
+        "provincia",
+        "precio_promedio",
+        "precio_mediana",
+        "precio_min",
+        "precio_max",
+        "precio_desvio",
+        "num_observaciones",
+        "num_sucursales",
     )
 
 
