@@ -446,6 +446,13 @@ SELECT * REPLACE (TIMESTAMP '2002-01-01 12:00:00' AS scraped_at,
     "dim_snapshot_replace": f"""
 SELECT * REPLACE (CASE WHEN {DATE} = DATE '1999-01-01' THEN upper(nombre) ELSE nombre END AS nombre)
 FROM dim_sucursales""",
+    "dim_current_maintained": _latest(
+        f"(SELECT * REPLACE (CASE WHEN {DATE} = DATE '2000-01-01' THEN upper(nombre) ELSE nombre END AS nombre) "
+        f"FROM dim_sucursales WHERE {DATE} < DATE '2001-01-01')",
+        STORE_CURRENT_KEYS,
+        [DATE],
+        SILVER["dim_sucursales"].fieldNames(),
+    ),
     "bronze_partition_scan": f"""
 SELECT strftime({DATE}, '%Y') AS year, '01' AS month, '01' AS day, COUNT(*) AS filas,
        COUNT(productos_precio_lista) AS con_precio

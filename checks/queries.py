@@ -23,8 +23,8 @@ from gondola.functions import (
     weekday_name,
 )
 from gondola.operators import adhoc, audit, clean, dims, facts, freshness, integrity, marts, quality, silver
-from gondola.plans import daily, models, query, sinks
-from gondola.schema import DATE, MERCHANT_KEYS, RAW_TABLES, STORE_KEYS, raw_columns, silver_schema
+from gondola.plans import daily, dimensions, models, query, sinks
+from gondola.schema import DATE, MERCHANT_KEYS, RAW_TABLES, STORE_CURRENT_KEYS, STORE_KEYS, raw_columns, silver_schema
 from gondola.session import scratch_dir
 from gondola.sources import archives, pages, raw_csv, tables
 from gondola.streaming.ingest import stream_ingest
@@ -566,6 +566,23 @@ def dim_snapshot_replace(spark, sf):
     return tables.scan(spark, path, silver_schema("dim_sucursales"))
 
 
+@registered
+def dim_current_maintained(spark, sf):
+    """Current stores kept through two loads, a reload of 2000 and the withdrawal of 2001."""
+    path = scratch_dir(spark, "maintained")
+    rows, schema = bind(spark, sf, "dim_sucursales"), silver_schema("dim_sucursales")
+    reloaded = rows.filter(F.col(DATE) == "2000-01-01").withColumn("nombre", F.upper("nombre"))
+
+    def current() -> DataFrame:
+        return dimensions.maintain(spark, f"{path}/snapshots", schema, STORE_CURRENT_KEYS, f"{path}/state")
+
+    for load in (rows.filter(F.col(DATE) < "1998-01-01"), rows.filter(F.col(DATE) >= "1998-01-01"), reloaded):
+        sinks.replace_days(load, f"{path}/snapshots")
+        current()
+    sinks.drop_days(spark, f"{path}/snapshots", [LAST_DAY])
+    return current()
+
+
 @registered
 def bronze_partition_scan(spark, sf):
     rows = daily.bronze_rows(spark, _bronze_root(spark, sf), "productos", date(1997, 1, 1), date(1999, 12, 31))

@@ -9,10 +9,11 @@ from datetime import date, timedelta
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gondola.operators import dims, facts, marts
+from gondola.operators import facts, marts
 from gondola.operators.quality import GRAIN, assert_grain
+from gondola.plans.dimensions import maintain
 from gondola.plans.sinks import Folder, date_folders, replace_days, upsert
-from gondola.schema import DATE, QUOTE_KEYS, SILVER
+from gondola.schema import DATE, MERCHANT_KEYS, PRODUCT_KEYS, QUOTE_KEYS, SILVER, STORE_CURRENT_KEYS
 
 # Days recomputed for late data, high-water mark of an empty target.
 LOOKBACK = timedelta(days=2)
@@ -30,9 +31,9 @@ class Model:
 
 
 DIMENSIONS = {
-    "dim_comercios_current": ("dim_comercios", dims.comercios_current),
-    "dim_sucursales_current": ("dim_sucursales", dims.sucursales_current),
-    "dim_productos_current": ("dim_productos", dims.productos_current),
+    "dim_comercios_current": ("dim_comercios", MERCHANT_KEYS),
+    "dim_sucursales_current": ("dim_sucursales", STORE_CURRENT_KEYS),
+    "dim_productos_current": ("dim_productos", PRODUCT_KEYS),
 }
 
 # The time series reads the deduplicated quotes; the other models read the staged fact.
@@ -115,12 +116,13 @@ def run_model(spark: SparkSession, model: Model, inputs: Inputs, path: str, full
 def build_all(spark: SparkSession, root: str, full: bool = False, start: str | None = None) -> dict[str, DataFrame]:
     """Current dimensions, then every model in order; each table is read back for the next.
 
-    The declared grains are asserted on what was written. Returns the tables built.
+    Dimensions are kept up to date from the snapshots that changed since the last run. The declared grains are asserted on what was written. Returns the tables built.
     """
     inputs: Inputs = {n: spark.read.schema(SILVER[n]).parquet(table_path(root, n)) for n in SILVER}
     inputs["precios"] = facts.stage_precios(inputs["precios"], start)
-    for name, (snapshots, pick) in DIMENSIONS.items():
-        path, rows = table_path(root, name), pick(inputs[snapshots])
+    for name, (snapshots, keys) in DIMENSIONS.items():
+        path, schema = table_path(root, name), inputs[snapshots].schema
+        rows = maintain(spark, table_path(root, snapshots), schema, keys, f"{root}/gold/_state/{name}", full)
         rows.write.mode("overwrite").option("compression", "zstd").parquet(path)
         inputs[name] = spark.read.schema(rows.schema).parquet(path)
     for model in MODELS:
