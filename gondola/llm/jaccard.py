@@ -291,6 +291,44 @@ def tree_pairs(bits: list[bytes], n: np.ndarray, c: np.ndarray, far: np.ndarray,
     return np.concatenate([p for p, _ in pairs]), np.concatenate([q for _, q in pairs])
 
 
+def leaf_pairs(
+    bits: list[bytes], n: np.ndarray, c: np.ndarray, far: np.ndarray, side: np.ndarray, starts: np.ndarray, ends: np.ndarray
+) -> tuple[np.ndarray, np.ndarray]:
+    """What ``tree_pairs`` finds in each run of rows (starts to ends) of at most FANOUT rows: such a tree is one node,
+    so the pairs of its leaves are held to the bounds for all runs at once. Rows of equal side are not paired, where
+    side is not negative."""
+    rows = _ranges(starts, ends - starts)
+    later = np.repeat(ends, ends - starts) - 1 - rows
+    i, j = np.repeat(rows, later), _ranges(rows + 1, later)
+    ok = (c[i] != c[j]) & (4 * n[i] >= 3 * n[j]) & (4 * n[j] >= 3 * n[i]) & (far[i] >= n[j]) & (far[j] >= n[i])
+    ok &= (side[i] < 0) | (side[i] != side[j])
+    i, j = i[ok], j[ok]
+    width = np.fromiter(map(len, bits), np.int64, len(bits))
+    swap = width[i] > width[j]
+    i, j = np.where(swap, j, i), np.where(swap, i, j)
+    out = [(i[:0], j[:0])]
+    for w in np.unique(width[i]).tolist():
+        for wide in (w, 2 * w):
+            at = np.flatnonzero((width[i] == w) & (width[j] == wide))
+            sides = []
+            for some in (i[at], j[at]):
+                own, where = np.unique(some, return_inverse=True)
+                folded = _folded([bits[r] for r in own], w).view(np.uint64)
+                extra = n[own] - np.bitwise_count(folded).sum(axis=1, dtype=np.int64)
+                sides.append((folded[where], extra[where], n[some]))
+            (x, extra_x, n_x), (y, extra_y, n_y) = sides
+            most = np.bitwise_count(x & y).sum(axis=1, dtype=np.int64) + np.minimum(extra_x, extra_y)
+            at = at[7 * np.minimum(most, np.minimum(n_x, n_y)) >= 3 * (n_x + n_y)]
+            out.append((i[at], j[at]))
+    return np.concatenate([p for p, _ in out]), np.concatenate([q for _, q in out])
+
+
+def _ranges(start: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """The numbers start .. start + length - 1 of each pair, one after the other."""
+    skip = np.repeat(start - np.concatenate(([0], np.cumsum(length)[:-1])), length) if len(length) else length
+    return skip + np.arange(len(skip))
+
+
 def shingle_sets(docs: DataFrame, classes: DataFrame) -> DataFrame:
     """d and h (sorted shingle hashes, 8 bytes each) of the given classes (d, rep), one row each. Texts are
     found by the id of one of the class; a class whose ids are all null, among the rows without an id."""
@@ -410,11 +448,15 @@ def _bucket_pairs(labelled: DataFrame, classes: DataFrame) -> DataFrame:
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ("part", "d", "c", "n", "reach", "bits", "side", "across")
         for _, d, c, n, far, bits, side, across, starts in whole_runs(batches, names):
-            found = [np.zeros((0, 2), np.int64)]
-            for s, e in zip(starts, np.append(starts[1:], len(d))):
-                sizes, reaches = n[s:e].astype(np.int64), far[s:e].astype(np.int64)
-                p, q = tree_pairs(bits[s:e].tolist(), sizes, c[s:e], reaches, side[s:e] if across[s] else None)
-                found.append(np.sort(np.stack((d[s + p], d[s + q]), axis=1), axis=1))
+            sizes, reaches, bits = n.astype(np.int64), far.astype(np.int64), bits.tolist()
+            ends = np.append(starts[1:], len(d))
+            few = ends - starts <= FANOUT
+            facing = np.where(across == 1, side, -1)
+            pairs = [leaf_pairs(bits, sizes, c, reaches, facing, starts[few], ends[few])]
+            for s, e in zip(starts[~few], ends[~few]):
+                p, q = tree_pairs(bits[s:e], sizes[s:e], c[s:e], reaches[s:e], side[s:e] if across[s] else None)
+                pairs.append((s + p, s + q))
+            found = [np.sort(np.stack((d[p], d[q]), axis=1), axis=1) for p, q in pairs]
             found = np.unique(np.concatenate(found), axis=0)  # shingles of one batch often give the same pair
             yield _arrow("a:long b:long", found[:, 0], found[:, 1])
 

@@ -137,6 +137,18 @@ def test_signature_trees_lose_no_pair():
     side = rng.integers(0, 2, len(sets))
     p, q = jaccard.tree_pairs(bits, n, c, far, side)
     assert {x for x in linked if side[x[0]] != side[x[1]]} <= {tuple(sorted(x)) for x in zip(p.tolist(), q.tolist())}
+    # Runs of few rows, all at once, give what their trees give.
+    starts = np.concatenate(([0], np.cumsum(rng.integers(1, jaccard.FANOUT, 60))))
+    starts = np.append(starts[starts < len(sets)], len(sets))
+    far = np.where(rng.random(len(sets)) < 0.2, 50, 10**6)
+    for facing in (np.full(len(sets), -1), rng.integers(0, 2, len(sets))):
+        expected = set()
+        for s, e in zip(starts[:-1], starts[1:]):
+            p, q = jaccard.tree_pairs(bits[s:e], n[s:e], c[s:e], far[s:e], None if facing[s] < 0 else facing[s:e])
+            expected |= {tuple(sorted((s + x, s + y))) for x, y in zip(p, q)}
+        p, q = jaccard.leaf_pairs(bits, n, c, far, facing, starts[:-1], starts[1:])
+        assert {tuple(sorted(x)) for x in zip(p, q)} == expected and (facing[0] >= 0 or len(expected) > 10)
+    far = np.full(len(sets), 10**6)
     assert not len(jaccard.tree_pairs(bits, n, np.zeros(len(sets), np.int64), far)[0])  # one component: nothing to join
     assert not len(jaccard.tree_pairs(bits, n, c, np.zeros(len(sets), np.int64))[0])  # nothing within reach
 
