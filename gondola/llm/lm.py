@@ -1,12 +1,15 @@
 """Language-model scoring: a causal self-attention model over subword ids, trained here with numpy.
 
 Text: ASCII letters in lower case, words between white space, one end token. A word's subword ids come
-from a public vocabulary. An id's probability is ``p(class | context) * p(id | class)``: the most frequent
-ids are classes of their own, the others share classes by frequency. A class has the weight
+from a public vocabulary. An id's probability is ``p(group | context) * p(class | context, group) * p(id | class)``: the
+most frequent ids are classes of their own, the others share classes by frequency, and classes of neighbouring
+frequency make a group. At either level a choice has the weight
 
     R[previous] * (1 + x / 16) ** 16,  x = softmax(Q[previous] . K[earlier] / sqrt(d) + b[distance]) V[earlier] U
 
-with one causal attention head; the power stands for exp and takes a fifth of its time. Weights are normalised. Everything that is counted covers all training documents: word counts
+with one causal attention head; the power stands for exp and takes a fifth of its time. Weights are normalised
+among the groups, then among the classes of the group: 48 weights a position instead of 512. Everything that is
+counted covers all training documents: word counts
 (also of the baseline), subword counts, and the class bigrams that R is made of. The attention
 parameters are trained by local gradient steps in each partition, on every id of every training document
 (consecutive windows of ``2 * HALF`` ids, the end token with them), and averaged over partitions by tokens;
@@ -15,6 +18,8 @@ this is repeated ``ROUNDS`` times.
 Scoring cuts a text into overlapping windows: each token is scored once, with the half window before it and
 what precedes it in its own half as context, as masked matrix products over many windows at a time.
 
+Subword ids are worked out once and written; counts, both rounds and scoring read them.
+
 The baseline is an add-one unigram model of words. Counts of the most frequent words (a bounded table)
 are known in the tasks; the other words of a document are joined with the count table.
 
@@ -37,13 +42,16 @@ from pyspark.sql import functions as F
 from gondola.llm.common import column_bytes, shipped, written
 
 IN, OUT = 2048, 512  # classes as context and as prediction; the last of each hold the special token
+GROUPS = 16
+PER_GROUP = OUT // GROUPS
 WIDTH = 16
 HALF = 16
 FREQUENT = 1 << 16
+LONGEST = 64  # bytes of a frequent word; longer ones are joined with the count table
 CACHE = 200_000
 FLUSH = 300_000
 ROUNDS = 2
-CHUNK = 512  # positions whose class weights are worked out together
+BATCH = 128  # windows of a gradient step
 GROUP = 512  # texts whose words are looked up together
 END = " "  # no word is a space
 _PAD = IN  # context class of positions before a text
@@ -109,10 +117,15 @@ class Model:
     k: np.ndarray
     v: np.ndarray
     bias: np.ndarray  # of each distance 0 .. 2 * HALF - 1
-    u: np.ndarray
+    u: np.ndarray  # of the classes
+    u_top: np.ndarray  # of the groups
+    top: np.ndarray | None = None  # R of the groups, kept once R is final
 
     def parameters(self) -> list[np.ndarray]:
-        return [self.q, self.k, self.v, self.bias, self.u]
+        return [self.q, self.k, self.v, self.bias, self.u, self.u_top]
+
+    def group_weights(self) -> np.ndarray:
+        return self.bigram.reshape(-1, GROUPS, PER_GROUP).sum(axis=2) if self.top is None else self.top
 
 
 def class_tables(id_counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -135,32 +148,55 @@ def _banded(rank: np.ndarray, classes: int) -> np.ndarray:
     return np.where(rank < own, rank, own + np.minimum(band, bands - 1))
 
 
-def attend(model: Model, x: np.ndarray, first: int) -> tuple[np.ndarray, np.ndarray]:
-    """Attention weights and contexts of the positions from ``first`` on of each row of context classes."""
+def attend(model: Model, x: np.ndarray, first: int) -> tuple[np.ndarray, ...]:
+    """Attention weights and contexts of the positions from ``first`` on of each row of context classes, and the
+    queries, keys and values they come from."""
     width = x.shape[1]
     q, k, v = model.q[x[:, first:]], model.k[x], model.v[x]
-    s = q @ k.transpose(0, 2, 1) / np.float32(np.sqrt(WIDTH))
+    s = q @ k.transpose(0, 2, 1)
+    s *= s.dtype.type(1 / np.sqrt(WIDTH))
     distance = np.arange(first, width)[:, None] - np.arange(width)[None, :]
-    s += np.where(distance >= 0, model.bias[np.maximum(distance, 0)], np.float32(-1e9))
-    s += np.where(x == _PAD, np.float32(-1e9), np.float32(0))[:, None, :]
-    s -= s.max(axis=2, keepdims=True)
-    a = np.exp(s, out=s)
-    a /= a.sum(axis=2, keepdims=True)
-    context = a @ v
-    return a, context
-
-
-def _power16(x: np.ndarray) -> np.ndarray:
-    """x ** 16, in place."""
-    for _ in range(4):
-        np.multiply(x, x, out=x)
-    return x
-
-
-def score_ids(model: Model, texts: list[np.ndarray], chunk: int = 32) -> np.ndarray:
+    s += model.bias[np.maximum(distance, 0)].astype(s.dtype)
+    np.clip(s, -60, 60, out=s)  # instead of taking the largest off: neither overflows nor vanishes
+    np.exp(s, out=s)
+    s *= distance >= 0
+    if (pad := x == _PAD).any():
+        s *= ~pad[:, None, :]
+        s += s.dtype.type(1e-30)  # rows of padding alone
+    s /= np.einsum("ijk->ij", s)[:, :, None]
+    return s, s @ v, q, k, v
+
+
+def _weights(context: np.ndarray, u: np.ndarray, r: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """1 + x / 16 and the weights of the choices."""
+    base = context @ (u / 16).astype(u.dtype)
+    base += 1
+    np.maximum(base, base.dtype.type(0.1), out=base)
+    w = base * base
+    for _ in range(3):
+        np.multiply(w, w, out=w)
+    w *= r
+    return base, w
+
+
+def _sum(w: np.ndarray) -> np.ndarray:
+    return w @ np.ones(w.shape[1], w.dtype)
+
+
+def _by_group(goal: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """Groups and the positions whose goal class is in them."""
+    group = goal // PER_GROUP
+    order = np.argsort(group, kind="stable")
+    edge = np.searchsorted(group[order], np.arange(GROUPS + 1))
+    for g in range(GROUPS):
+        if edge[g] < edge[g + 1]:
+            yield g, order[edge[g] : edge[g + 1]]
+
+
+def score_ids(model: Model, texts: list[np.ndarray], chunk: int = 256) -> np.ndarray:
     """log10 probability of each sequence of ids, each with its end token last."""
     rows, spans = [], []
-    u = model.u / np.float32(16)
+    classes, groups = model.bigram.reshape(-1, GROUPS, PER_GROUP), model.group_weights()
     for ids in texts:
         n = len(ids)
         blocks = -(-n // HALF)
@@ -176,51 +212,54 @@ def score_ids(model: Model, texts: list[np.ndarray], chunk: int = 32) -> np.ndar
     y = np.concatenate([y.reshape(-1, HALF) for _, y in rows])
     out = np.zeros(len(x))
     for at in range(0, len(x), chunk):
-        part, goal = x[at : at + chunk], y[at : at + chunk]
-        real = goal >= 0
-        goal = np.where(real, goal, 0)
-        _, context = attend(model, part, HALF)
-        weights = context.reshape(-1, WIDTH) @ u
-        weights += 1
-        _power16(weights)
-        before, after = part[:, HALF:].ravel(), model.out[goal].ravel()
-        total = np.einsum("ij,ij->i", weights, model.bigram[before])
-        chosen = weights[np.arange(len(after)), after] * model.bigram[before, after]
-        ln_p = np.log(chosen / total).reshape(goal.shape) + model.emission[goal]
-        out[at : at + chunk] = (ln_p * real).sum(axis=1)
+        part, goal = x[at : at + chunk], y[at : at + chunk].ravel()
+        real = np.flatnonzero(goal >= 0)
+        context = attend(model, part, HALF)[1]
+        context, before, goal = context.reshape(-1, WIDTH)[real], part[:, HALF:].ravel()[real], goal[real]
+        after = model.out[goal]
+        _, w = _weights(context, model.u_top, groups[before])
+        share = w[np.arange(len(after)), after // PER_GROUP] / _sum(w)
+        for g, some in _by_group(after):
+            u = model.u[:, g * PER_GROUP : (g + 1) * PER_GROUP]
+            _, w = _weights(context[some], u, classes[before[some], g])
+            share[some] *= w[np.arange(len(some)), after[some] % PER_GROUP] / _sum(w)
+        ln_p = np.log(share) + model.emission[goal]
+        out[at : at + chunk] = np.bincount(real // HALF, ln_p, len(part))
     return np.add.reduceat(out, starts[:-1]) / np.log(10)
 
 
+def _level(context: np.ndarray, u: np.ndarray, r: np.ndarray, goal: np.ndarray, d_u: np.ndarray) -> tuple[float, np.ndarray]:
+    """Summed loss of a choice and the gradient of the contexts; that of u is added to d_u."""
+    base, p = _weights(context, u, r)
+    total, at = _sum(p), np.arange(len(p))
+    loss = -np.log(p[at, goal] / total + 1e-12).sum()
+    p[at, goal] -= total
+    p /= base
+    p /= total[:, None]
+    d_u += context.T @ p
+    return float(loss), p @ u.T
+
+
 def gradient(model: Model, x: np.ndarray, y: np.ndarray) -> tuple[float, list[np.ndarray]]:
     """Mean loss of predicting classes y (-1: none) from context classes x, and the parameters' gradients."""
-    a, context = attend(model, x, 0)
+    a, context, q, k, v = attend(model, x, 0)
     width, flat = x.shape[1], x.ravel()
     real = np.flatnonzero(y.ravel() >= 0)
     goal, before, known = y.ravel()[real], flat[real], context.reshape(-1, WIDTH)[real]
-    n = np.float32(max(1, len(real)))
-    u, d_u = model.u / np.float32(16), np.zeros_like(model.u)
-    d_known, loss = np.empty_like(known), 0.0
-    for start in range(0, len(real), CHUNK):  # what is as wide as the classes stays in the processor's cache
-        c, after = known[start : start + CHUNK], goal[start : start + CHUNK]
-        base = c @ u
-        base += 1
-        if base.min() < 0.1:
-            np.maximum(base, np.float32(0.1), out=base)
-        p = base * base
-        for _ in range(3):
-            np.multiply(p, p, out=p)
-        p *= model.bigram[before[start : start + CHUNK]]
-        total, at = np.einsum("ij->i", p), np.arange(len(p))
-        loss -= np.log(p[at, after] / total + 1e-12).sum() / n
-        p[at, after] -= total
-        p /= base
-        scale = (1 / (n * total))[:, None]
-        d_u += (c * scale).T @ p
-        d_known[start : start + CHUNK] = p @ model.u.T * scale
+    n = known.dtype.type(max(1, len(real)))
+    classes, d_u, d_top = model.bigram.reshape(-1, GROUPS, PER_GROUP), np.zeros_like(model.u), np.zeros_like(model.u_top)
+    loss, d_known = _level(known, model.u_top, model.group_weights()[before], goal // PER_GROUP, d_top)
+    for g, some in _by_group(goal):
+        part = slice(g * PER_GROUP, (g + 1) * PER_GROUP)
+        more, d = _level(known[some], model.u[:, part], classes[before[some], g], goal[some] % PER_GROUP, d_u[:, part])
+        loss += more
+        d_known[some] += d
+    d_u, d_top, d_known, loss = d_u / n, d_top / n, d_known / n, loss / n
     d_context = np.zeros_like(context)
     d_context.reshape(-1, WIDTH)[real] = d_known
-    d_a = d_context @ model.v[x].transpose(0, 2, 1)
-    d_s = a * (d_a - (a * d_a).sum(axis=2, keepdims=True))
+    d_s = d_context @ v.transpose(0, 2, 1)
+    d_s -= np.einsum("ijk,ijk->ij", a, d_s)[:, :, None]
+    d_s *= a
     distance = np.maximum(np.arange(width)[:, None] - np.arange(width)[None, :], 0)
     d_bias = np.bincount(distance.ravel(), d_s.sum(axis=0).ravel(), len(model.bias))
     scale = np.float32(1 / np.sqrt(WIDTH))
@@ -232,10 +271,10 @@ def gradient(model: Model, x: np.ndarray, y: np.ndarray) -> tuple[float, list[np
         out[flat[order][starts]] = np.add.reduceat(d.reshape(-1, WIDTH)[order], starts)
         return out
 
-    d_q = gathered(d_s @ model.k[x] * scale)
-    d_k = gathered(d_s.transpose(0, 2, 1) @ model.q[x] * scale)
+    d_q = gathered(d_s @ k * scale)
+    d_k = gathered(d_s.transpose(0, 2, 1) @ q * scale)
     d_v = gathered(a.transpose(0, 2, 1) @ d_context)
-    return float(loss), [d_q, d_k, d_v, d_bias.astype(np.float32), d_u]
+    return float(loss), [d_q, d_k, d_v, d_bias.astype(np.float32), d_u, d_top]
 
 
 def _word_counts(docs: DataFrame) -> DataFrame:
@@ -262,62 +301,84 @@ def _word_counts(docs: DataFrame) -> DataFrame:
     return shipped(docs.select("text")).mapInArrow(count, "word binary, c long").groupBy("word").agg(F.sum("c").alias("c"))
 
 
-def _id_counts(words: DataFrame, tokenizer: bytes, size: int) -> np.ndarray:
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = sentencepiece.SentencePieceProcessor(model_proto=tokenizer)
-        total = np.zeros(size, np.int64)
+def _id_type(size: int) -> np.dtype:
+    return np.dtype("<u2" if size < 1 << 16 else "<u4")
+
+
+def encode(docs: DataFrame, learn: Column, tokenizer: bytes) -> DataFrame:
+    """d and e (hashes of id and text), learn, and the subword ids of every whole text, written once."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vocabulary = Vocabulary(tokenizer, [])
+        kind = _id_type(vocabulary.size)
         for batch in batches:
-            ids = encoder.encode([w.decode(errors="replace") for w in batch.column("word").to_pylist()], num_threads=1)
-            lengths = np.fromiter(map(len, ids), np.int64, len(ids))
-            flat = np.fromiter((i for x in ids for i in x), np.int64, lengths.sum())
-            np.add.at(total, flat, np.repeat(batch.column("c").to_numpy(), lengths))
-        at = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(total[at])], ["id", "n"])
+            texts = column_bytes(batch)
+            for at in range(0, len(texts), GROUP):
+                numbers = [vocabulary.numbers(_words(t)) for t in texts[at : at + GROUP]]
+                ids, ends = vocabulary.arrays()
+                ids = ids.astype(kind)
+                found = pa.array([expand(x, ids, ends).tobytes() for x in numbers], pa.binary())
+                keys = [batch.column(c).slice(at, len(numbers)) for c in ("d", "e", "learn")]
+                yield pa.RecordBatch.from_arrays([*keys, found], ["d", "e", "learn", "ids"])
+                vocabulary.trim()
 
-    rows = shipped(words.where(F.col("word") != F.lit(END).cast("binary")))
-    out = np.zeros(size, np.float64)
-    for row in rows.mapInArrow(count, "id int, n long").groupBy("id").agg(F.sum("n").alias("n")).collect():
-        out[row.id] = row.n  # at most one row per id of the vocabulary
-    return out
+    rows = _keyed(docs, learn.alias("learn")).drop("doc_id")
+    return written(shipped(rows).mapInArrow(run, "d long, e long, learn boolean, ids binary"), "lm-ids")
 
 
-def _bigrams(docs: DataFrame, sent) -> np.ndarray:
-    """Counts of (context class, next class) over all tokens."""
+def _keyed(docs: DataFrame, *more: Column) -> DataFrame:
+    rows = docs.select(F.col("doc_id").cast("long"), "text", *more)
+    return rows.withColumns({"d": F.xxhash64("doc_id", "text"), "e": F.xxhash64(F.lit("e"), "text", "doc_id")})
+
+
+def _id_lists(batch: pa.RecordBatch, size: int) -> list[np.ndarray]:
+    kind = _id_type(size)
+    return [np.frombuffer(x, kind).astype(np.int64) for x in batch.column("ids").to_pylist()]
+
+
+def _counted(ids: DataFrame, cells, size: int) -> np.ndarray:
+    """How often each cell occurs, as a double; ``cells`` gives the cells of a list of texts."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = sent.value
-        vocabulary = Vocabulary(model.tokenizer, model.frequent)
-        total = np.zeros(IN * OUT, np.int64)
+        total = np.zeros(size, np.int64)
         for batch in batches:
-            texts = column_bytes(batch)
-            for at in range(0, len(texts), GROUP):
-                _add(total, model, vocabulary, [vocabulary.numbers(_words(t)) for t in texts[at : at + GROUP]])
+            for at in range(0, batch.num_rows, GROUP):
+                total += np.bincount(cells(batch.slice(at, GROUP)), minlength=size)
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(total[at])], ["cell", "n"])
 
-    out = np.zeros(IN * OUT)
-    rows = shipped(docs.select("text")).mapInArrow(count, "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n"))
-    for row in rows.collect():  # at most IN * OUT rows
+    out = np.zeros(size)
+    rows = shipped(ids.select("ids")).mapInArrow(count, "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n"))
+    for row in rows.collect():  # at most ``size`` rows, the model's own
         out[row.cell] = row.n
-    return out.reshape(IN, OUT)
+    return out
 
 
-def _add(total: np.ndarray, model: Model, vocabulary: Vocabulary, numbers: list[np.ndarray]) -> None:
-    ids, ends = vocabulary.arrays()
-    parts = [np.array([vocabulary.size])]  # end tokens between the texts, and before the first
-    for some in numbers:
-        parts += [expand(some, ids, ends), parts[0]]
-    seq = np.concatenate(parts)
-    total += np.bincount(model.into[seq[:-1]] * OUT + model.out[seq[1:]], minlength=IN * OUT)
-    vocabulary.trim()
+def _id_counts(ids: DataFrame, size: int) -> np.ndarray:
+    return _counted(ids, lambda batch: np.concatenate(_id_lists(batch, size) or [np.zeros(0, np.int64)]), size)
+
+
+def _bigrams(ids: DataFrame, model: Model) -> np.ndarray:
+    """Counts of (context class, next class) over all tokens."""
+    into, out = model.into, model.out
+    size = len(into) - 1
+    end = np.array([size])
 
+    def cells(batch: pa.RecordBatch) -> np.ndarray:
+        parts = [end]  # end tokens between the texts, and before the first
+        for some in _id_lists(batch, size):
+            parts += [some, end]
+        seq = np.concatenate(parts)
+        return into[seq[:-1]] * OUT + out[seq[1:]]
 
-def windows(model: Model, vocabulary: Vocabulary, numbers: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    return _counted(ids, cells, IN * OUT).reshape(IN, OUT)
+
+
+def windows(model: Model, texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     """Context classes and goal classes (-1: none) of consecutive windows of 2 * HALF ids over the whole texts:
     each id and end token is a goal once."""
-    ids, ends = vocabulary.arrays()
-    width, end = 2 * HALF, np.array([vocabulary.size])
-    texts = [np.concatenate((end, expand(some, ids, ends), end)) for some in numbers]
+    width, end = 2 * HALF, np.array([len(model.into) - 1])
+    texts = [np.concatenate((end, some, end)) for some in texts]
     stops = np.cumsum([-(-(len(seq) - 1) // width) for seq in texts]) * width
     x, y = np.full(stops[-1], _PAD, np.int64), np.full(stops[-1], -1, np.int64)
     for seq, start in zip(texts, [0, *stops[:-1]]):
@@ -326,24 +387,22 @@ def windows(model: Model, vocabulary: Vocabulary, numbers: list[np.ndarray]) ->
     return x.reshape(-1, width), y.reshape(-1, width)
 
 
-def _train_round(docs: DataFrame, model: Model, round_: int, rate: float = 0.02, batch_rows: int = 64) -> list[np.ndarray]:
+def _train_round(ids: DataFrame, model: Model, round_: int, rate: float = 0.02, batch_rows: int = BATCH) -> list[np.ndarray]:
     """Parameters after local steps on all windows of each partition, averaged by tokens."""
-    sent = docs.sparkSession.sparkContext.broadcast(model)
+    sent = ids.sparkSession.sparkContext.broadcast(model)
     shapes = [p.shape for p in model.parameters()]
 
     def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = sent.value
-        vocabulary = Vocabulary(model.tokenizer, [])
         parameters = [p.copy() for p in model.parameters()]
-        model.q, model.k, model.v, model.bias, model.u = parameters
+        model.q, model.k, model.v, model.bias, model.u, model.u_top = parameters
         m, s = [np.zeros_like(p) for p in parameters], [np.zeros_like(p) for p in parameters]
         rng = np.random.default_rng(round_)
         step, tokens = 0, 0
         x = y = np.zeros((0, 2 * HALF), np.int64)  # windows that wait for a full batch
         for batch in batches:
-            texts = column_bytes(batch)
-            for at in range(0, len(texts), GROUP):
-                more_x, more_y = windows(model, vocabulary, [vocabulary.numbers(_words(t)) for t in texts[at : at + GROUP]])
+            for at in range(0, batch.num_rows, GROUP):
+                more_x, more_y = windows(model, _id_lists(batch.slice(at, GROUP), len(model.into) - 1))
                 x, y = np.concatenate((x, more_x)), np.concatenate((y, more_y))
                 order = rng.permutation(len(x))  # a batch of windows of many texts
                 full = len(x) - len(x) % batch_rows
@@ -351,7 +410,6 @@ def _train_round(docs: DataFrame, model: Model, round_: int, rate: float = 0.02,
                     some = order[start : start + batch_rows]
                     step, tokens = _step(model, parameters, m, s, x[some], y[some], step, tokens, rate)
                 x, y = x[order[full:]], y[order[full:]]
-                vocabulary.trim()
         if len(x):
             step, tokens = _step(model, parameters, m, s, x, y, step, tokens, rate)
         flat = np.concatenate([p.ravel() for p in parameters]).astype(np.float64)
@@ -360,8 +418,8 @@ def _train_round(docs: DataFrame, model: Model, round_: int, rate: float = 0.02,
             ["at", "value", "weight"],
         )
 
-    rows = shipped(docs.select("text")).mapInArrow(train, "at int, value double, weight long")
-    mean = (F.sum("value") / F.sum("weight")).alias("value")
+    rows = shipped(ids.select("ids")).mapInArrow(train, "at int, value double, weight long")
+    mean = F.try_divide(F.sum("value"), F.sum("weight")).alias("value")  # null without training ids
     found = rows.groupBy("at").agg(mean).collect()  # one row per parameter
     flat = np.concatenate([p.ravel() for p in model.parameters()]).astype(np.float64)
     for row in found:
@@ -387,95 +445,101 @@ def _step(model, parameters, m, s, x, y, step, tokens, rate) -> tuple[int, int]:
     return step, tokens + int((y >= 0).sum())
 
 
-def fit(docs: DataFrame, learn: Column, tokenizer: bytes) -> tuple[Model, DataFrame, int, int]:
-    """The model, the count table (word, c), the number of training tokens and of distinct ones."""
-    training = docs.where(learn)
-    counts = written(_word_counts(training), "lm-words")
+def fit(docs: DataFrame, learn: Column, tokenizer: bytes, ids: DataFrame | None = None) -> tuple[Model, DataFrame, int, int]:
+    """The model, the count table (word, c), the number of training tokens and of distinct ones. ``ids`` is what
+    ``encode`` gave for the same rows, if it is there already."""
+    training = (encode(docs, learn, tokenizer) if ids is None else ids).where("learn")
+    counts = written(_word_counts(docs.where(learn)), "lm-words")
     total = counts.agg(F.sum("c").alias("n"), F.count("*").alias("v")).first()
-    top = counts.where(F.col("word") != F.lit(END).cast("binary")).orderBy(F.desc("c"), "word").limit(FREQUENT).collect()
+    top = counts.where(F.col("word") != F.lit(END).cast("binary")).where(F.length("word") <= LONGEST)
+    top = top.orderBy(F.desc("c"), "word").limit(FREQUENT).collect()
     size = sentencepiece.SentencePieceProcessor(model_proto=tokenizer).vocab_size()
-    into, out, emission = class_tables(_id_counts(counts, tokenizer, size))
+    into, out, emission = class_tables(_id_counts(training, size))
     rng = np.random.default_rng(11)
     table = lambda scale: (rng.standard_normal((IN + 1, WIDTH)) * scale).astype(np.float32)
     model = Model(
         tokenizer, [bytes(r.word) for r in top], np.array([r.c for r in top], np.int64), into, out, emission,
         np.full((IN + 1, OUT), 1 / OUT, np.float32), table(0.3), table(0.3), table(0.3),
-        np.zeros(2 * HALF, np.float32), np.zeros((WIDTH, OUT), np.float32),
+        np.zeros(2 * HALF, np.float32), np.zeros((WIDTH, OUT), np.float32), np.zeros((WIDTH, GROUPS), np.float32),
     )
-    pairs = _bigrams(training, docs.sparkSession.sparkContext.broadcast(model))
+    pairs = _bigrams(training, model)
     alone = (pairs.sum(axis=0) + 0.5) / (pairs.sum() + 0.5 * OUT)
     model.bigram[:IN] = (pairs + 8 * alone) / (pairs.sum(axis=1, keepdims=True) + 8)
+    model.top = model.group_weights()
     for round_ in range(ROUNDS):
-        model.q, model.k, model.v, model.bias, model.u = _train_round(training, model, round_, 0.02 / (1 + round_))
+        trained = _train_round(training, model, round_, 0.02 / (1 + round_))
+        model.q, model.k, model.v, model.bias, model.u, model.u_top = trained
     # x is a mean of rows of V U, so this keeps 1 + x / 16 positive.
-    model.u *= np.float32(min(1.0, 14 / max(1e-9, np.abs(model.v @ model.u).max())))
+    for u in (model.u, model.u_top):
+        u *= np.float32(min(1.0, 14 / max(1e-9, np.abs(model.v @ u).max())))
     return model, counts, int(total.n or 0), int(total.v or 0)
 
 
-def score(docs: DataFrame, model: Model, counts: DataFrame, n: int, v: int) -> DataFrame:
-    """doc_id, n_tokens, n_known, train_tokens, base_score and score of every row."""
-    sent = docs.sparkSession.sparkContext.broadcast(model)  # bounded: FREQUENT words, the vocabulary's tables
-    schema = "d long, doc_id long, n_tokens long, n_known long, base double, score double, word binary, times long"
+def model_scores(ids: DataFrame, model: Model) -> DataFrame:
+    """d, e and the model's score of every row of ``encode``."""
+    sent = ids.sparkSession.sparkContext.broadcast(model)  # bounded: FREQUENT words, the vocabulary's tables
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = sent.value
-        vocabulary = Vocabulary(model.tokenizer, model.frequent)
-        log_counts = np.log10(model.counts + 1.0)
-        end = np.array([vocabulary.size])
+        end = np.array([len(model.into) - 1])
         for batch in batches:
-            texts, keys, doc_ids = column_bytes(batch), batch.column("d").to_numpy(), batch.column("doc_id").to_pylist()
-            for at in range(0, len(texts), GROUP):
-                numbers = [vocabulary.numbers(_words(t)) for t in texts[at : at + GROUP]]
-                ids, ends = vocabulary.arrays()
-                scores = score_ids(model, [np.concatenate((expand(x, ids, ends), end)) for x in numbers])
-                known = [x[x < vocabulary.fixed] for x in numbers]
-                rare = [np.unique(x[x >= vocabulary.fixed], return_counts=True) for x in numbers]
-                m = len(numbers)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(keys[at : at + m]),
-                        pa.array(doc_ids[at : at + m], pa.int64()),
-                        pa.array([len(x) + 1 for x in numbers], pa.int64()),
-                        pa.array([len(x) for x in known], pa.int64()),
-                        pa.array([float(log_counts[x].sum()) for x in known]),
-                        pa.array(scores),
-                        pa.nulls(m, pa.binary()),
-                        pa.nulls(m, pa.int64()),
-                    ],
-                    schema_names,
-                )
-                words = [vocabulary.names[i] for x, _ in rare for i in x.tolist()]
-                if words:
-                    r = len(words)
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array(np.repeat(keys[at : at + m], [len(x) for x, _ in rare])),
-                            *(pa.nulls(r, t) for t in (pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64())),
-                            pa.array(words, pa.binary()),
-                            pa.array(np.concatenate([c for _, c in rare]).astype(np.int64)),
-                        ],
-                        schema_names,
-                    )
-                vocabulary.trim()
+            for at in range(0, batch.num_rows, GROUP):
+                part = batch.slice(at, GROUP)
+                found = score_ids(model, [np.concatenate((x, end)) for x in _id_lists(part, len(model.into) - 1)])
+                yield pa.RecordBatch.from_arrays([part.column("d"), part.column("e"), pa.array(found)], ["d", "e", "score"])
 
-    schema_names = [x.split()[0] for x in schema.split(", ")]
-    keyed = docs.select(F.col("doc_id").cast("long"), "text").withColumn("d", F.xxhash64("doc_id", "text"))
-    rows = written(shipped(keyed).mapInArrow(run, schema), "lm-scored")
+    return shipped(ids.select("d", "e", "ids")).mapInArrow(run, "d long, e long, score double")
+
+
+def score(docs: DataFrame, model: Model, counts: DataFrame, n: int, v: int, ids: DataFrame | None = None) -> DataFrame:
+    """doc_id, n_tokens, n_known, train_tokens, base_score and score of every row."""
+    if ids is None:
+        ids = encode(docs, F.lit(True), model.tokenizer)
+    sent = docs.sparkSession.sparkContext.broadcast((model.frequent, model.counts))  # bounded: FREQUENT words of LONGEST bytes
+    schema = "d long, e long, doc_id long, n_tokens long, n_known long, base double, word binary, times long"
+    names = [x.split()[0] for x in schema.split(", ")]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        frequent = dict(zip(sent.value[0], np.log10(sent.value[1] + 1.0).tolist()))
+        for batch in batches:
+            texts, d, e = column_bytes(batch), batch.column("d").to_numpy(), batch.column("e").to_numpy()
+            for at in range(0, len(texts), GROUP):
+                part = slice(at, min(at + GROUP, len(texts)))
+                totals, known, bases, rare, owners = [], [], [], [], []
+                for i, text in enumerate(texts[part], at):
+                    seen = Counter(_words(text))
+                    other = [w for w in seen if w not in frequent]
+                    rare += [(w, seen.pop(w)) for w in other]
+                    owners += [i] * len(other)
+                    counts = list(seen.values())
+                    known.append(sum(counts))
+                    totals.append(known[-1] + sum(c for _, c in rare[len(rare) - len(other) :]) + 1)
+                    bases.append(float(sum(c * frequent[w] for w, c in seen.items())))
+                m, r = part.stop - at, len(rare)
+                whole = [d[part], e[part], batch.column("doc_id").slice(at, m), totals, known, bases, pa.nulls(m, pa.binary()), pa.nulls(m, pa.int64())]
+                yield _arrays(whole, names)
+                if rare:
+                    words, times = zip(*rare)
+                    none = [pa.nulls(r, t) for t in (pa.int64(), pa.int64(), pa.int64(), pa.float64())]
+                    yield _arrays([d[owners], e[owners], *none, pa.array(words, pa.binary()), pa.array(times, pa.int64())], names)
+
+    rows = written(shipped(_keyed(docs)).mapInArrow(run, schema), "lm-scored")
     texts = rows.where("word is null")
     # Words beyond the frequent ones that training has; the others count as 0, which adds log10(1).
     rare = (
         rows.where("word is not null")
-        .select("d", "word", "times")
+        .select("d", "e", "word", "times")
         .join(counts, "word")
-        .groupBy("d")
+        .groupBy("d", "e")
         .agg(F.sum("times").alias("rare_known"), F.sum(F.col("times") * F.log10(F.col("c") + 1.0)).alias("rare_base"))
     )
-    same = texts.groupBy("d").agg(F.count("*").alias("copies"))  # repeated rows bring their words each
-    sums = same.join(rare, "d", "left")
+    same = texts.groupBy("d", "e").agg(F.count("*").alias("copies"))  # repeated rows bring their words each
+    scores = model_scores(ids, model).groupBy("d", "e").agg(F.min("score").alias("score"))
+    sums = same.join(rare, ["d", "e"], "left").join(scores, ["d", "e"])
     end = float(counts.where(F.col("word") == F.lit(END).cast("binary")).agg(F.sum("c")).first()[0] or 0)
     base = F.col("base") + F.coalesce(F.col("rare_base") / F.col("copies"), F.lit(0.0)) + float(np.log10(end + 1))
     known = F.col("n_known") + F.coalesce(F.col("rare_known") / F.col("copies"), F.lit(0)) + (1 if end else 0)
-    return texts.join(sums, "d").select(
+    return texts.join(sums, ["d", "e"]).select(
         "doc_id",
         "n_tokens",
         known.cast("long").alias("n_known"),
@@ -483,3 +547,7 @@ def score(docs: DataFrame, model: Model, counts: DataFrame, n: int, v: int) -> D
         (base - F.col("n_tokens") * float(np.log10(n + v + 1))).alias("base_score"),
         "score",
     )
+
+
+def _arrays(columns: list, names: list[str]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c) for c in columns], names)

@@ -80,7 +80,8 @@ def op7_decontamination(spark: SparkSession, sf: str) -> DataFrame:
 def op8_lm_scoring(spark: SparkSession, sf: str) -> DataFrame:
     docs, remainder = _table(spark, sf, "documents"), crc_mod("doc_id", 7)
     model = Path(public_tokenizers.path("piece_bpe_32k.model")).read_bytes()
-    return lm.score(docs, *lm.fit(docs, remainder != 2, model)).withColumn("held_out", remainder == 2)
+    ids = lm.encode(docs, remainder != 2, model)
+    return lm.score(docs, *lm.fit(docs, remainder != 2, model, ids), ids).withColumn("held_out", remainder == 2)
 
 
 @registered

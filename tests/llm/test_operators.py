@@ -479,7 +479,7 @@ def test_lm_trains_on_every_id_of_a_long_text(spark, monkeypatch):
     vocabulary = lm.Vocabulary(MODEL, [])
     words = vocabulary.numbers(lm._words(text.encode()))
     ids = lm.expand(words, *vocabulary.arrays())
-    x, y = lm.windows(model, vocabulary, [words, words[:0]])
+    x, y = lm.windows(model, [ids, ids[:0]])
     assert np.array_equal(y[y >= 0], model.out[[*ids, vocabulary.size, vocabulary.size]])
     assert np.array_equal(x[y >= 0], model.into[[vocabulary.size, *ids, vocabulary.size]])
     monkeypatch.setattr(lm, "ROUNDS", 0)
@@ -496,6 +496,7 @@ def small_model(seed: int = 0) -> lm.Model:
     return lm.Model(
         MODEL, [], np.zeros(0, np.int64), into, out, emission, bigram, table(), table(), table(),
         rng.standard_normal(2 * lm.HALF).astype(np.float32) * 0.1, rng.standard_normal((lm.WIDTH, lm.OUT)).astype(np.float32) * 0.3,
+        rng.standard_normal((lm.WIDTH, lm.GROUPS)).astype(np.float32) * 0.3,
     )
 
 
@@ -509,8 +510,13 @@ def test_windows_score_each_token_once_like_a_plain_loop():
             keys = model.into[seq[first:t]]
             s = model.k[keys] @ model.q[keys[-1]] / np.sqrt(lm.WIDTH) + model.bias[np.arange(len(keys))[::-1]]
             a = np.exp(s - s.max())
-            w = model.bigram[keys[-1]] * (1 + (a / a.sum()) @ model.v[keys] @ model.u / 16) ** 16
-            total += np.log(w[model.out[seq[t]]] / w.sum()) + model.emission[seq[t]]
+            context, goal = (a / a.sum()) @ model.v[keys], model.out[seq[t]]
+            shares = model.bigram[keys[-1]].reshape(lm.GROUPS, lm.PER_GROUP)
+            w = shares.sum(axis=1) * (1 + context @ model.u_top / 16) ** 16
+            g, own = divmod(goal, lm.PER_GROUP)
+            total += np.log(w[g] / w.sum()) + model.emission[seq[t]]
+            w = shares[g] * (1 + context @ model.u.reshape(lm.WIDTH, lm.GROUPS, -1)[:, g] / 16) ** 16
+            total += np.log(w[own] / w.sum())
         assert got == pytest.approx(total / np.log(10), rel=1e-4)
 
 
@@ -520,7 +526,8 @@ def test_gradients_match_finite_differences():
     x[0, :5] = lm._PAD
     y = rng.integers(0, lm.OUT, x.shape)
     y[1, 20:] = -1
-    for name in ("q", "k", "v", "bias", "u", "bigram"):
+    y[0, :5] = -1  # padding has no goal
+    for name in ("q", "k", "v", "bias", "u", "u_top", "bigram"):
         setattr(model, name, getattr(model, name).astype(np.float64))
     _, grads = lm.gradient(model, x, y)
     for p, g in zip(model.parameters(), grads):
