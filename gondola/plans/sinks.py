@@ -5,9 +5,11 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable, Sequence
 from datetime import date, timedelta
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from gondola.folders import Folder
 from gondola.schema import DATE, RAW_TABLES
@@ -189,29 +191,93 @@ def upsert_frames(target: DataFrame, batch: DataFrame, keys: Sequence[str]) -> D
     return t.join(b, same, "left_anti").select(*target.columns).unionByName(batch.select(*target.columns))
 
 
+def files_with_keys(target: DataFrame, batch: DataFrame, keys: Sequence[str]) -> list[str]:
+    """The files of ``target`` that hold a key of the batch. Reads the key columns only; one name per file."""
+    t, b = target.select(*keys, F.col("_metadata.file_path").alias("_file")).alias("t"), batch.select(*keys).distinct().alias("b")
+    same = F.lit(True)
+    for k in keys:
+        same = same & F.col(f"t.{k}").eqNullSafe(F.col(f"b.{k}"))
+    return sorted(r[0] for r in t.join(b, same, "left_semi").select("_file").distinct().collect())
+
+
+JOURNAL = "_pending"
+
+
+def finish_pending(spark: SparkSession, path: str) -> None:
+    """Carries out what an interrupted upsert had decided: new files in, replaced files out. Running it twice is safe."""
+    journal = Folder(spark, f"{path}/{JOURNAL}")
+    if not journal.exists():
+        return
+    lines = [line.split("\t") for line in journal.read_text().splitlines()]
+    for action, source, target in lines:
+        if action == "move" and (file := Folder(spark, source)).exists():
+            file.move_to(Folder(spark, target))
+    for action, source, _ in lines:
+        if action == "delete":
+            Folder(spark, source).delete()
+    journal.delete()
+
+
 def upsert(batch: DataFrame, path: str, keys: Sequence[str], table: str = "") -> None:
-    """Upsert into a date-partitioned table, touching only the dates of the batch.
+    """Upsert into a date-partitioned table that rewrites only the files that hold a key of the batch.
 
-    The batch is written to staging first: it is computed once, and neither the join
-    nor a retry reads rows that the overwrite is about to replace from the batch side.
+    The batch is written to staging first: it is computed once. Files of its dates that hold none of its keys
+    stay as they are; the others are written anew without those keys, beside the batch. A small journal then names
+    the files that come and go; once it is there the upsert is carried out, if need be by the next one.
     """
     spark = batch.sparkSession
     if not Folder(spark, path).exists():
         replace_days(batch, path, table)
         return
+    finish_pending(spark, path)
     staging = Folder(spark, f"{path}/.staging-{uuid.uuid4().hex}")
     try:
-        batch.write.partitionBy(DATE).parquet(staging.path)
-        staged = spark.read.schema(batch.schema).parquet(staging.path)
+        batch.write.partitionBy(DATE).parquet(staging.child("batch").path)
+        staged = spark.read.schema(batch.schema).parquet(staging.child("batch").path)
         # One value per date of the batch, read from folder names: literals prune the target.
-        names = date_folders(staging)
+        names = date_folders(staging.child("batch"))
         if NO_DATE in names:
             raise ValueError(f"rows of the batch have no {DATE}")
         days = [date.fromisoformat(d) for d in names]
-        touched = spark.read.schema(batch.schema).parquet(path).filter(F.col(DATE).isin(days))
-        replace_days(upsert_frames(touched, staged, keys), path, table)
+        target = spark.read.schema(batch.schema).parquet(path).filter(F.col(DATE).isin(days))
+        hit = files_with_keys(target, staged, keys) if days else []
+        rows = staged
+        if hit:
+            held = spark.read.schema(batch.schema).option("basePath", path).parquet(*map(_plain, hit))
+            rows = upsert_frames(held, staged, keys)
+        new = staging.child("new")
+        replace_days(rows, new.path, table)
+        moves = [
+            ("move", new.child(folder, file).path, f"{path}/{folder}/{file}")
+            for folder in new.children()
+            if folder.startswith(f"{DATE}=")
+            for file in new.child(folder).children()
+            if file[0] not in "._"
+        ]
+        lines = moves + [("delete", _plain(file), "") for file in hit]
+        if lines:
+            Folder(spark, f"{path}/{JOURNAL}").write_text("".join("\t".join(x) + "\n" for x in lines))
+            finish_pending(spark, path)
     finally:
-        staging.delete()
+        if not Folder(spark, f"{path}/{JOURNAL}").exists():
+            staging.delete()
+
+
+def _plain(uri: str) -> str:
+    """A file address without its escapes."""
+    return unquote(uri)
+
+
+def compact_days(spark: SparkSession, path: str, schema: T.StructType, table: str = "", most_files: int = 8) -> list[str]:
+    """Rewrites the dates that many upserts have left in more than ``most_files`` files; returns those dates."""
+    finish_pending(spark, path)
+    folder = Folder(spark, path)
+    names = [d for d in date_folders(folder) if d != NO_DATE]
+    many = [d for d in names if sum(f[0] not in "._" for f in folder.child(f"{DATE}={d}").children()) > most_files]
+    if many:
+        rows = spark.read.schema(schema).parquet(path).filter(F.col(DATE).isin([date.fromisoformat(d) for d in many]))
+        replace_days(rows, path, table)
+    return many
 
 
 # --- retention --------------------------------------------------------------
