@@ -13,18 +13,18 @@ The fit uses a bounded sample of labelled rows: about ``per_language`` documents
 picked by a hash of the id. Prediction reads every whole text in place, without a shuffle.
 
 Edge cases: null text and text without a letter are ``und`` with score 0 and rejected; without any
-labelled row everything is ``und``; repeated rows are predicted each; an empty table gives no rows;
+labelled row every prediction is ``und`` and nothing is rejected, as nothing is known of any language; repeated rows are predicted each; an empty table gives no rows;
 lang and source never enter a prediction.
 """
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -41,7 +41,7 @@ DISTINCT = 100  # distinct n-grams from which the thresholds of the bands hold
 BANDS = 6
 BAND_SLACK = 0.65
 BAND_LEAST = 20  # texts of a band that make a threshold
-_LETTER = re.compile(r"[^\W\d_]")
+_LETTER = regex.compile(r"\p{L}")  # Unicode letters only: no fractions, circled or Roman numerals
 _FOLD = np.array([c + 32 if 65 <= c <= 90 else c if c >= 128 or 97 <= c <= 122 else 32 for c in range(256)], np.uint32)
 
 
@@ -155,7 +155,10 @@ def fit(docs: DataFrame, learn: Column, per_language: int = PER_LANGUAGE, centro
 
 
 def keep_identified(docs: DataFrame, model: Model | None) -> DataFrame:
-    """The rows of docs, all columns, that are not rejected. Rows are filtered where they are read."""
+    """The rows of docs, all columns, that are not rejected; all of them without a model. Rows are filtered where
+    they are read."""
+    if model is None:
+        return docs
     sent = docs.sparkSession.sparkContext.broadcast(model)
     columns = docs.columns
 
@@ -164,7 +167,7 @@ def keep_identified(docs: DataFrame, model: Model | None) -> DataFrame:
         for batch in batches:
             kept = np.zeros(batch.num_rows, bool)
             texts = column_bytes(batch)
-            rows = [i for i, t in enumerate(texts) if _LETTER.search(t.decode(errors="replace"))] if model else []
+            rows = [i for i, t in enumerate(texts) if _LETTER.search(t.decode(errors="replace"))]
             for start in range(0, len(rows), BLOCK):
                 some = rows[start : start + BLOCK]
                 tf = np.stack([counts(texts[i]) for i in some])
@@ -184,7 +187,7 @@ def predict(docs: DataFrame, model: Model | None) -> DataFrame:
             texts = column_bytes(batch)
             n = len(texts)
             lang, score = np.full(n, "und", object), np.zeros(n)
-            near, rejected = np.zeros(n), np.ones(n, bool)
+            near, rejected = np.zeros(n), np.full(n, model is not None)
             with_letter = [i for i, t in enumerate(texts) if _LETTER.search(t.decode(errors="replace"))] if model else []
             for start in range(0, len(with_letter), BLOCK):
                 rows = with_letter[start : start + BLOCK]

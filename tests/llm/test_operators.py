@@ -216,10 +216,33 @@ def test_language(docs, nothing):
     assert kept == {i for i, rows in got.items() if not rows[0][2]}
     assert language.keep_identified(docs, model).columns == docs.columns
     assert language.fit(nothing, F.lit(True)) is None
-    assert {r.lang_pred for r in language.predict(docs, None).collect()} == {"und"}
+    assert {(r.lang_pred, r.rejected) for r in language.predict(docs, None).collect()} == {("und", False)}
+    assert language.keep_identified(docs, None).count() == len(DOCS)
     assert language.predict(nothing, model).count() == 0
 
 
+def test_numbers_that_are_no_letters_have_no_language(spark, docs):
+    model = language.fit(docs, F.lit(True))
+    texts = ["½ ①", "² Ⅷ ٣", "12 ㉈ _", "ª", "日", "½ x"]
+    got = [r.lang_pred != "und" for r in language.predict(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), model).orderBy("doc_id").collect()]
+    assert got == [False, False, False, True, True, True]
+
+
+def test_the_nearest_centroid_is_the_one_brute_force_finds(docs):
+    model = language.fit(docs, F.lit(True))
+    got = {r.doc_id: (r.lang_pred, r.similarity) for r in language.predict(docs, model).collect()}
+    for i, text, *_ in DOCS:
+        if text and re.search("[a-z]", text):
+            tf = language.counts(text.encode())
+            x = [math.log1p(n) * w for n, w in zip(tf.tolist(), model.idf.tolist())]
+            size = math.sqrt(sum(v * v for v in x))
+            near = [sum(a * b for a, b in zip(x, c)) / size for c in model.centroids.tolist()]
+            best = max(range(len(near)), key=near.__getitem__)
+            assert got[i][1] == pytest.approx(near[best], abs=1e-5)
+            rival = max((s for s, o in zip(near, model.owner) if o != model.owner[best]), default=-1)
+            assert got[i][0] == model.languages[model.owner[best]] or near[best] - rival < 1e-5
+
+
 def test_far_text_is_rejected(spark, docs):
     model = language.fit(docs, F.lit(True))
     noise = " ".join(random.Random(1).choice("QZXJKVW") * 3 + "%$" + str(i) for i in range(400))
@@ -599,6 +622,42 @@ def test_neighbours_equal_brute_force(spark, shard_rows, block):
     assert neighbours.search(df, df.where("vec_id < 3"), k=5).where("query_id = 0").count() == 2
 
 
+def exact_neighbours(rows, queries, k) -> dict:
+    """Ids and cosines by a fixed order of summation, one pair at a time; ties by id."""
+    def cosine(a, b):
+        a, b = (neighbours.scaled(np.array([x]))[0] for x in (a, b))
+        return (a * b).sum() / (np.sqrt((a * a).sum()) * np.sqrt((b * b).sum()))
+
+    return {q: [(i, min(1.0, max(-1.0, -s))) for s, i in sorted((-cosine(v, w), i) for i, w in rows if i != q)[:k]] for q, v in queries.items()}
+
+
+@pytest.mark.parametrize("shard_rows, block", [(100_000, 5_000), (37, 2)])
+def test_exact_copies_and_repeated_ids_rank_exactly(spark, shard_rows, block):
+    rng = np.random.default_rng(5)
+    base = rng.standard_normal((40, 16)).astype(np.float32).astype(float).tolist()
+    rows = [(i, base[int(rng.integers(40))]) for i in rng.permutation(400).tolist()]  # about ten copies each
+    rows += [rows[7], rows[7], (8, base[3]), (16, [x * 3 for x in base[5]]), (1000, base[1])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").withColumns({c: F.lit("x") for c in ("id", "v", "width", "blob", "bucket", "score", "tree")})
+    got = defaultdict(list)
+    for r in neighbours.search(df.where("vec_id % 8 = 0"), df.repartition(5), shard_rows=shard_rows, block=block).orderBy("query_id", "rank").collect():
+        got[r.query_id].append((r.vec_id, r.score))
+    queries = {}
+    for i, v in sorted(rows):
+        if i % 8 == 0:
+            queries.setdefault(i, v)
+    assert got == exact_neighbours(rows, queries, 5)
+
+
+def test_vectors_are_shuffled_at_most_once(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "v")
+    spark.createDataFrame([(i, [float(i), 1.0]) for i in range(1, 500)], "vec_id long, embedding array<double>").write.parquet(path)
+    df, plans = spark.read.parquet(path), []
+    write = neighbours.written
+    monkeypatch.setattr(neighbours, "written", lambda rows, purpose: plans.append(rows._jdf.queryExecution().executedPlan().toString()) or write(rows, purpose))
+    neighbours.search(df.where("vec_id % 50 = 0"), df, shard_rows=50, block=3).count()
+    assert len(plans) == 3 and "Exchange" not in plans[0] and sum("REPARTITION_BY" in p for p in plans) == 1
+
+
 def test_a_larger_factor_searches_less_and_recalls_less():
     rng = np.random.default_rng(3)
     unit = rng.standard_normal((2000, 6))
