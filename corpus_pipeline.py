@@ -1,4 +1,11 @@
-"""From raw documents to a training mixture: five stages, each written as Parquet and read again."""
+"""From raw documents to a training mixture: five stages, each written as Parquet and read again.
+
+Edge cases: null and empty texts and texts without a letter are rejected by the language stage; without any
+labelled document it rejects none. Rows with a null id are judged by their text; rows of one id with different texts
+are documents of their own, equal rows count as one from the second stage on. Null and empty benchmark items
+match nothing. A null source is a source. Further columns are kept as they are, whatever their names; an empty
+table stays empty. A stage that failed is run again from what the one before wrote.
+"""
 
 from __future__ import annotations
 
