@@ -104,7 +104,9 @@ def _raw_bindings() -> dict[str, str]:
     from gondola.schema import RAW_COLUMNS
 
     merchant = {
-        "id_comercio": "CASE WHEN s_acctbal < 500 THEN CAST(n_regionkey AS STRING) || '.0' "
+        # One nation declares no merchant in 1996: its stores of that year have none.
+        "id_comercio": "CASE WHEN s_nationkey = 7 AND y = 1996 THEN '' "
+        "WHEN s_acctbal < 500 THEN CAST(n_regionkey AS STRING) || '.0' "
         "WHEN s_acctbal > 9500 THEN '' ELSE ' ' || CAST(n_regionkey AS STRING) END",
         "id_bandera": "CASE WHEN s_acctbal > 9000 THEN 'x' ELSE CAST(s_nationkey AS STRING) || '.0' END",
         "comercio_cuit": "'30' || CAST(n_nationkey AS STRING)",

@@ -504,6 +504,12 @@ FROM children GROUP BY 1""",
     "bronze_build": f"""
 SELECT package, child, {_null_text(RAW_COLUMNS["productos"])} FROM children
 JOIN child_products ON s = s_suppkey AND d = y WHERE ok""",
+    "bronze_build_all": f"""
+SELECT 'comercio' AS tabla, make_date(y::INT, 1, 1) AS {DATE}, SUM(CASE WHEN undated THEN 1 ELSE 2 END)::BIGINT AS filas,
+       COUNT(*) AS banderas FROM children WHERE ok GROUP BY y
+UNION ALL SELECT 'sucursales', make_date(y::INT, 1, 1), COUNT(*), COUNT(*) FROM children WHERE ok GROUP BY y
+UNION ALL SELECT 'productos', make_date(y::INT, 1, 1), COUNT(*), COUNT(id_bandera) FROM children
+JOIN child_products ON s = s_suppkey AND d = y WHERE ok GROUP BY y""",
     "audit_bronze": f"""
 SELECT v.{DATE}, 'bronze_' || t AS table_type, n AS csv_row_count, CAST(w AS INTEGER) AS csv_column_count,
        n AS parquet_row_count, 'masters' AS raw_zip_path, 'bronze/' || t AS parquet_path, malformed AS malformed_zips_count,

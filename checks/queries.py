@@ -789,6 +789,25 @@ def bronze_build(spark, sf):
     return spark.read.schema(rows.schema).parquet(path)
 
 
+@registered
+def bronze_build_all(spark, sf):
+    """All three tables of all archives, committed as one range of days and read back."""
+    path = scratch_dir(spark, "build-all")
+    year = F.regexp_extract("child", r"child_([0-9]{4})", 1)
+    frames = {}
+    for t in RAW_TABLES:
+        rows = archives.table_rows(archives.member_lines(_children(spark, sf), (t,)), t)
+        frames[t] = rows.withColumn(DATE, F.make_date(year.cast("int"), F.lit(1), F.lit(1))).select(*raw_columns(t), DATE)
+    sinks.write_bronze_range(frames, path)
+    counted = [
+        daily.bronze_rows(spark, path, t, FIRST_DAY, LAST_DAY)
+        .groupBy(F.lit(t).alias("tabla"), DATE)
+        .agg(F.count("*").alias("filas"), F.count("id_bandera").alias("banderas"))
+        for t in RAW_TABLES
+    ]
+    return counted[0].unionByName(counted[1]).unionByName(counted[2])
+
+
 @registered
 def audit_bronze(spark, sf):
     """Audit rows of all days: what was read, what was written, and the package counters."""
