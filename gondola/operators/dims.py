@@ -11,7 +11,7 @@ from gondola.schema import DATE, MERCHANT_KEYS, PRODUCT_KEYS, STORE_CURRENT_KEYS
 
 
 def current(snapshots: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return latest_per_key(snapshots, keys, [DATE])
+    return latest_per_key(snapshots, keys, [DATE], few_keys=True)
 
 
 def comercios_current(snapshots: DataFrame) -> DataFrame:

@@ -1,6 +1,11 @@
 """The check data's own jobs: what they may send to the driver."""
 
+from datetime import date
+
+from pyspark.sql import functions as F
+
 from checks.queries import master_archives
+from gondola.operators import dims
 
 SF = "/root/testdata/sf0.001"
 
@@ -9,3 +14,25 @@ def test_archive_lines_are_never_broadcast(spark):
     plan = master_archives(spark, SF)._jdf.queryExecution().executedPlan().toString()
     joins = [x for x in plan.splitlines() if "Join [s_suppkey" in x]
     assert joins and all("SortMergeJoin" in x for x in joins), plan
+
+
+def test_a_newest_row_sorts_dealt_out_rows(spark, tmp_path):
+    """One file of one row group with few keys is many tasks' work, not one task's sort."""
+    path = str(tmp_path / "snapshots")
+    rows = spark.range(40_000).select(
+        (F.col("id") % 2).cast("string").alias("id_producto"),
+        F.xxhash64("id").alias("n"),
+        F.lit(date(2026, 1, 1)).alias("fecha_vigencia"),
+    )
+    rows.coalesce(1).write.parquet(path)
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64k")
+    try:
+        found = dims.productos_current(spark.read.parquet(path))
+        first = found.collect()
+        plan = found._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "128m")
+    least = rows.groupBy("id_producto").agg(F.min("n").alias("n")).collect()
+    assert {(r.id_producto, r.n) for r in first} == {(r.id_producto, r.n) for r in least}
+    below = plan[plan.rindex("WindowGroupLimit") :]  # what the cut before the key's shuffle reads
+    assert "Exchange hashpartitioning(_deal" in below and "REBALANCE" in below, plan
