@@ -4,6 +4,7 @@ from datetime import date
 
 from pyspark.sql import functions as F
 
+from checks import queries
 from checks.queries import master_archives
 from gondola.operators import dims
 
@@ -36,3 +37,19 @@ def test_a_newest_row_sorts_dealt_out_rows(spark, tmp_path):
     assert {(r.id_producto, r.n) for r in first} == {(r.id_producto, r.n) for r in least}
     below = plan[plan.rindex("WindowGroupLimit") :]  # what the cut before the key's shuffle reads
     assert "Exchange hashpartitioning(_deal" in below and "REBALANCE" in below, plan
+
+
+def test_store_queries_do_not_build_the_price_table(spark, monkeypatch):
+    built = []
+    given = queries.bind
+    monkeypatch.setattr(queries, "_written", {})
+    monkeypatch.setattr(queries, "bind", lambda s, sf, name: built.append(name) or given(s, sf, name))
+    assert queries.store_type_unknown(spark, SF).count() and queries.semi_stores(spark, SF).count()
+    assert sorted(built) == ["raw_comercio", "raw_sucursales"]
+
+
+def test_commits_and_the_stream_take_price_rows_from_the_source(spark, monkeypatch):
+    monkeypatch.setattr(queries, "_written", {})
+    assert queries.bronze_commit(spark, SF).count() == 3 and not queries._written
+    assert queries.QUERIES["stream_ingest"](spark, SF).count() == 7
+    assert {name for _, _, name in queries._written} == {"bronze-comercio", "bronze-sucursales"}
