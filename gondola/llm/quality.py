@@ -6,8 +6,10 @@ hashed words (log counts, length 1) and a few shares: symbols, digits, capitals,
 lines, lengths. The decision threshold is the quantile of the training scores at the share of label 0;
 a logistic curve maps it to ``CUT``.
 
-The fit uses a bounded sample: about ``per_class`` labelled documents of each class, picked by a
-hash of the id, and ``PAIRS`` pairs of them. Scoring reads every whole text in place, without a shuffle.
+The fit uses every labelled document. They are dealt to blocks of about ``BLOCK`` by a hash of the id; a task fits
+a block on ``PAIRS`` pairs in which each of its documents occurs, and the weights are the blocks' mean, by their
+documents. A block that holds one class only has no pairs. The threshold is an exact quantile of all their
+scores, found by counting in two steps. Scoring reads every whole text in place, without a shuffle.
 
 Edge cases: null text is empty and scored; labels that are null or have no document are left out; without
 both classes every score is 0.5; repeated rows are scored each; an empty table gives no rows.
@@ -22,10 +24,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gondola.llm.common import Spans, column_bytes, shipped
+from gondola.llm.common import Spans, column_bytes, shipped, written
 
 DIMS = 1024
-PER_CLASS = 2500
+BLOCK = 5000
 PAIRS = 40_000
 CUT = 0.3
 _BYTES = np.zeros((256, 6), np.float32)  # letter, capital, digit, space, line feed, symbol
@@ -64,19 +66,72 @@ def features(text: bytes) -> np.ndarray:
     return x
 
 
-def _sample(docs: DataFrame, labels: DataFrame, learn: Column, per_class: int) -> DataFrame:
-    known = labels.where(learn & F.col("quality").isin(0, 1)).select("doc_id", "quality").distinct()
-    share = known.groupBy("quality").count().select("quality", (F.lit(float(per_class)) / F.col("count")).alias("share"))
-    draw = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / float(1 << 30)
-    picked = known.join(F.broadcast(share), "quality").where(draw < F.col("share")).select("doc_id", "quality")
-    # About 2 * per_class rows, whatever the size of the labels: broadcast, so no text is shuffled.
-    return docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id")
+def _placed(docs: DataFrame, known: DataFrame, learn: Column, blocks: int) -> DataFrame:
+    """Texts and labels in one sorted stream a block: a document's labels come just before its texts. One shuffle."""
+    texts = docs.where(learn & F.col("doc_id").isNotNull()).select(
+        F.col("doc_id").cast("long"), "text", F.lit(None).cast("int").alias("quality")
+    )
+    rows = texts.unionByName(known.select("doc_id", F.lit(None).cast("string").alias("text"), "quality"))
+    block = F.pmod(F.xxhash64("doc_id"), F.lit(blocks)).cast("int")
+    placed = rows.withColumn("block", block).repartition(blocks, "block")
+    return placed.sortWithinPartitions("block", "doc_id", F.col("quality").isNull())
+
+
+LEARNED = "quality int, x binary, w binary, n long"
+
+
+def _learned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The features of every labelled document, and one row with the weights of each block."""
+    schema = pa.schema([("quality", pa.int32()), ("x", pa.binary()), ("w", pa.binary()), ("n", pa.int64())])
+
+    def fitted(rows: list[tuple[bytes, int]]) -> pa.RecordBatch:
+        rows.sort()
+        x = [r[0] for r in rows]
+        good = np.array([r[1] == 1 for r in rows], bool)
+        both = 0 < good.sum() < len(good)
+        w = [rank(np.frombuffer(b"".join(x), np.float32).reshape(len(x), -1), good).tobytes()] if both else []
+        none, n = [None] * len(x), len(w)
+        columns = ([r[1] for r in rows] + [None] * n, x + [None] * n, none + w, none + [len(x)] * n)
+        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
+
+    now, block, held, rows = None, None, [], []
+    for batch in batches:
+        ids, blocks, labels = (batch.column(c).to_pylist() for c in ("doc_id", "block", "quality"))
+        for i, text in enumerate(column_bytes(batch)):
+            if blocks[i] != block:
+                if rows:
+                    yield fitted(rows)
+                block, rows = blocks[i], []
+            if ids[i] != now:
+                now, held = ids[i], []
+            if labels[i] is not None:
+                held.append(labels[i])
+            elif held:
+                x = features(text).tobytes()
+                rows += [(x, label) for label in held]
+    if rows:
+        yield fitted(rows)
+
+
+def _kth(keys: DataFrame, k: int) -> int:
+    """The k-th smallest (from 1) of 32-bit integers: by the upper half's counts, then by the lower half's."""
+
+    def step(part: DataFrame, by: Column, k: int) -> tuple[int, int]:
+        for value, n in sorted(tuple(r) for r in part.groupBy(by.alias("v")).count().collect()):  # at most 65,536 rows
+            if k <= n:
+                return value, k
+            k -= n
+        raise ValueError("fewer values than k")
+
+    upper = F.shiftright("key", 16)
+    high, k = step(keys, upper, k)
+    return step(keys.where(upper == high), F.col("key"), k)[0]
 
 
 def rank(x: np.ndarray, good: np.ndarray, ridge: float = 1e-3, rounds: int = 400, seed: int = 7) -> np.ndarray:
     """Weights that make documents of label 1 score above those of label 0: gradient steps with momentum."""
     rng = np.random.default_rng(seed)
-    up, down = rng.choice(np.flatnonzero(good), PAIRS), rng.choice(np.flatnonzero(~good), PAIRS)
+    up, down = (rng.permutation(np.resize(rng.permutation(np.flatnonzero(c)), PAIRS)) for c in (good, ~good))
     scale = x.std(axis=0) + 1e-3
     z = (x / scale).astype(np.float32)
     z[:, :DIMS] = x[:, :DIMS] * 4
@@ -93,30 +148,28 @@ def rank(x: np.ndarray, good: np.ndarray, ridge: float = 1e-3, rounds: int = 400
     return out
 
 
-def fit(docs: DataFrame, labels: DataFrame, learn: Column, per_class: int = PER_CLASS) -> tuple[np.ndarray, float, float] | None:
+def fit(docs: DataFrame, labels: DataFrame, learn: Column) -> tuple[np.ndarray, float, float] | None:
     """Weights, the score at the cut, and the slope of the curve; None without both classes."""
+    known = labels.where(learn & F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull())
+    known = known.select(F.col("doc_id").cast("long"), F.col("quality").cast("int")).distinct()
+    blocks = max(1, -(-known.count() // BLOCK))
+    learned = written(shipped(_placed(docs, known, learn, blocks)).mapInArrow(_learned, LEARNED), "quality")
+    fits = learned.where("w IS NOT NULL").select("w", "n").collect()  # one row a block
+    if not fits:
+        return None
+    total = sum(r.n for r in fits)
+    parts = sorted((bytes(r.w), r.n) for r in fits)
+    w = sum(np.frombuffer(x, np.float32).astype(np.float64) * (n / total) for x, n in parts).astype(np.float32)
 
-    def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [features(t).tobytes() for t in column_bytes(batch)]
-            yield pa.RecordBatch.from_arrays([batch.column("quality"), pa.array(rows, pa.binary())], ["quality", "x"])
+            s = np.array([np.frombuffer(x, np.float32) @ w for x in batch.column("x").to_pylist()], np.float32).view(np.int32)
+            yield pa.RecordBatch.from_arrays([pa.array(np.where(s < 0, s ^ 0x7FFFFFFF, s))], ["key"])  # in the scores' order
 
-    classes = {r.quality: r["count"] for r in labels.where(learn & F.col("quality").isin(0, 1)).groupBy("quality").count().collect()}
-    sample = shipped(_sample(docs, labels, learn, per_class))
-    rows = sample.select(F.col("quality").cast("int"), "text").mapInArrow(vectors, "quality int, x binary").collect()
-    if len({r.quality for r in rows}) < 2:
-        return None
-    rows.sort(key=lambda r: bytes(r.x))
-    x = np.stack([np.frombuffer(r.x, np.float32) for r in rows])
-    good = np.array([r.quality == 1 for r in rows])
-    w = rank(x, good)
-    s = x @ w
-    # Each class counts as often as among the labels, not as in the balanced sample.
-    mass = np.where(good, classes[1] / good.sum(), classes[0] / (~good).sum())
-    order = np.argsort(s)
-    below = np.cumsum(mass[order]) / mass.sum()
-    cut = float(s[order][min(len(s) - 1, int(np.searchsorted(below, classes[0] / (classes[0] + classes[1]))))])
-    return w, cut, 1.0
+    scores = written(learned.where("x IS NOT NULL").select("x").mapInArrow(keys, "key int"), "quality-scores")
+    key = _kth(scores, learned.where("quality = 0").count())
+    cut = np.array(key if key >= 0 else key ^ 0x7FFFFFFF, np.int32).view(np.float32)
+    return w, float(cut), 1.0
 
 
 def score(docs: DataFrame, model: tuple[np.ndarray, float, float] | None) -> DataFrame:

@@ -592,6 +592,26 @@ def test_quality_ranks_held_out_documents(spark, docs, nothing):
     assert quality.score(nothing, model).count() == 0
 
 
+def test_quality_learns_from_every_labelled_document(spark, monkeypatch):
+    monkeypatch.setattr(quality, "BLOCK", 60)
+    rng = random.Random(3)
+    words = {1: ("the", "and", "of", "thering"), 0: ("the", "buy", "of", "click!")}
+    given = [(i, " ".join(rng.choice(words[int(i % 4 > 0)]) for _ in range(12))) for i in range(240)] + [(7, "a second text of the id")]
+    df = spark.createDataFrame([*given, (300, "no label"), (None, "no id")], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 4 > 0)) for i in range(240)] + [(8, 1), (999, 0)], "doc_id long, quality int")
+    parts = quality._placed(df, labels, F.lit(True), 4).mapInArrow(quality._learned, quality.LEARNED).collect()
+    learned = sorted((bytes(r.x), r.quality) for r in parts if r.x is not None)
+    twice = [(quality.features(t.encode()).tobytes(), 1) for i, t in given if i == 8]  # labelled both ways
+    assert learned == sorted([(quality.features(t.encode()).tobytes(), int(i % 4 > 0)) for i, t in given] + twice)
+    assert sum(r.n for r in parts if r.w is not None) == len(learned)
+    w, cut, _ = quality.fit(df, labels, F.lit(True))
+    scores = sorted(float(np.frombuffer(x, np.float32) @ w) for x, _ in learned)
+    assert cut == scores[sum(q == 0 for _, q in learned) - 1]
+    keys = [-5, 3, 3, 1 << 20, -(1 << 31), 70_000]
+    table = spark.createDataFrame([(k,) for k in keys], "key int")
+    assert [quality._kth(table, i + 1) for i in range(len(keys))] == sorted(keys)
+
+
 def vectors() -> list[tuple]:
     rng = np.random.default_rng(12)
     rows = [(i, rng.standard_normal(8).tolist()) for i in range(300)]
