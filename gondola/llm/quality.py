@@ -73,7 +73,7 @@ def _placed(docs: DataFrame, known: DataFrame, learn: Column, blocks: int) -> Da
     )
     rows = texts.unionByName(known.select("doc_id", F.lit(None).cast("string").alias("text"), "quality"))
     block = F.pmod(F.xxhash64("doc_id"), F.lit(blocks)).cast("int")
-    placed = rows.withColumn("block", block).repartition(blocks, "block")
+    placed = rows.withColumn("block", block).repartitionById(blocks, F.col("block"))  # a block a task
     return placed.sortWithinPartitions("block", "doc_id", F.col("quality").isNull())
 
 
