@@ -53,3 +53,12 @@ def test_commits_and_the_stream_take_price_rows_from_the_source(spark, monkeypat
     assert queries.bronze_commit(spark, SF).count() == 3 and not queries._written
     assert queries.QUERIES["stream_ingest"](spark, SF).count() == 7
     assert {name for _, _, name in queries._written} == {"bronze-comercio", "bronze-sucursales"}
+
+
+def test_text_files_are_written_without_a_shuffle_of_the_price_rows(spark, monkeypatch):
+    monkeypatch.setattr(queries, "_written", {})
+    given = queries.bind(spark, SF, "raw_productos").count()
+    assert queries.align_by_name(spark, SF).count() == queries.raw_csv_clean(spark, SF).count() == given
+    assert {name for _, _, name in queries._written} == {"raw-prices"}
+    rows = queries._raw_prices(spark, SF)
+    assert rows.count() == given and "commit=" not in rows.inputFiles()[0]
