@@ -62,3 +62,16 @@ def test_text_files_are_written_without_a_shuffle_of_the_price_rows(spark, monke
     assert {name for _, _, name in queries._written} == {"raw-prices"}
     rows = queries._raw_prices(spark, SF)
     assert rows.count() == given and "commit=" not in rows.inputFiles()[0]
+
+
+def test_a_replaced_day_takes_its_rows_from_the_source_once(spark, monkeypatch):
+    monkeypatch.setattr(queries, "_written", {})
+    bound, given = [], queries.bind
+    monkeypatch.setattr(queries, "bind", lambda s, sf, name: bound.append(name) or given(s, sf, name))
+    rows = queries.silver_day_replace(spark, SF)
+    assert bound == ["precios"] and not queries._written
+    price = lambda df: df.groupBy("fecha_vigencia").agg(F.count("*").alias("n"), F.round(F.sum("precio_lista"), 2).alias("s"))
+    before, after = ({r.fecha_vigencia: r for r in price(df).collect()} for df in (given(spark, SF, "precios"), rows))
+    assert before.keys() == after.keys()
+    for day, r in before.items():
+        assert after[day].n == r.n and abs(after[day].s - r.s - (r.n if day == date(1999, 1, 1) else 0)) < 0.1
