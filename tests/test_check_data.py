@@ -75,3 +75,24 @@ def test_a_replaced_day_takes_its_rows_from_the_source_once(spark, monkeypatch):
     assert before.keys() == after.keys()
     for day, r in before.items():
         assert after[day].n == r.n and abs(after[day].s - r.s - (r.n if day == date(1999, 1, 1) else 0)) < 0.1
+
+
+def test_parts_are_broadcast_by_the_size_of_their_rows_not_of_their_file(spark, tmp_path):
+    """A part table that packs well is small as a file; its rows would go through the driver."""
+    for name in ("lineitem", "supplier", "nation"):
+        spark.read.parquet(f"{SF}/{name}.parquet").write.parquet(str(tmp_path / f"{name}.parquet"))
+    part = spark.read.parquet(f"{SF}/part.parquet")
+    more = part.crossJoin(spark.range(1, 500).withColumnRenamed("id", "_i"))
+    more = more.withColumn("p_partkey", F.col("p_partkey") + F.col("_i") * 1_000_000).drop("_i")
+    part.unionByName(more).coalesce(1).write.parquet(str(tmp_path / "part.parquet"))
+    rows = queries.bind(spark, str(tmp_path), "precios")
+    found = rows.collect()
+    plan = rows._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    joins = [x for x in plan.splitlines() if "Join [" in x and "partkey" in x]
+    assert len(joins) == 1 and "SortMergeJoin" in joins[0], plan
+    assert sorted(found, key=str) == sorted(queries.bind(spark, SF, "precios").collect(), key=str)
+
+
+def test_archives_are_packed_from_the_source_without_a_bronze_table(spark, monkeypatch):
+    monkeypatch.setattr(queries, "_written", {})
+    assert queries.archive_members(spark, SF).count() and {name for _, _, name in queries._written} == {"masters"}
