@@ -29,17 +29,18 @@ the model is uniform over its classes; repeated rows are scored each; an empty t
 
 from __future__ import annotations
 
-from collections import Counter
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import sentencepiece
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gondola.llm.common import column_bytes, shipped, written
+from gondola.llm.common import batches_of, shipped, written
 
 IN, OUT = 2048, 512  # classes as context and as prediction; the last of each hold the special token
 GROUPS = 16
@@ -53,6 +54,7 @@ FLUSH = 300_000
 ROUNDS = 2
 BATCH = 128  # windows of a gradient step
 GROUP = 512  # texts whose words are looked up together
+ROWS = 4 * GROUP  # rows of an Arrow batch where each text is treated alone
 END = " "  # no word is a space
 _PAD = IN  # context class of positions before a text
 
@@ -61,6 +63,22 @@ def _words(text: bytes) -> list[bytes]:
     return text.lower().split()
 
 
+def _word_table(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """The distinct words of some texts (null is empty), the number of each word in turn, and where each text's
+    words start, with their end. The empty word stands where a text starts or ends with white space."""
+    words = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
+    flat = words.flatten().dictionary_encode()
+    starts = words.offsets.to_numpy()
+    return flat.dictionary.cast(pa.binary()), flat.indices.to_numpy(), starts - starts[0]
+
+
+def _listed(words: pa.Array) -> list[bytes]:
+    """The values of a binary array without nulls."""
+    ends = np.frombuffer(words.buffers()[1], np.int32)[words.offset : words.offset + len(words) + 1].tolist()
+    data = words.buffers()[2].to_pybytes() if words.buffers()[2] else b""
+    return [data[a:b] for a, b in zip(ends, ends[1:])]
+
+
 class Vocabulary(dict):
     """Word to number; subword ids of each numbered word. Numbers under ``fixed`` stay."""
 
@@ -69,19 +87,11 @@ class Vocabulary(dict):
         self.tokenizer = sentencepiece.SentencePieceProcessor(model_proto=model)
         self.size = self.tokenizer.vocab_size()
         self.names: list[bytes] = []
-        self.ids: list[int] = []
-        self.ends: list[int] = [0]
-        for word in frequent:
-            self[word]
+        self.ids = array("i")
+        self.ends = array("q", [0])
+        self.numbers(frequent)
         self.fixed = len(frequent)
 
-    def __missing__(self, word: bytes) -> int:
-        number = self[word] = len(self.names)
-        self.names.append(word)
-        self.ids += self.tokenizer.encode(word.decode(errors="replace"))
-        self.ends.append(len(self.ids))
-        return number
-
     def trim(self) -> None:
         """Forgets the words beyond the fixed ones when there are too many."""
         if len(self.names) > self.fixed + CACHE:
@@ -90,6 +100,12 @@ class Vocabulary(dict):
             del self.names[self.fixed :], self.ends[self.fixed + 1 :], self.ids[self.ends[-1] :]
 
     def numbers(self, words: list[bytes]) -> np.ndarray:
+        new = list(dict.fromkeys(w for w in words if w not in self))
+        self.update(zip(new, range(len(self.names), len(self.names) + len(new))))
+        self.names += new
+        for ids in self.tokenizer.encode([w.decode(errors="replace") for w in new], num_threads=1) if new else ():
+            self.ids.extend(ids)
+            self.ends.append(len(self.ids))
         return np.fromiter(map(self.__getitem__, words), np.int64, len(words))
 
     def arrays(self) -> tuple[np.ndarray, np.ndarray]:
@@ -149,54 +165,97 @@ def _banded(rank: np.ndarray, classes: int) -> np.ndarray:
 
 
 def attend(model: Model, x: np.ndarray, first: int) -> tuple[np.ndarray, ...]:
-    """Attention weights and contexts of the positions from ``first`` on of each row of context classes, and the
-    queries, keys and values they come from."""
+    """Attention weights, their sums and the contexts of the positions from ``first`` on of each row of context
+    classes, and the queries (over sqrt(d)), keys and values they come from."""
     width = x.shape[1]
-    q, k, v = model.q[x[:, first:]], model.k[x], model.v[x]
+    q, k, v = model.q.take(x[:, first:], 0), model.k.take(x, 0), model.v.take(x, 0)
+    q *= q.dtype.type(1 / np.sqrt(WIDTH))
     s = q @ k.transpose(0, 2, 1)
-    s *= s.dtype.type(1 / np.sqrt(WIDTH))
     distance = np.arange(first, width)[:, None] - np.arange(width)[None, :]
     s += model.bias[np.maximum(distance, 0)].astype(s.dtype)
     np.clip(s, -60, 60, out=s)  # instead of taking the largest off: neither overflows nor vanishes
     np.exp(s, out=s)
-    s *= distance >= 0
-    if (pad := x == _PAD).any():
-        s *= ~pad[:, None, :]
-        s += s.dtype.type(1e-30)  # rows of padding alone
-    s /= np.einsum("ijk->ij", s)[:, :, None]
-    return s, s @ v, q, k, v
-
-
-def _weights(context: np.ndarray, u: np.ndarray, r: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """1 + x / 16 and the weights of the choices."""
-    base = context @ (u / 16).astype(u.dtype)
+    s *= (distance >= 0).astype(s.dtype)
+    pad = x == _PAD
+    if len(some := np.flatnonzero(pad.any(axis=1))):
+        s[some] = s[some] * ~pad[some, None, :] + s.dtype.type(1e-30)  # rows of padding alone
+    total = _sum(s.reshape(-1, width)).reshape(s.shape[:2])
+    context = s @ v
+    context /= total[:, :, None]
+    return s, total, context, q, k, v
+
+
+def _weights(base: np.ndarray, r: np.ndarray) -> np.ndarray:
+    """The weights of the choices; ``base`` comes as x / 16 and is left as 1 + x / 16."""
     base += 1
-    np.maximum(base, base.dtype.type(0.1), out=base)
+    np.clip(base, 0.1, np.inf, out=base)
     w = base * base
     for _ in range(3):
         np.multiply(w, w, out=w)
     w *= r
-    return base, w
+    return w
 
 
 def _sum(w: np.ndarray) -> np.ndarray:
     return w @ np.ones(w.shape[1], w.dtype)
 
 
-def _by_group(goal: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-    """Groups and the positions whose goal class is in them."""
-    group = goal // PER_GROUP
-    order = np.argsort(group, kind="stable")
-    edge = np.searchsorted(group[order], np.arange(GROUPS + 1))
-    for g in range(GROUPS):
-        if edge[g] < edge[g + 1]:
-            yield g, order[edge[g] : edge[g + 1]]
-
-
-def score_ids(model: Model, texts: list[np.ndarray], chunk: int = 256) -> np.ndarray:
+class Choices:
+    """Both choices of each position, in the order of the group of its goal (positions with goal -1 are left out).
+
+    What is worked out by element is one pass over all positions; only matrix products go by group.
+    """
+
+    def __init__(self, model: Model, context: np.ndarray, before: np.ndarray, goal: np.ndarray):
+        group = np.where(goal < 0, GROUPS, goal // PER_GROUP).astype(np.uint8)
+        order = np.argsort(group, kind="stable")
+        edge = np.searchsorted(group[order], np.arange(GROUPS + 1))
+        self.order = order[: edge[-1]]
+        self.spans = [(g, slice(edge[g], edge[g + 1])) for g in range(GROUPS) if edge[g] < edge[g + 1]]
+        self.context = context.take(self.order, 0)
+        self.at = np.arange(len(self.order))
+        group, own = np.divmod(goal.take(self.order), PER_GROUP)
+        before = before.take(self.order)
+        self.top = self._level(self.context @ (model.u_top / 16).astype(context.dtype), model.group_weights().take(before, 0), group)
+        self.u = np.ascontiguousarray(model.u.reshape(WIDTH, GROUPS, PER_GROUP).transpose(1, 0, 2))
+        u, base = (self.u / 16).astype(context.dtype), np.empty((len(self.order), PER_GROUP), context.dtype)
+        for g, some in self.spans:
+            np.matmul(self.context[some], u[g], out=base[some])
+        self.own = self._level(base, model.bigram.reshape(-1, PER_GROUP).take(before * GROUPS + group, 0), own)
+
+    def _level(self, base: np.ndarray, r: np.ndarray, goal: np.ndarray) -> tuple[np.ndarray, ...]:
+        w = _weights(base, r)
+        total = _sum(w)
+        return base, w, total, goal, w[self.at, goal] / total
+
+    def shares(self) -> np.ndarray:
+        """Probability of the goals' classes."""
+        return self.top[-1] * self.own[-1]
+
+    def slopes(self, model: Model, positions: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Gradients of the mean loss for the contexts of all positions, u and u_top."""
+        n = self.context.dtype.type(max(1, len(self.order)))
+        top, own = self._slope(*self.top[:-1], n), self._slope(*self.own[:-1], n)
+        d_known = np.zeros((len(self.order) + 1, WIDTH), self.context.dtype)  # the last: positions without a goal
+        np.matmul(top, model.u_top.T, out=d_known[:-1])
+        d_u = np.zeros_like(self.u)
+        for g, some in self.spans:
+            d_known[some] += own[some] @ self.u[g].T
+            np.matmul(self.context[some].T, own[some], out=d_u[g])
+        back = np.full(positions, len(self.order))
+        back[self.order] = self.at
+        return d_known.take(back, 0), d_u.transpose(1, 0, 2).reshape(WIDTH, OUT), self.context.T @ top
+
+    def _slope(self, base: np.ndarray, w: np.ndarray, total: np.ndarray, goal: np.ndarray, n: np.floating) -> np.ndarray:
+        w[self.at, goal] -= total
+        w /= base
+        w /= (total * n)[:, None]
+        return w
+
+
+def score_ids(model: Model, texts: list[np.ndarray], chunk: int = 512) -> np.ndarray:
     """log10 probability of each sequence of ids, each with its end token last."""
     rows, spans = [], []
-    classes, groups = model.bigram.reshape(-1, GROUPS, PER_GROUP), model.group_weights()
     for ids in texts:
         n = len(ids)
         blocks = -(-n // HALF)
@@ -213,66 +272,38 @@ def score_ids(model: Model, texts: list[np.ndarray], chunk: int = 256) -> np.nda
     out = np.zeros(len(x))
     for at in range(0, len(x), chunk):
         part, goal = x[at : at + chunk], y[at : at + chunk].ravel()
-        real = np.flatnonzero(goal >= 0)
-        context = attend(model, part, HALF)[1]
-        context, before, goal = context.reshape(-1, WIDTH)[real], part[:, HALF:].ravel()[real], goal[real]
-        after = model.out[goal]
-        _, w = _weights(context, model.u_top, groups[before])
-        share = w[np.arange(len(after)), after // PER_GROUP] / _sum(w)
-        for g, some in _by_group(after):
-            u = model.u[:, g * PER_GROUP : (g + 1) * PER_GROUP]
-            _, w = _weights(context[some], u, classes[before[some], g])
-            share[some] *= w[np.arange(len(some)), after[some] % PER_GROUP] / _sum(w)
-        ln_p = np.log(share) + model.emission[goal]
-        out[at : at + chunk] = np.bincount(real // HALF, ln_p, len(part))
+        context = attend(model, part, HALF)[2]
+        after = np.where(goal < 0, -1, model.out.take(goal, mode="wrap"))
+        found = Choices(model, context.reshape(-1, WIDTH), part[:, HALF:].ravel(), after)
+        ln_p = np.log(found.shares()) + model.emission[goal[found.order]]
+        out[at : at + chunk] = np.bincount(found.order // HALF, ln_p, len(part))
     return np.add.reduceat(out, starts[:-1]) / np.log(10)
 
 
-def _level(context: np.ndarray, u: np.ndarray, r: np.ndarray, goal: np.ndarray, d_u: np.ndarray) -> tuple[float, np.ndarray]:
-    """Summed loss of a choice and the gradient of the contexts; that of u is added to d_u."""
-    base, p = _weights(context, u, r)
-    total, at = _sum(p), np.arange(len(p))
-    loss = -np.log(p[at, goal] / total + 1e-12).sum()
-    p[at, goal] -= total
-    p /= base
-    p /= total[:, None]
-    d_u += context.T @ p
-    return float(loss), p @ u.T
+_CELLS = np.arange((IN + 1) * WIDTH).reshape(IN + 1, WIDTH)  # of a parameter table, by row
 
 
 def gradient(model: Model, x: np.ndarray, y: np.ndarray) -> tuple[float, list[np.ndarray]]:
     """Mean loss of predicting classes y (-1: none) from context classes x, and the parameters' gradients."""
-    a, context, q, k, v = attend(model, x, 0)
+    a, total, context, q, k, v = attend(model, x, 0)
     width, flat = x.shape[1], x.ravel()
-    real = np.flatnonzero(y.ravel() >= 0)
-    goal, before, known = y.ravel()[real], flat[real], context.reshape(-1, WIDTH)[real]
-    n = known.dtype.type(max(1, len(real)))
-    classes, d_u, d_top = model.bigram.reshape(-1, GROUPS, PER_GROUP), np.zeros_like(model.u), np.zeros_like(model.u_top)
-    loss, d_known = _level(known, model.u_top, model.group_weights()[before], goal // PER_GROUP, d_top)
-    for g, some in _by_group(goal):
-        part = slice(g * PER_GROUP, (g + 1) * PER_GROUP)
-        more, d = _level(known[some], model.u[:, part], classes[before[some], g], goal[some] % PER_GROUP, d_u[:, part])
-        loss += more
-        d_known[some] += d
-    d_u, d_top, d_known, loss = d_u / n, d_top / n, d_known / n, loss / n
-    d_context = np.zeros_like(context)
-    d_context.reshape(-1, WIDTH)[real] = d_known
+    found = Choices(model, context.reshape(-1, WIDTH), flat, y.ravel())
+    loss = -np.log(found.shares() + 1e-24).sum() / max(1, len(found.order))
+    d_context, d_u, d_top = found.slopes(model, len(flat))
+    d_context = d_context.reshape(context.shape)
+    d_context /= total[:, :, None]  # the weights a are not divided by their sums
     d_s = d_context @ v.transpose(0, 2, 1)
-    d_s -= np.einsum("ijk,ijk->ij", a, d_s)[:, :, None]
+    d_s -= np.einsum("ijk,ijk->ij", d_context, context)[:, :, None]
     d_s *= a
     distance = np.maximum(np.arange(width)[:, None] - np.arange(width)[None, :], 0)
     d_bias = np.bincount(distance.ravel(), d_s.sum(axis=0).ravel(), len(model.bias))
-    scale = np.float32(1 / np.sqrt(WIDTH))
-    order = np.argsort(flat, kind="stable")
-    starts = np.flatnonzero(np.concatenate(([True], np.diff(flat[order]) > 0)))
+    cells = _CELLS.take(flat, 0).ravel()
 
     def gathered(d: np.ndarray) -> np.ndarray:
-        out = np.zeros((IN + 1, WIDTH), np.float32)
-        out[flat[order][starts]] = np.add.reduceat(d.reshape(-1, WIDTH)[order], starts)
-        return out
+        return np.bincount(cells, d.ravel(), _CELLS.size).reshape(_CELLS.shape).astype(np.float32)
 
-    d_q = gathered(d_s @ k * scale)
-    d_k = gathered(d_s.transpose(0, 2, 1) @ q * scale)
+    d_q = gathered(d_s @ k) * np.float32(1 / np.sqrt(WIDTH))
+    d_k = gathered(d_s.transpose(0, 2, 1) @ q)
     d_v = gathered(a.transpose(0, 2, 1) @ d_context)
     return float(loss), [d_q, d_k, d_v, d_bias.astype(np.float32), d_u, d_top]
 
@@ -281,22 +312,24 @@ def _word_counts(docs: DataFrame) -> DataFrame:
     """word (binary), c: of all documents, with their end tokens."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: Counter = Counter()
+        held: list[pa.Table] = []
+        texts = 0
 
-        def flushed() -> pa.RecordBatch:
-            batch = pa.RecordBatch.from_arrays(
-                [pa.array(list(seen), pa.binary()), pa.array(list(seen.values()), pa.int64())], ["word", "c"]
-            )
-            seen.clear()
-            return batch
+        def added() -> pa.Table:
+            return pa.concat_tables(held).group_by("word", use_threads=False).aggregate([("c", "sum")]).rename_columns(["word", "c"])
 
         for batch in batches:
-            for text in column_bytes(batch):
-                seen.update(_words(text))
-            seen[END.encode()] += batch.num_rows
-            if len(seen) > FLUSH:
-                yield flushed()
-        yield flushed()
+            texts += batch.num_rows
+            for at in range(0, batch.num_rows, GROUP):
+                words, order, _ = _word_table(batch.column("text").slice(at, GROUP))
+                counts = pa.table({"word": words, "c": np.bincount(order, minlength=len(words))})
+                held.append(counts.filter(pc.not_equal(words, b"")))
+            if sum(map(len, held)) > FLUSH:
+                yield from added().to_batches()
+                held = []
+                pa.default_memory_pool().release_unused()
+        held.append(pa.table({"word": pa.array([END.encode()], pa.binary()), "c": pa.array([texts], pa.int64())}))
+        yield from added().to_batches()
 
     return shipped(docs.select("text")).mapInArrow(count, "word binary, c long").groupBy("word").agg(F.sum("c").alias("c"))
 
@@ -312,18 +345,21 @@ def encode(docs: DataFrame, learn: Column, tokenizer: bytes) -> DataFrame:
         vocabulary = Vocabulary(tokenizer, [])
         kind = _id_type(vocabulary.size)
         for batch in batches:
-            texts = column_bytes(batch)
-            for at in range(0, len(texts), GROUP):
-                numbers = [vocabulary.numbers(_words(t)) for t in texts[at : at + GROUP]]
+            for at in range(0, batch.num_rows, GROUP):
+                part = batch.slice(at, GROUP)
+                words, order, starts = _word_table(part.column("text"))
+                numbers = vocabulary.numbers(_listed(words))[order]
                 ids, ends = vocabulary.arrays()
-                ids = ids.astype(kind)
-                found = pa.array([expand(x, ids, ends).tobytes() for x in numbers], pa.binary())
-                keys = [batch.column(c).slice(at, len(numbers)) for c in ("d", "e", "learn")]
-                yield pa.RecordBatch.from_arrays([*keys, found], ["d", "e", "learn", "ids"])
+                flat = expand(numbers, ids.astype(kind), ends)
+                stops = np.concatenate(([0], np.cumsum(ends[numbers + 1] - ends[numbers])))[starts] * kind.itemsize
+                data = flat.tobytes()
+                found = pa.array([data[a:b] for a, b in zip(stops[:-1].tolist(), stops[1:].tolist())], pa.binary())
+                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in ("d", "e", "learn")), found], ["d", "e", "learn", "ids"])
                 vocabulary.trim()
 
     rows = _keyed(docs, learn.alias("learn")).drop("doc_id")
-    return written(shipped(rows).mapInArrow(run, "d long, e long, learn boolean, ids binary"), "lm-ids")
+    with batches_of(docs.sparkSession, ROWS):
+        return written(shipped(rows).mapInArrow(run, "d long, e long, learn boolean, ids binary"), "lm-ids")
 
 
 def _keyed(docs: DataFrame, *more: Column) -> DataFrame:
@@ -394,11 +430,12 @@ def _train_round(ids: DataFrame, model: Model, round_: int, rate: float = 0.02,
 
     def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = sent.value
-        parameters = [p.copy() for p in model.parameters()]
+        flat = np.concatenate([p.ravel() for p in model.parameters()])  # the model's own are views of it
+        ends = np.cumsum([int(np.prod(shape)) for shape in shapes])
+        parameters = [part.reshape(shape) for part, shape in zip(np.split(flat, ends[:-1]), shapes)]
         model.q, model.k, model.v, model.bias, model.u, model.u_top = parameters
-        m, s = [np.zeros_like(p) for p in parameters], [np.zeros_like(p) for p in parameters]
+        adam, tokens = Adam(flat, rate), 0
         rng = np.random.default_rng(round_)
-        step, tokens = 0, 0
         x = y = np.zeros((0, 2 * HALF), np.int64)  # windows that wait for a full batch
         for batch in batches:
             for at in range(0, batch.num_rows, GROUP):
@@ -408,11 +445,13 @@ def _train_round(ids: DataFrame, model: Model, round_: int, rate: float = 0.02,
                 full = len(x) - len(x) % batch_rows
                 for start in range(0, full, batch_rows):
                     some = order[start : start + batch_rows]
-                    step, tokens = _step(model, parameters, m, s, x[some], y[some], step, tokens, rate)
+                    adam.move(gradient(model, x[some], y[some])[1])
+                    tokens += int((y[some] >= 0).sum())
                 x, y = x[order[full:]], y[order[full:]]
         if len(x):
-            step, tokens = _step(model, parameters, m, s, x, y, step, tokens, rate)
-        flat = np.concatenate([p.ravel() for p in parameters]).astype(np.float64)
+            adam.move(gradient(model, x, y)[1])
+            tokens += int((y >= 0).sum())
+        flat = flat.astype(np.float64)
         yield pa.RecordBatch.from_arrays(
             [pa.array(np.arange(len(flat), dtype=np.int32)), pa.array(flat * tokens), pa.array(np.full(len(flat), tokens))],
             ["at", "value", "weight"],
@@ -433,23 +472,37 @@ def _train_round(ids: DataFrame, model: Model, round_: int, rate: float = 0.02,
     return out
 
 
-def _step(model, parameters, m, s, x, y, step, tokens, rate) -> tuple[int, int]:
-    _, grads = gradient(model, x, y)
-    step += 1
-    for p, g, a, b in zip(parameters, grads, m, s):
-        a *= 0.9
-        a += 0.1 * g
-        b *= 0.98
-        b += 0.02 * g * g
-        p -= rate * (a / (1 - 0.9**step)) / (np.sqrt(b / (1 - 0.98**step)) + 1e-6)
-    return step, tokens + int((y >= 0).sum())
+class Adam:
+    """Steps of one flat array of parameters, in place."""
+
+    def __init__(self, parameters: np.ndarray, rate: float):
+        self.p, self.rate, self.step = parameters, rate, 0
+        self.a, self.b = np.zeros_like(parameters), np.zeros_like(parameters)  # sums of gradients and their squares, fading
+
+    def move(self, grads: list[np.ndarray]) -> None:
+        self.step += 1
+        flat = np.concatenate([g.ravel() for g in grads], dtype=self.p.dtype)
+        # The averages are 0.1 a / (1 - 0.9 ** step) and 0.02 b / (1 - 0.98 ** step); their factors are taken out.
+        spread = np.sqrt(0.02 / (1 - 0.98**self.step))
+        rate, least = self.rate * 0.1 / (1 - 0.9**self.step) / spread, 1e-6 / spread
+        self.a *= 0.9
+        self.a += flat
+        self.b *= 0.98
+        flat *= flat
+        self.b += flat
+        np.sqrt(self.b, out=flat)
+        flat += least
+        np.divide(self.a, flat, out=flat)
+        flat *= rate
+        self.p -= flat
 
 
 def fit(docs: DataFrame, learn: Column, tokenizer: bytes, ids: DataFrame | None = None) -> tuple[Model, DataFrame, int, int]:
     """The model, the count table (word, c), the number of training tokens and of distinct ones. ``ids`` is what
     ``encode`` gave for the same rows, if it is there already."""
     training = (encode(docs, learn, tokenizer) if ids is None else ids).where("learn")
-    counts = written(_word_counts(docs.where(learn)), "lm-words")
+    with batches_of(docs.sparkSession, ROWS):
+        counts = written(_word_counts(docs.where(learn)), "lm-words")
     total = counts.agg(F.sum("c").alias("n"), F.count("*").alias("v")).first()
     top = counts.where(F.col("word") != F.lit(END).cast("binary")).where(F.length("word") <= LONGEST)
     top = top.orderBy(F.desc("c"), "word").limit(FREQUENT).collect()
@@ -500,30 +553,31 @@ def score(docs: DataFrame, model: Model, counts: DataFrame, n: int, v: int, ids:
     names = [x.split()[0] for x in schema.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        frequent = dict(zip(sent.value[0], np.log10(sent.value[1] + 1.0).tolist()))
+        place = {word: i for i, word in enumerate(sent.value[0])}
+        logs = np.append(np.log10(sent.value[1] + 1.0), 0.0)  # the last: words beyond the frequent ones
         for batch in batches:
-            texts, d, e = column_bytes(batch), batch.column("d").to_numpy(), batch.column("e").to_numpy()
-            for at in range(0, len(texts), GROUP):
-                part = slice(at, min(at + GROUP, len(texts)))
-                totals, known, bases, rare, owners = [], [], [], [], []
-                for i, text in enumerate(texts[part], at):
-                    seen = Counter(_words(text))
-                    other = [w for w in seen if w not in frequent]
-                    rare += [(w, seen.pop(w)) for w in other]
-                    owners += [i] * len(other)
-                    counts = list(seen.values())
-                    known.append(sum(counts))
-                    totals.append(known[-1] + sum(c for _, c in rare[len(rare) - len(other) :]) + 1)
-                    bases.append(float(sum(c * frequent[w] for w, c in seen.items())))
-                m, r = part.stop - at, len(rare)
-                whole = [d[part], e[part], batch.column("doc_id").slice(at, m), totals, known, bases, pa.nulls(m, pa.binary()), pa.nulls(m, pa.int64())]
+            for at in range(0, batch.num_rows, GROUP):
+                part = batch.slice(at, GROUP)
+                words, order, starts = _word_table(part.column("text"))
+                names_of, m = _listed(words), part.num_rows
+                full = np.fromiter((w != b"" for w in names_of), bool, len(names_of))[order]
+                found = np.fromiter((place.get(w, -1) for w in names_of), np.int64, len(names_of))[order]
+                owner = np.repeat(np.arange(m), np.diff(starts))
+                total, known = np.bincount(owner[full], minlength=m) + 1, np.bincount(owner[found >= 0], minlength=m)
+                base = np.bincount(owner, logs[found], m)
+                whole = [part.column("d"), part.column("e"), part.column("doc_id"), total, known, base, pa.nulls(m, pa.binary()), pa.nulls(m, pa.int64())]
                 yield _arrays(whole, names)
-                if rare:
-                    words, times = zip(*rare)
+                other = full & (found < 0)
+                rare, times = np.unique(owner[other] * len(words) + order[other], return_counts=True)
+                if r := len(rare):
+                    owners, at_word = np.divmod(rare, len(words))
+                    keys = [part.column(c).take(pa.array(owners)) for c in ("d", "e")]
                     none = [pa.nulls(r, t) for t in (pa.int64(), pa.int64(), pa.int64(), pa.float64())]
-                    yield _arrays([d[owners], e[owners], *none, pa.array(words, pa.binary()), pa.array(times, pa.int64())], names)
+                    yield _arrays([*keys, *none, words.take(pa.array(at_word)), times], names)
 
-    rows = written(shipped(_keyed(docs)).mapInArrow(run, schema), "lm-scored")
+    with batches_of(docs.sparkSession, ROWS):
+        rows = written(shipped(_keyed(docs)).mapInArrow(run, schema), "lm-scored")
+        scored = written(model_scores(ids, model), "lm-scores")
     texts = rows.where("word is null")
     # Words beyond the frequent ones that training has; the others count as 0, which adds log10(1).
     rare = (
@@ -534,7 +588,7 @@ def score(docs: DataFrame, model: Model, counts: DataFrame, n: int, v: int, ids:
         .agg(F.sum("times").alias("rare_known"), F.sum(F.col("times") * F.log10(F.col("c") + 1.0)).alias("rare_base"))
     )
     same = texts.groupBy("d", "e").agg(F.count("*").alias("copies"))  # repeated rows bring their words each
-    scores = model_scores(ids, model).groupBy("d", "e").agg(F.min("score").alias("score"))
+    scores = scored.groupBy("d", "e").agg(F.min("score").alias("score"))
     sums = same.join(rare, ["d", "e"], "left").join(scores, ["d", "e"])
     end = float(counts.where(F.col("word") == F.lit(END).cast("binary")).agg(F.sum("c")).first()[0] or 0)
     base = F.col("base") + F.coalesce(F.col("rare_base") / F.col("copies"), F.lit(0.0)) + float(np.log10(end + 1))

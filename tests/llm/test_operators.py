@@ -11,6 +11,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece
 from pyspark.sql import functions as F
@@ -564,6 +565,34 @@ def test_gradients_match_finite_differences():
         assert (up - down) / (2 * eps) == pytest.approx(g[at], rel=1e-2)
 
 
+def test_all_positions_are_weighed_in_two_passes(monkeypatch):
+    model, rng, calls = small_model(2), np.random.default_rng(3), []
+    weights = lm._weights
+    monkeypatch.setattr(lm, "_weights", lambda *given: calls.append(1) or weights(*given))
+    x, y = rng.integers(0, 20, (40, 2 * lm.HALF)), rng.integers(0, lm.OUT, (40, 2 * lm.HALF))  # goals of every group
+    lm.gradient(model, x, y)
+    assert len(calls) == 2
+    lm.score_ids(model, [np.append(rng.integers(0, 300, 900), 300)])
+    assert len(calls) == 4
+
+
+def test_lm_words_of_many_texts_are_those_of_each_text():
+    rng = random.Random(12)
+    texts = ["".join(rng.choices("aAbÉ 中\t\n\r\x0b\x0c\x00\x1c\x1f\x85\u2003", k=rng.randint(0, 40))) for _ in range(300)]
+    texts += [None, "", " ", "one", " Two  three "]
+    given = pa.array([*["left out"] * 3, *texts], pa.string()).slice(3)
+    words, order, starts = lm._word_table(given)
+    words = lm._listed(words)
+    assert len(starts) == len(texts) + 1 and len(set(words)) == len(words)
+    for text, a, b in zip(texts, starts, starts[1:]):
+        assert [words[i] for i in order[a:b] if words[i]] == lm._words((text or "").encode())
+    vocabulary, tokenizer = lm.Vocabulary(MODEL, []), lm.Vocabulary(MODEL, []).tokenizer
+    for some in (words[:50], words[20:], words):
+        numbers, (ids, ends) = vocabulary.numbers(some), vocabulary.arrays()
+        for word, n in zip(some, numbers):
+            assert ids[ends[n] : ends[n + 1]].tolist() == tokenizer.encode(word.decode(errors="replace"))
+
+
 def test_class_probabilities_add_up_to_one():
     _, out, emission = lm.class_tables(np.random.default_rng(0).integers(0, 9, 32_000).astype(np.float64))
     mass = np.bincount(out, np.exp(emission.astype(np.float64)), lm.OUT)
