@@ -2,6 +2,7 @@
 
 from datetime import date
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from checks import queries
@@ -96,3 +97,26 @@ def test_parts_are_broadcast_by_the_size_of_their_rows_not_of_their_file(spark,
 def test_archives_are_packed_from_the_source_without_a_bronze_table(spark, monkeypatch):
     monkeypatch.setattr(queries, "_written", {})
     assert queries.archive_members(spark, SF).count() and {name for _, _, name in queries._written} == {"masters"}
+
+
+def test_archives_packed_in_sets_of_suppliers_are_those_packed_at_once(spark, monkeypatch):
+    monkeypatch.setattr(queries, "_written", {})
+    monkeypatch.setattr(queries, "SLICE_LINES", 2500)
+    given, build = [], queries.master_archives
+    monkeypatch.setattr(queries, "master_archives", lambda *x: given.append(x[2:]) or build(*x))
+    names = lambda df: sorted(r.path for r in df.select("path").collect())
+    found, whole = queries._masters(spark, SF), build(spark, SF)
+    assert given == [(part, len(given)) for part in range(len(given))] and len(given) > 1
+    assert names(found) == names(whole)
+    counted = lambda df: sorted(queries.archives.member_lines(queries.archives.split_masters(df)).groupBy("package", "child", "table").count().collect())  # noqa: E731,E501
+    assert counted(found) == counted(whole)
+
+
+def test_bronze_build_spreads_archives_not_their_rows(spark, monkeypatch):
+    monkeypatch.setattr(queries, "_written", {})
+    hints, hint = [], DataFrame.hint
+    monkeypatch.setattr(DataFrame, "hint", lambda df, name, *x: hints.append(name) or hint(df, name, *x))
+    found = queries.bronze_build(spark, SF)
+    lines = queries.archives.member_lines(queries._children(spark, SF), ("productos",))
+    assert found.count() == lines.count() > 0
+    assert "rebalance" not in hints
